@@ -185,6 +185,17 @@ def timeline(obs: DataFrame) -> DataFrame:
     )
 
 
+def replace_keys(dim: DataFrame, versions: DataFrame, touched: DataFrame) -> DataFrame:
+    """Swap the versions of ``touched`` keys for ``versions``. A version whose
+    (key, effective_date) existed keeps its surrogate key; others get new
+    keys after the largest one. Versions of other keys pass unchanged."""
+    old_keys = dim.groupBy(KEY, "effective_date").agg(F.max("customer_sk").alias("customer_sk"))
+    rebuilt = versions.drop("customer_sk").join(old_keys, [KEY, "effective_date"], "left").select(*DIM_COLUMNS)
+    rebuilt = materialize(rebuilt, "scd2-rebuilt")
+    untouched = dim.join(touched, KEY, "left_anti").select(*DIM_COLUMNS)
+    return untouched.unionByName(_number_new(rebuilt, dim))
+
+
 def rebuild_timeline(dim: DataFrame, log: DataFrame, arrivals: DataFrame) -> DataFrame:
     """Insert late-arriving observations (U5).
 
@@ -195,9 +206,4 @@ def rebuild_timeline(dim: DataFrame, log: DataFrame, arrivals: DataFrame) -> Dat
     """
     touched = arrivals.select(KEY).distinct()
     obs = log.select(*OBS_COLUMNS).unionByName(arrivals.select(*OBS_COLUMNS)).join(touched, KEY, "left_semi")
-    rebuilt = timeline(obs).drop("customer_sk")
-    old_keys = dim.groupBy(KEY, "effective_date").agg(F.max("customer_sk").alias("customer_sk"))
-    rebuilt = rebuilt.join(old_keys, [KEY, "effective_date"], "left").select(*DIM_COLUMNS)
-    rebuilt = materialize(rebuilt, "scd2-rebuilt")
-    untouched = dim.join(touched, KEY, "left_anti").select(*DIM_COLUMNS)
-    return untouched.unionByName(_number_new(rebuilt, dim))
+    return replace_keys(dim, timeline(obs), touched)

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators import dims, fact, quality, scd2
+from starloom.operators import cdc_apply, dims, fact, quality, scd2
 from starloom.plans import reports as R
 from starloom.plans import views
 from starloom.plans.warehouse import warehouse
 from starloom.sources import adapter
+from starloom.sources.cdc_events import ENTITY_ATTRIBUTES, change_events
+from starloom.streaming import cdc
 from starloom.sources.tables import load_tables
 
 c = F.col
@@ -124,16 +126,72 @@ def q_scd2_history(spark, sf):
     return scd2.version_history(_w(spark, sf).dim_customer)
 
 
-def q_scd2_late_arrival(spark, sf):
-    w = _w(spark, sf)
-    src = w.sources
-    initial = dims.stage_customers(src["customers"], w.dim_geography)
-    late = dims.stage_customers(src["customers_late_snapshot"], w.dim_geography)
-    log = scd2.observations(initial, dims.OPEN_START, 0).unionByName(
+def customer_log(w) -> DataFrame:
+    """Full-row observations so far: initial load (1900-01-01), snapshot."""
+    initial = dims.stage_customers(w.sources["customers"], w.dim_geography)
+    return scd2.observations(initial, dims.OPEN_START, 0).unionByName(
         scd2.observations(w.snapshot, c("snapshot_date"), 1)
     )
+
+
+def q_scd2_late_arrival(spark, sf):
+    w = _w(spark, sf)
+    late = dims.stage_customers(w.sources["customers_late_snapshot"], w.dim_geography)
     arrivals = scd2.observations(late, adapter.LATE_SNAPSHOT_DATE, 2)
-    return scd2.rebuild_timeline(w.dim_customer, log, arrivals)
+    return scd2.rebuild_timeline(w.dim_customer, customer_log(w), arrivals)
+
+
+# ------------------------------------------------------------------- CDC
+_BRONZE: dict[tuple[str, str], DataFrame] = {}
+
+
+def bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Change events landed as JSON files, taken in by one availableNow
+    stream run into the bronze table (once per application and folder)."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _BRONZE:
+        root = cdc.scratch_dir(spark, "run")
+        cdc.land_events(change_events(load_tables(spark, sf)["events"]), f"{root}/landing")
+        cdc.run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=2)
+        _BRONZE[key] = cdc.read_bronze(spark, f"{root}/bronze")
+    return _BRONZE[key]
+
+
+def q_cdc_bronze(spark, sf):
+    return bronze(spark, sf)
+
+
+def q_cdc_silver(spark, sf):
+    return cdc.silver(bronze(spark, sf))
+
+
+def cdc_customer_dim(spark, sf):
+    w = _w(spark, sf)
+    if "dim_customer_cdc" not in w.extra:
+        ch = cdc.entity_changes(bronze(spark, sf), "Customer", ENTITY_ATTRIBUTES["Customer"])
+        w.extra["dim_customer_cdc"] = cdc_apply.customer_scd2_from_events(
+            w.dim_customer, customer_log(w), ch, w.dim_geography
+        )
+    return w.extra["dim_customer_cdc"]
+
+
+def q_cdc_customer_scd2(spark, sf):
+    return cdc_customer_dim(spark, sf)
+
+
+def q_cdc_type1_upsert(spark, sf):
+    w = _w(spark, sf)
+    ch = cdc.entity_changes(bronze(spark, sf), "Product", ENTITY_ATTRIBUTES["Product"])
+    return cdc_apply.type1_upsert(
+        w.dim_product, ch, "product_id", {"product_category_name": "string", "product_weight_g": "int"},
+        sk_col="product_sk",
+    )
+
+
+def q_cdc_fact_upsert(spark, sf):
+    w = _w(spark, sf)
+    ch = cdc.entity_changes(bronze(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
+    return out(cdc_apply.fact_upsert(w.fact_order_item, ch))
 
 
 # --------------------------------------------------------------- quality
@@ -157,7 +215,13 @@ def q_dq_duplicate_keys(spark, sf):
 
 def q_dq_one_current(spark, sf):
     w = _w(spark, sf)
-    return quality.current_version_histogram(w.dim_customer).withColumn("dim_name", F.lit("dim_customer"))
+    return quality.current_version_histogram(w.dim_customer).withColumn(
+        "dim_name", F.lit("dim_customer")
+    ).unionByName(
+        quality.current_version_histogram(cdc_customer_dim(spark, sf)).withColumn(
+            "dim_name", F.lit("dim_customer_cdc")
+        )
+    )
 
 
 def q_dq_fact_grain(spark, sf):
@@ -207,6 +271,11 @@ QUERIES: dict[str, Query] = {
     "scd2_apply_twice": q_scd2_apply_twice,
     "scd2_history": q_scd2_history,
     "scd2_late_arrival": q_scd2_late_arrival,
+    "cdc_bronze": q_cdc_bronze,
+    "cdc_silver": q_cdc_silver,
+    "cdc_customer_scd2": q_cdc_customer_scd2,
+    "cdc_type1_upsert": q_cdc_type1_upsert,
+    "cdc_fact_upsert": q_cdc_fact_upsert,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_one_current": q_dq_one_current,
     "dq_fact_grain": q_dq_fact_grain,
