@@ -6,18 +6,21 @@ range-partition on the key, sort inside each partition, tag each row with its
 partition id and in-partition position, write that once (so the sampled range
 boundaries and positions are fixed), then add the row count of all earlier
 partitions. The per-partition count table has at most ``num_partitions`` rows,
-a proven bound, so it is broadcast. The result equals
-``start - 1 + ROW_NUMBER() OVER (ORDER BY key ASC NULLS FIRST)``.
+a proven bound, so it is collected and applied as a literal map: the keyed
+table is then a plain scan + projection of the written copy. The result
+equals ``start - 1 + ROW_NUMBER() OVER (ORDER BY key ASC NULLS FIRST)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import chain
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.storage import materialize
 
-_PID, _MID, _OFF, _M0 = "_sk_pid", "_sk_mid", "_sk_off", "_sk_m0"
+_PID, _MID = "_sk_pid", "_sk_mid"
 
 
 def assign_surrogate_keys(
@@ -37,10 +40,13 @@ def assign_surrogate_keys(
         .withColumn(_MID, F.monotonically_increasing_id())
     )
     ranged = materialize(ranged, f"keys-{sk_col}")
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"), F.min(_MID).alias(_M0))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, _M0, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFF))
-    numbered = ranged.join(F.broadcast(offsets), _PID).withColumn(
-        sk_col, (F.lit(start) + F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast("bigint")
-    )
-    return numbered.select(sk_col, *df.columns)
+    counts = sorted(ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"), F.min(_MID).alias("m0")).collect())
+    shift, seen = {}, 0
+    for pid, n, m0 in counts:  # key = start + rows before this partition + position in it
+        shift[pid] = start + seen - m0
+        seen += n
+    if not shift:
+        return ranged.select(F.lit(None).cast("bigint").alias(sk_col), *df.columns)
+    table = F.create_map(*chain.from_iterable((F.lit(p), F.lit(v)) for p, v in sorted(shift.items())))
+    sk = (F.element_at(table, F.col(_PID)) + F.col(_MID)).cast("bigint")
+    return ranged.select(sk.alias(sk_col), *df.columns)

@@ -48,8 +48,14 @@ def as_of(df: DataFrame, dim_customer: DataFrame, day_col: str) -> DataFrame:
 
 def first_order(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """First order day per person (customer_unique_id), through the as-of
-    join. A grouped min: partial aggregation absorbs a hot person."""
-    asof = as_of(_base(fact, dim_date), dim_customer, "order_date")
+    join (orders without a valid version do not count).
+
+    Items are first folded to distinct (customer_id, order day) pairs
+    (map-side combine), so the as-of join sees one row per customer and day
+    instead of one per item; the final min per person is a grouped
+    aggregate whose partial step absorbs a hot person."""
+    days = _base(fact, dim_date).select("customer_id", "order_date").distinct()
+    asof = as_of(days, dim_customer, "order_date")
     return asof.groupBy("customer_unique_id").agg(F.min("order_date").alias("first_order_date"))
 
 
@@ -65,7 +71,7 @@ def sales_view(
     """28 columns per order item, customer attributes as of the order day,
     first-order date of the person and the new-customer flag."""
     asof = as_of(_base(fact, dim_date), dim_customer, "order_date")
-    fco = asof.groupBy(c("customer_unique_id").alias("_fuid")).agg(F.min("order_date").alias("first_order_date"))
+    fco = first_order(fact, dim_date, dim_customer).withColumnRenamed("customer_unique_id", "_fuid")
     geo = dim_geography.select(
         c("geography_sk").alias("_gsk"),
         c("zip_code_prefix").alias("customer_zip_asof"),

@@ -46,7 +46,9 @@ def build_dimensions(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "dim_product": dims.build_dim_product(src["products"], src["category_translation"]),
         "dim_payment": dims.build_dim_payment(src["payments"]),
         "dim_seller": dims.build_dim_seller(src["sellers"], geo),
-        "dim_date": dims.build_dim_date(src["orders"]),
+        # one row per day: written once instead of re-deriving min/max from
+        # the orders at every use
+        "dim_date": materialize(dims.build_dim_date(src["orders"]), "dim_date"),
     }
 
 
