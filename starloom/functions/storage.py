@@ -7,6 +7,9 @@ computing it (range boundaries, partition ids), so later reads agree.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 import uuid
 
 from pyspark.sql import DataFrame
@@ -22,10 +25,13 @@ def table_path(df: DataFrame, name: str) -> str:
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written copy."""
     path = table_path(df, name)
+    t0 = time.time()
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if os.environ.get("STARLOOM_TRACE"):
+        print(f"[starloom] wrote {name} in {time.time() - t0:.2f}s", file=sys.stderr)
     out = df.sparkSession.read.parquet(path)
     if partition_by:
         # partition columns come back last and with inferred types

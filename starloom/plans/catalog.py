@@ -17,6 +17,7 @@ from starloom.operators import cdc_apply, dims, fact, quality, scd2
 from starloom.plans import reports as R
 from starloom.plans import views
 from starloom.plans.warehouse import warehouse
+from starloom.session import app_key
 from starloom.sources import adapter
 from starloom.sources.cdc_events import ENTITY_ATTRIBUTES, change_events
 from starloom.streaming import cdc
@@ -142,33 +143,43 @@ def q_scd2_late_arrival(spark, sf):
 
 
 # ------------------------------------------------------------------- CDC
-_BRONZE: dict[tuple[str, str], DataFrame] = {}
+_BRONZE: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
-def bronze(spark: SparkSession, sf: str) -> DataFrame:
+def _cdc_run(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Change events landed as JSON files, taken in by one availableNow
-    stream run into the bronze table (once per application and folder)."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    stream run into the bronze table, then decoded once into silver (once
+    per application and folder)."""
+    key = (app_key(spark), sf.rstrip("/"))
     if key not in _BRONZE:
         root = cdc.scratch_dir(spark, "run")
         cdc.land_events(change_events(load_tables(spark, sf)["events"]), f"{root}/landing")
-        cdc.run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=2)
-        _BRONZE[key] = cdc.read_bronze(spark, f"{root}/bronze")
+        cdc.run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint")
+        b = cdc.read_bronze(spark, f"{root}/bronze")
+        _BRONZE[key] = (b, cdc.build_silver(b))
     return _BRONZE[key]
 
 
+def bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return _cdc_run(spark, sf)[0]
+
+
+def silver_decoded(spark: SparkSession, sf: str) -> DataFrame:
+    return _cdc_run(spark, sf)[1]
+
+
 def q_cdc_bronze(spark, sf):
     return bronze(spark, sf)
 
 
 def q_cdc_silver(spark, sf):
-    return cdc.silver(bronze(spark, sf))
+    return cdc.silver(silver_decoded(spark, sf))
 
 
 def cdc_customer_dim(spark, sf):
     w = _w(spark, sf)
     if "dim_customer_cdc" not in w.extra:
-        ch = cdc.entity_changes(bronze(spark, sf), "Customer", ENTITY_ATTRIBUTES["Customer"])
+        ch = cdc.entity_changes(silver_decoded(spark, sf), "Customer", ENTITY_ATTRIBUTES["Customer"])
         w.extra["dim_customer_cdc"] = cdc_apply.customer_scd2_from_events(
             w.dim_customer, customer_log(w), ch, w.dim_geography
         )
@@ -181,7 +192,7 @@ def q_cdc_customer_scd2(spark, sf):
 
 def q_cdc_type1_upsert(spark, sf):
     w = _w(spark, sf)
-    ch = cdc.entity_changes(bronze(spark, sf), "Product", ENTITY_ATTRIBUTES["Product"])
+    ch = cdc.entity_changes(silver_decoded(spark, sf), "Product", ENTITY_ATTRIBUTES["Product"])
     return cdc_apply.type1_upsert(
         w.dim_product, ch, "product_id", {"product_category_name": "string", "product_weight_g": "int"},
         sk_col="product_sk",
@@ -190,7 +201,7 @@ def q_cdc_type1_upsert(spark, sf):
 
 def q_cdc_fact_upsert(spark, sf):
     w = _w(spark, sf)
-    ch = cdc.entity_changes(bronze(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
+    ch = cdc.entity_changes(silver_decoded(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
     return out(cdc_apply.fact_upsert(w.fact_order_item, ch))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.functions.storage import materialize
 from starloom.operators import dims, fact, scd2
 from starloom.plans import views
+from starloom.session import app_key
 from starloom.sources import adapter
 from starloom.sources.tables import load_tables
 
@@ -96,7 +97,7 @@ _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of one data folder, built once per Spark application."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_key(spark), sf_dir.rstrip("/"))
     if key not in _BUILT:
         _BUILT[key] = build(load_tables(spark, sf_dir))
     return _BUILT[key]

@@ -34,6 +34,28 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001  (some keys are not readable remotely)
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    """Identifies the running application (cache key for built tables)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (no SparkContext in a Connect client)
+        return _conf(spark, "spark.app.id") or f"session-{id(spark)}"
+
+
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # noqa: BLE001
+        return _conf(spark, "spark.master") or ""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, read from ``spark.checkpoint.dir``.
 
@@ -41,19 +63,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     and the driver can reach). Only a local-mode session without one gets a
     private scratch folder, as in tests.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _conf(spark, "spark.checkpoint.dir")
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001
+            root = None
     if root:
         return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not _master(spark).startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: set it to a shared folder (HDFS/S3/...) "
             "reachable from every executor before building the warehouse"
         )
-    app = spark.sparkContext.applicationId
+    app = app_key(spark)
     if app not in _LOCAL_CKPT:
         _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="starloom-ckpt-")
-        spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[app])
+        try:
+            spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[app])
+        except Exception:  # noqa: BLE001
+            pass
     return _LOCAL_CKPT[app]

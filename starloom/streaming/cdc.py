@@ -110,10 +110,11 @@ def decoded(bronze: DataFrame) -> DataFrame:
     return dedup_events(bronze).withColumn("changes", F.from_json("payload", PAYLOAD_MAP))
 
 
-def silver(bronze: DataFrame) -> DataFrame:
+def silver(events: DataFrame) -> DataFrame:
     """One row per (event, changed attribute); events without attributes
-    (deletes) keep one row with NULL attribute."""
-    d = decoded(bronze)
+    (deletes) keep one row with NULL attribute. ``events``: bronze or the
+    decoded silver table."""
+    d = events if "changes" in events.columns else decoded(events)
     return d.select(
         "entity_name",
         "primary_key",
@@ -126,9 +127,19 @@ def silver(bronze: DataFrame) -> DataFrame:
     )
 
 
-def entity_changes(bronze: DataFrame, entity: str, attributes: list[str]) -> DataFrame:
-    """Decoded events of one entity, wide: ``has_<a>`` / ``<a>`` per attribute."""
-    d = decoded(bronze).filter(c("entity_name") == entity)
+def build_silver(bronze: DataFrame) -> DataFrame:
+    """The silver table: replay-free, payload parsed; written once per run so
+    every entity applier reads it instead of re-decoding bronze."""
+    from starloom.functions.storage import materialize
+
+    return materialize(decoded(bronze), "cdc-silver-decoded", partition_by=["entity_name"])
+
+
+def entity_changes(events: DataFrame, entity: str, attributes: list[str]) -> DataFrame:
+    """Decoded events of one entity, wide: ``has_<a>`` / ``<a>`` per attribute.
+    ``events`` is bronze, or silver from ``build_silver``."""
+    d = events if "changes" in events.columns else decoded(events)
+    d = d.filter(c("entity_name") == entity)
     cols = []
     for a in attributes:
         cols += [F.map_contains_key("changes", a).alias(f"has_{a}"), c("changes")[a].alias(a)]
