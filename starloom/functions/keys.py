@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from starloom.functions.storage import materialize
 
 _PID, _MID = "_sk_pid", "_sk_mid"
+# Up to this many partitions the offsets are a literal map in the projection.
+MAX_LITERAL_PARTITIONS = 2000
 
 
 def assign_surrogate_keys(
@@ -47,6 +49,12 @@ def assign_surrogate_keys(
         seen += n
     if not shift:
         return ranged.select(F.lit(None).cast("bigint").alias(sk_col), *df.columns)
-    table = F.create_map(*chain.from_iterable((F.lit(p), F.lit(v)) for p, v in sorted(shift.items())))
-    sk = (F.element_at(table, F.col(_PID)) + F.col(_MID)).cast("bigint")
-    return ranged.select(sk.alias(sk_col), *df.columns)
+    if len(shift) <= MAX_LITERAL_PARTITIONS:
+        table = F.create_map(*chain.from_iterable((F.lit(p), F.lit(v)) for p, v in sorted(shift.items())))
+        sk = (F.element_at(table, F.col(_PID)) + F.col(_MID)).cast("bigint")
+        return ranged.select(sk.alias(sk_col), *df.columns)
+    # many partitions: a (pid, shift) table, still one row per partition
+    offsets = spark.createDataFrame(sorted(shift.items()), f"{_PID} int, _sk_shift long")
+    return ranged.join(F.broadcast(offsets), _PID).select(
+        (F.col("_sk_shift") + F.col(_MID)).cast("bigint").alias(sk_col), *df.columns
+    )

@@ -49,8 +49,14 @@ def changed(old: str, new: str, null_safe: bool = False, attrs: list[str] = TRIG
     return out
 
 
-def stage_snapshot(customers: DataFrame, dim_geography: DataFrame, snapshot_date: dt.date | Column) -> DataFrame:
-    d = snapshot_date if isinstance(snapshot_date, Column) else F.lit(snapshot_date)
+def stage_snapshot(
+    customers: DataFrame, dim_geography: DataFrame, snapshot_date: dt.date | Column | None = None
+) -> DataFrame:
+    """Today's customers (or those of ``snapshot_date``) with geography key."""
+    if snapshot_date is None:
+        d = F.current_date()
+    else:
+        d = snapshot_date if isinstance(snapshot_date, Column) else F.lit(snapshot_date)
     return stage_customers(customers, dim_geography).withColumn("snapshot_date", d)
 
 

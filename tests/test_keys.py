@@ -27,3 +27,12 @@ def test_start_offset_and_composite_key(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "x string")
     assert assign_surrogate_keys(df, ["x"], "sk").count() == 0
+
+
+def test_many_partitions_use_offset_table(spark, monkeypatch):
+    from starloom.functions import keys
+
+    monkeypatch.setattr(keys, "MAX_LITERAL_PARTITIONS", 2)
+    df = spark.range(0, 300, numPartitions=3).select((F.col("id") * 37 % 300).alias("k"))
+    got = keys.assign_surrogate_keys(df, ["k"], "sk", num_partitions=6)
+    assert sorted((r.k, r.sk) for r in got.collect()) == [(i, i + 1) for i in range(300)]
