@@ -38,3 +38,14 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         types = {f.name: f.dataType for f in df.schema.fields}
         out = out.select(*[out[c].cast(types[c]).alias(c) if c in partition_by else out[c] for c in df.columns])
     return out
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition
+    overwrite); every other partition of the table at ``path`` is left as is."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )

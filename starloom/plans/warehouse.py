@@ -92,6 +92,31 @@ def build(tables, snapshot_date=adapter.SNAPSHOT_DATE) -> Warehouse:
     )
 
 
+VIEW_NAMES = {
+    "dim_geography": "dim_geography",
+    "dim_customer": "dim_customer",
+    "dim_product": "dim_product",
+    "dim_payment": "dim_payment",
+    "dim_seller": "dim_seller",
+    "dim_date": "dim_date",
+    "fact_order_item": "fact_order_item",
+    "sales": "vw_sales_order_item_baseline",
+    "fulfillment": "vw_fulfillment_order_item",
+}
+
+
+def register_views(w: Warehouse, prefix: str = "") -> list[str]:
+    """Expose the model to SQL users as temp views (``prefix`` plays the role
+    of a schema qualifier). Returns the view names."""
+    names = []
+    for attr, name in VIEW_NAMES.items():
+        getattr(w, attr).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    w.sources["orders"].createOrReplaceTempView(prefix + "orders")
+    names.append(prefix + "orders")
+    return names
+
+
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 

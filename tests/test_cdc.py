@@ -200,3 +200,39 @@ def test_foreach_batch_gold_equals_one_shot_apply(spark, tmp_path):
     # product keys stay unique and existing products keep theirs
     p = app.current["dim_product"]
     assert p.select("product_sk").distinct().count() == p.count()
+
+
+def test_partition_wise_fact_upsert_rewrites_only_touched_months(spark, tmp_path):
+    import os
+
+    from starloom.plans import catalog
+    from starloom.plans.warehouse import warehouse
+
+    sf = "/root/testdata/sf0.001"
+    w = warehouse(spark, sf)
+    path = str(tmp_path / "fact")
+    cdc_apply.publish_fact(w.fact_order_item, w.dim_date, path)
+
+    def listing():
+        out = {}
+        for d in os.listdir(path):
+            if d.startswith("order_month="):
+                out[d] = sorted((f, os.stat(os.path.join(path, d, f)).st_mtime_ns)
+                                for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
+        return out
+
+    before = listing()
+    ch = cdc.entity_changes(catalog.silver_decoded(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
+    after_df = cdc_apply.upsert_fact_partitions(path, ch)
+    after = listing()
+
+    want = cdc_apply.fact_upsert(w.fact_order_item, ch)
+    cols = want.columns
+    got = sorted(map(tuple, after_df.select(*cols).collect()), key=lambda t: tuple(map(str, t)))
+    assert got == sorted(map(tuple, want.select(*cols).collect()), key=lambda t: tuple(map(str, t)))
+
+    changed = {p for p in after if before.get(p) != after[p]}
+    touched_months = {f"order_month={r[0]}" for r in after_df.filter("last_event_time IS NOT NULL")
+                      .select("order_month").distinct().collect() if r[0] is not None}
+    assert changed - {"order_month=__HIVE_DEFAULT_PARTITION__"} == touched_months
+    assert len(changed) < len(after)          # most months were not rewritten
