@@ -8,17 +8,18 @@ DuckDB evaluate identically. Every row of every driver table flows through;
 the few ``%`` rules below decide *values* (a NULL, a moved customer, an orphan
 product id) so that each edge case of the model has data, they never sample.
 
-All functions are lazy and narrow except ``order_lines`` (one window per order
-to give every line a unique item number).
+All functions are lazy and narrow except ``order_lines``, which gives every
+line a unique item number within its order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.keys import assign_surrogate_keys
 from starloom.sources.schemas import MONEY, conform
 
 # Fixed values of the data shaping (dates of the customer snapshots and the
@@ -183,10 +184,21 @@ ITEM_ORDER = [
 
 def order_lines(t) -> DataFrame:
     """lineitem with a unique item number per order ((orderkey, linenumber)
-    repeats in the driver data)."""
+    repeats in the driver data): ``row_number() OVER (PARTITION BY orderkey
+    ORDER BY line columns)``, computed without a per-order window so that an
+    order holding a large share of the lines is not one task. Lines get a
+    global dense rank in (orderkey, line columns) order (range partitioning
+    splits a big order across ranges); the item number is the rank minus the
+    order's first rank, whose per-order min is a map-side-combined
+    aggregate."""
     li = t["lineitem"]
-    w = Window.partitionBy("l_orderkey").orderBy(*ITEM_ORDER)
-    return li.withColumn("item_no", F.row_number().over(w))
+    ranked = assign_surrogate_keys(li, ["l_orderkey", *ITEM_ORDER], "_line_rank")
+    first = ranked.groupBy("l_orderkey").agg(F.min("_line_rank").alias("_first_rank"))
+    return (
+        ranked.join(first, "l_orderkey")
+        .withColumn("item_no", (c("_line_rank") - c("_first_rank") + 1).cast("int"))
+        .drop("_line_rank", "_first_rank")
+    )
 
 
 def order_items(t, lines: DataFrame | None = None) -> DataFrame:
