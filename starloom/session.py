@@ -34,6 +34,34 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 32768) -> dict[str, str]:
+    """Recommended settings for a cluster run over ``input_bytes`` of input.
+
+    * Broadcast decisions only at run time: the static threshold trusts
+      compressed file sizes (a dimension can be many times larger in
+      memory), so it is off; AQE broadcasts a side after measuring it.
+      Explicit ``broadcast()`` hints in the library are only on
+      bounded tables (calendar, per-partition offsets).
+    * Shuffle partitions: one per GiB of input (shuffled data is a pruned
+      fraction of it), at least 200, at most ``max_partitions`` so the
+      map x reduce block count stays manageable; AQE coalesces small
+      partitions toward ``partition_bytes`` and splits skewed join ones.
+    """
+    parts = min(max(200, input_bytes >> 30), max_partitions)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def _conf(spark: SparkSession, key: str) -> str | None:
     try:
         return spark.conf.get(key, None)
