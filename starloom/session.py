@@ -14,7 +14,7 @@ _LOCAL_CKPT: dict[str, str] = {}
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "starloom") -> SparkSession:
     """Session used by tests and bench. Cluster users bring their own."""
     scratch = tempfile.mkdtemp(prefix="starloom-ckpt-")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -28,8 +28,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.checkpoint.dir", scratch)
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
-        .getOrCreate()
     )
+    # extra settings for experiments: STARLOOM_CONF="key=value,key=value"
+    for kv in filter(None, os.environ.get("STARLOOM_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        builder = builder.config(k.strip(), v.strip())
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
