@@ -31,9 +31,9 @@ def _base(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def as_of(df: DataFrame, dim_customer: DataFrame, day_col: str) -> DataFrame:
-    """Attach the customer version valid on ``day_col`` (inner join)."""
-    v = dim_customer.select(
+def customer_versions(dim_customer: DataFrame) -> DataFrame:
+    """Versions as the as-of join needs them (join key renamed ``_cid``)."""
+    return dim_customer.select(
         c("customer_id").alias("_cid"),
         "customer_unique_id",
         c("geography_sk").alias("_cust_geo"),
@@ -42,8 +42,13 @@ def as_of(df: DataFrame, dim_customer: DataFrame, day_col: str) -> DataFrame:
         "effective_date",
         "expiry_date",
     )
+
+
+def as_of(df: DataFrame, versions: DataFrame, day_col: str) -> DataFrame:
+    """Attach the customer version valid on ``day_col`` (inner join).
+    ``versions``: ``customer_versions(dim)``, possibly with more attributes."""
     cond = (c("customer_id") == c("_cid")) & c(day_col).between(c("effective_date"), c("expiry_date"))
-    return df.join(v, cond).drop("_cid", "effective_date", "expiry_date")
+    return df.join(versions, cond).drop("_cid", "effective_date", "expiry_date")
 
 
 def first_order(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -55,7 +60,7 @@ def first_order(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame) -
     instead of one per item; the final min per person is a grouped
     aggregate whose partial step absorbs a hot person."""
     days = _base(fact, dim_date).select("customer_id", "order_date").distinct()
-    asof = as_of(days, dim_customer, "order_date")
+    asof = as_of(days, customer_versions(dim_customer), "order_date")
     return asof.groupBy("customer_unique_id").agg(F.min("order_date").alias("first_order_date"))
 
 
@@ -69,15 +74,25 @@ def sales_view(
     dim_payment: DataFrame,
 ) -> DataFrame:
     """28 columns per order item, customer attributes as of the order day,
-    first-order date of the person and the new-customer flag."""
-    asof = as_of(_base(fact, dim_date), dim_customer, "order_date")
-    fco = first_order(fact, dim_date, dim_customer).withColumnRenamed("customer_unique_id", "_fuid")
+    first-order date of the person and the new-customer flag.
+
+    The version's geography and the person's first-order date depend only on
+    the customer version, so they are joined onto the versions (dimension
+    size) before the one as-of join, instead of onto every fact row."""
     geo = dim_geography.select(
         c("geography_sk").alias("_gsk"),
         c("zip_code_prefix").alias("customer_zip_asof"),
         c("latitude").alias("customer_lat_asof"),
         c("longitude").alias("customer_lng_asof"),
     )
+    fco = first_order(fact, dim_date, dim_customer).withColumnRenamed("customer_unique_id", "_fuid")
+    versions = (
+        customer_versions(dim_customer)
+        .join(geo, c("_cust_geo") == c("_gsk"), "left")
+        .join(fco, c("customer_unique_id") == c("_fuid"), "left")
+        .drop("_gsk", "_fuid", "_cust_geo")
+    )
+    asof = as_of(_base(fact, dim_date), versions, "order_date")
     prod = dim_product.select(
         c("product_sk").alias("_psk"),
         "product_id",
@@ -91,11 +106,9 @@ def sales_view(
     sell = dim_seller.select(c("seller_sk").alias("_ssk"), "seller_id", "seller_city", "seller_state")
     pay = dim_payment.select(c("payment_sk").alias("_pay"), "payment_type", "payment_installments")
     v = (
-        asof.join(geo, c("_cust_geo") == c("_gsk"), "left")
-        .join(prod, c("product_sk") == c("_psk"))
+        asof.join(prod, c("product_sk") == c("_psk"))
         .join(sell, c("seller_sk") == c("_ssk"))
         .join(pay, c("payment_sk") == c("_pay"), "left")
-        .join(fco, c("customer_unique_id") == c("_fuid"), "left")
     )
     return v.select(
         "order_id",
@@ -162,7 +175,7 @@ def fulfillment_view(
         .join(prod, c("product_sk") == c("_psk"))
         .join(sell, c("seller_sk") == c("_ssk"))
     )
-    f = as_of(f, dim_customer, "order_date")
+    f = as_of(f, customer_versions(dim_customer).drop("_cust_geo"), "order_date")
     return f.select(
         "order_id",
         "order_item_id",
