@@ -3,10 +3,13 @@ its dimensions.
 
 Join order keeps one partitioning as long as possible: items, orders and the
 primary payment all join on ``order_id``, so one exchange per input serves
-all three joins; the customer, product and seller lookups follow. The
-calendar has one row per day of a bounded span and is broadcast; every other
-dimension may grow with the business and is left to the planner (AQE turns
-a join into a broadcast only after it has measured the side).
+all three joins; the customer, product and seller lookups follow. Lookups
+that depend only on the order (payment junk key) or only on the customer
+version (geography key) are resolved on those smaller sides first, not on
+every item row. The calendar has one row per day of a bounded span and is
+broadcast; every other dimension may grow with the business and is left to
+the planner (AQE turns a join into a broadcast only after it has measured
+the side).
 """
 
 from __future__ import annotations
@@ -56,15 +59,24 @@ def build_fact_order_item(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
     )
     o = orders.select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("_day"))
-    pay = primary_payment(payments).select(
-        "order_id", c("payment_type").alias("_ptype"), c("payment_installments").alias("_pinst")
+    # order level: primary payment -> junk-dimension key (NULL parts never match)
+    plook = payment_lookup(dim_payment).select(
+        c("payment_type").alias("_lt"), c("payment_installments").alias("_li"), "payment_sk"
     )
-    current = dim_customer.filter(c("current_flag")).select(
-        "customer_id", "customer_sk", c("geography_sk").alias("_cust_geo")
+    pay = (
+        primary_payment(payments)
+        .join(plook, (c("payment_type") == c("_lt")) & (c("payment_installments") == c("_li")), "left")
+        .select("order_id", "payment_sk")
     )
+    # dimension level: current version + its geography key if that exists
     geo = dim_geography.select(c("geography_sk").alias("_geo_sk"), c("geography_sk").alias("geography_sk"))
+    current = (
+        dim_customer.filter(c("current_flag"))
+        .select("customer_id", "customer_sk", c("geography_sk").alias("_cust_geo"))
+        .join(geo, c("_cust_geo") == c("_geo_sk"), "left")
+        .select("customer_id", "customer_sk", "geography_sk")
+    )
     day = F.broadcast(dim_date.select(c("calendar_date").alias("_day"), "date_sk"))
-    plook = payment_lookup(dim_payment)
 
     f = (
         items.join(o, "order_id")
@@ -72,13 +84,7 @@ def build_fact_order_item(
         .join(current, "customer_id")
         .join(dim_product.select("product_id", "product_sk"), "product_id")
         .join(dim_seller.select("seller_id", "seller_sk"), "seller_id")
-        .join(geo, c("_cust_geo") == c("_geo_sk"), "left")
         .join(day, "_day")
-        .join(
-            plook,
-            (c("_ptype") == plook["payment_type"]) & (c("_pinst") == plook["payment_installments"]),
-            "left",
-        )
     )
     return f.select(
         "order_id",
