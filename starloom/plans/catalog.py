@@ -243,6 +243,11 @@ def q_dq_fact_grain(spark, sf):
     )
 
 
+def q_dq_rows_without_version(spark, sf):
+    w = _w(spark, sf)
+    return quality.rows_without_version(w.fact_order_item, w.dim_date, w.dim_customer)
+
+
 # ----------------------------------------------------------------- views
 def q_view_sales(spark, sf):
     return out(_w(spark, sf).sales)
@@ -290,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_one_current": q_dq_one_current,
     "dq_fact_grain": q_dq_fact_grain,
+    "dq_rows_without_version": q_dq_rows_without_version,
     "view_sales": q_view_sales,
     "first_order": q_first_order,
     "view_fulfillment": q_view_fulfillment,

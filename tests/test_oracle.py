@@ -28,7 +28,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert sorted(QUERIES) == sorted(ORACLE)
-    assert len(QUERIES) == 42
+    assert len(QUERIES) >= 42
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
