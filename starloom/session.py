@@ -12,7 +12,9 @@ _LOCAL_CKPT: dict[str, str] = {}
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "starloom") -> SparkSession:
-    """Session used by tests and bench. Cluster users bring their own."""
+    """Session used by tests and bench. Cluster users bring their own.
+    ``spark.checkpoint.dir`` is left as configured (spark-defaults); only if
+    nothing names one does ``checkpoint_root`` pick a private folder."""
     scratch = tempfile.mkdtemp(prefix="starloom-ckpt-")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -26,7 +28,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.checkpoint.dir", scratch)
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
     )
     # extra settings for experiments: STARLOOM_CONF="key=value,key=value"

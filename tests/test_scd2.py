@@ -103,7 +103,6 @@ def test_version_history_orders_changed_keys(spark):
 
 
 def _obs(spark, rows):
-    import datetime as dt  # noqa: F401
     from pyspark.sql import types as T
 
     schema = T.StructType([
