@@ -44,7 +44,7 @@ TRIG = ["geography_sk", "customer_city", "customer_state"]
 
 
 def customer_scd2_from_events(
-    dim: DataFrame, log: DataFrame, changes: DataFrame, dim_geography: DataFrame
+    dim: DataFrame, log: DataFrame, changes: DataFrame, dim_geography: DataFrame, next_sk: int | None = None
 ) -> DataFrame:
     """``changes`` = ``entity_changes(bronze, 'Customer', [...])``;
     ``log`` = full-row observations (``scd2.observations``)."""
@@ -113,7 +113,7 @@ def customer_scd2_from_events(
         nxt.isNull().alias("current_flag"),
         "deleted",
     ).filter(~c("deleted")).drop("deleted")
-    return scd2.replace_keys(dim, versions, touched)
+    return scd2.replace_keys(dim, versions, touched, next_sk)
 
 
 # ---------------------------------------------------------------- U7/U8
@@ -228,24 +228,33 @@ def publish_fact(fact: DataFrame, dim_date: DataFrame, path: str) -> DataFrame:
     return out.sparkSession.read.parquet(path)
 
 
-def upsert_fact_partitions(path: str, changes: DataFrame) -> DataFrame:
+def upsert_fact_partitions(path: str, changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """CDC MERGE into a month-partitioned fact that rewrites only the months
     holding a touched grain, plus the NULL-month partition that holds grains
     first seen in the events (they have no order day). The months of a batch
     are bounded by the calendar span, so their list is collected; the scan
     then prunes partitions. The new content of those months goes to a
     staging table first, so the table is never read and overwritten by the
-    same job."""
+    same job.
+
+    With ``base`` (the fact before any CDC, same layout), touched grains are
+    re-derived from their base row and *all* their events (``changes`` must
+    then hold every event of those grains): exact whatever the arrival order.
+    Without it, the current rows are the target and a row's
+    ``last_event_time`` keeps older events from overwriting newer ones."""
     from starloom.functions.storage import materialize, overwrite_partitions
 
     spark = changes.sparkSession
     fact = spark.read.parquet(path)
     cols = fact.columns
     keys = _item_changes(changes).select(*FACT_KEYS).distinct()
-    months = [r[0] for r in fact.join(keys, FACT_KEYS, "left_semi").select(FACT_PARTITION).distinct().collect()]
+    holders = fact if base is None else fact.select(*FACT_KEYS, FACT_PARTITION).unionByName(
+        base.select(*FACT_KEYS, FACT_PARTITION))  # a grain deleted earlier may come back
+    months = [r[0] for r in holders.join(keys, FACT_KEYS, "left_semi").select(FACT_PARTITION).distinct().collect()]
     part = fact.filter(c(FACT_PARTITION).isin([m for m in months if m is not None]) | c(FACT_PARTITION).isNull())
-    touched = part.join(keys, FACT_KEYS, "left_semi")
-    merged = fact_upsert(touched.drop(FACT_PARTITION), changes)
+    touched = (base if base is not None else part).join(keys, FACT_KEYS, "left_semi")
+    merged = fact_upsert(touched.drop(FACT_PARTITION).drop("last_event_time"), changes) if base is not None \
+        else fact_upsert(touched.drop(FACT_PARTITION), changes)
     month_of = touched.select(*FACT_KEYS, c(FACT_PARTITION).alias("_m"))
     merged = merged.join(month_of, FACT_KEYS, "left").withColumnRenamed("_m", FACT_PARTITION)
     rest = part.join(keys, FACT_KEYS, "left_anti")

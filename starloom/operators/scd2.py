@@ -87,10 +87,12 @@ def _max_sk(dim: DataFrame) -> int:
     return int(v or 0)
 
 
-def _number_new(rows: DataFrame, dim: DataFrame) -> DataFrame:
-    """Key new versions after the largest existing key, in (id, date) order."""
+def _number_new(rows: DataFrame, dim: DataFrame, next_sk: int | None = None) -> DataFrame:
+    """Key new versions after the largest existing key (or from ``next_sk``
+    when the caller holds only part of the dimension), in (id, date) order."""
     fresh = rows.filter(c("customer_sk").isNull()).drop("customer_sk")
-    keyed = assign_surrogate_keys(fresh, [KEY, "effective_date"], "customer_sk", start=_max_sk(dim) + 1)
+    start = next_sk if next_sk is not None else _max_sk(dim) + 1
+    keyed = assign_surrogate_keys(fresh, [KEY, "effective_date"], "customer_sk", start=start)
     return rows.filter(c("customer_sk").isNotNull()).unionByName(keyed.select(*DIM_COLUMNS))
 
 
@@ -191,15 +193,16 @@ def timeline(obs: DataFrame) -> DataFrame:
     )
 
 
-def replace_keys(dim: DataFrame, versions: DataFrame, touched: DataFrame) -> DataFrame:
+def replace_keys(dim: DataFrame, versions: DataFrame, touched: DataFrame, next_sk: int | None = None) -> DataFrame:
     """Swap the versions of ``touched`` keys for ``versions``. A version whose
     (key, effective_date) existed keeps its surrogate key; others get new
-    keys after the largest one. Versions of other keys pass unchanged."""
+    keys after the largest one (or from ``next_sk``). Versions of other keys
+    pass unchanged."""
     old_keys = dim.groupBy(KEY, "effective_date").agg(F.max("customer_sk").alias("customer_sk"))
     rebuilt = versions.drop("customer_sk").join(old_keys, [KEY, "effective_date"], "left").select(*DIM_COLUMNS)
     rebuilt = materialize(rebuilt, "scd2-rebuilt")
     untouched = dim.join(touched, KEY, "left_anti").select(*DIM_COLUMNS)
-    return untouched.unionByName(_number_new(rebuilt, dim))
+    return untouched.unionByName(_number_new(rebuilt, dim, next_sk))
 
 
 def rebuild_timeline(dim: DataFrame, log: DataFrame, arrivals: DataFrame) -> DataFrame:
