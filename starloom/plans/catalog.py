@@ -199,6 +199,14 @@ def q_cdc_type1_upsert(spark, sf):
     )
 
 
+def q_cdc_type1_upsert_seller(spark, sf):
+    w = _w(spark, sf)
+    ch = cdc.entity_changes(silver_decoded(spark, sf), "Seller", ENTITY_ATTRIBUTES["Seller"])
+    return cdc_apply.type1_upsert(
+        w.dim_seller, ch, "seller_id", {"seller_city": "string", "seller_state": "string"}, sk_col="seller_sk"
+    )
+
+
 def q_cdc_fact_upsert(spark, sf):
     w = _w(spark, sf)
     ch = cdc.entity_changes(silver_decoded(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
@@ -291,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "cdc_silver": q_cdc_silver,
     "cdc_customer_scd2": q_cdc_customer_scd2,
     "cdc_type1_upsert": q_cdc_type1_upsert,
+    "cdc_type1_upsert_seller": q_cdc_type1_upsert_seller,
     "cdc_fact_upsert": q_cdc_fact_upsert,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_one_current": q_dq_one_current,
