@@ -9,7 +9,9 @@
 * ``fact_upsert`` (U8): the same on the fact grain (order_id, order_item_id).
 
 Every step that could meet a hot key is a grouped aggregate with map-side
-combine (``max_by`` over an ordering struct) before any shuffle by key;
+combine (``max`` over (ordering, value) structs) before any shuffle by key;
+the same max merges a stored fold with a new batch, so folds are summaries
+that can be kept and updated incrementally;
 per-key windows only run after the events are folded to one row per key
 and day. Target rows of untouched keys pass through an anti join (the
 change set is broadcast once AQE has measured it small), so the big target
@@ -33,23 +35,15 @@ def _ord(time: Column, seq: Column, src: int) -> Column:
     return F.struct(F.lit(src).alias("src"), time.cast("timestamp_ntz").alias("t"), seq.cast("bigint").alias("id"))
 
 
-def _latest(value: Column, present: Column, ord_col: str = "ord") -> Column:
-    """Latest present value (wrapped so an explicit NULL stays distinguishable
-    from 'no value'): NULL when no row carried it."""
-    return F.max_by(F.struct(value.alias("v")), F.when(present, c(ord_col)))
-
-
 # ---------------------------------------------------------------- U6
 TRIG = ["geography_sk", "customer_city", "customer_state"]
+DAY_STATE = ["op_s", "uid_s", "geo_s", "city_s", "state_s"]
 
 
-def customer_scd2_from_events(
-    dim: DataFrame, log: DataFrame, changes: DataFrame, dim_geography: DataFrame, next_sk: int | None = None
-) -> DataFrame:
-    """``changes`` = ``entity_changes(bronze, 'Customer', [...])``;
-    ``log`` = full-row observations (``scd2.observations``)."""
+def customer_event_rows(changes: DataFrame, dim_geography: DataFrame) -> DataFrame:
+    """Decoded Customer events as change rows (zip -> geography key)."""
     geo = geography_lookup(dim_geography)
-    ev = changes.join(geo, zip_key("zip_code_prefix") == c("_zip"), "left").select(
+    return changes.join(geo, zip_key("zip_code_prefix") == c("_zip"), "left").select(
         c("primary_key").alias(KEY),
         F.to_date("event_time").alias("day"),
         _ord(c("event_time"), c("event_id"), 1).alias("ord"),
@@ -63,8 +57,12 @@ def customer_scd2_from_events(
         "has_customer_state",
         "customer_state",
     )
-    touched = ev.select(KEY).distinct()
-    base = log.join(touched, KEY, "left_semi").select(
+
+
+def observation_rows(log: DataFrame) -> DataFrame:
+    """Full-row observations (initial load, snapshots) as change rows that
+    carry every attribute, ordered before any event of the same day."""
+    return log.select(
         KEY,
         c("obs_date").alias("day"),
         _ord(c("obs_date"), c("obs_rank"), 0).alias("ord"),
@@ -78,19 +76,46 @@ def customer_scd2_from_events(
         F.lit(True).alias("has_customer_state"),
         "customer_state",
     )
-    rows = base.unionByName(ev)
-    daily = rows.groupBy(KEY, "day").agg(
-        F.max_by("op", "ord").alias("op"),
-        _latest(c("customer_unique_id"), c("has_uid")).alias("uid_s"),
-        _latest(c("geography_sk"), c("has_geo")).alias("geo_s"),
-        _latest(c("customer_city"), c("has_customer_city")).alias("city_s"),
-        _latest(c("customer_state"), c("has_customer_state")).alias("state_s"),
+
+
+def _latest_struct(value: Column, present: Column) -> Column:
+    """max over (ordering, value): the latest present value together with its
+    ordering, NULL when no row carried the attribute. An explicit NULL value
+    stays a non-NULL struct."""
+    return F.max(F.when(present, F.struct(c("ord").alias("ord"), value.alias("v"))))
+
+
+def fold_customer_days(rows: DataFrame) -> DataFrame:
+    """One row per (key, day): per attribute the latest (ordering, value).
+    A max per column, so folds merge associatively (``merge_customer_days``)
+    and a hot key's events are combined map-side."""
+    return rows.groupBy(KEY, "day").agg(
+        F.max(F.struct(c("ord").alias("ord"), c("op").alias("v"))).alias("op_s"),
+        _latest_struct(c("customer_unique_id"), c("has_uid")).alias("uid_s"),
+        _latest_struct(c("geography_sk"), c("has_geo")).alias("geo_s"),
+        _latest_struct(c("customer_city"), c("has_customer_city")).alias("city_s"),
+        _latest_struct(c("customer_state"), c("has_customer_state")).alias("state_s"),
     )
+
+
+def merge_customer_days(*folds: DataFrame) -> DataFrame:
+    """Merge day folds (e.g. stored state + a new batch): same max again."""
+    u = folds[0]
+    for f in folds[1:]:
+        u = u.unionByName(f)
+    return u.groupBy(KEY, "day").agg(*[F.max(x).alias(x) for x in DAY_STATE])
+
+
+def versions_from_days(days: DataFrame) -> DataFrame:
+    """Forward-fill each attribute over the days of a key, drop days equal to
+    the previous (null-safe, delete state included), close each version the
+    day before the next; a delete closes the open version and starts none.
+    The windows see one row per key and day."""
     fill = Window.partitionBy(KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = daily.select(
+    state = days.select(
         KEY,
         "day",
-        (c("op") == "delete").alias("deleted"),
+        (c("op_s")["v"] == "delete").alias("deleted"),
         F.last("uid_s", ignorenulls=True).over(fill)["v"].alias("customer_unique_id"),
         F.last("geo_s", ignorenulls=True).over(fill)["v"].alias("geography_sk"),
         F.last("city_s", ignorenulls=True).over(fill)["v"].alias("customer_city"),
@@ -102,7 +127,7 @@ def customer_scd2_from_events(
         same = same & F.lag(a).over(w).eqNullSafe(c(a))
     kept = state.withColumn("_keep", F.lag("day").over(w).isNull() | ~same).filter("_keep")
     nxt = F.lead("day").over(w)
-    versions = kept.select(
+    return kept.select(
         KEY,
         "customer_unique_id",
         "geography_sk",
@@ -113,21 +138,39 @@ def customer_scd2_from_events(
         nxt.isNull().alias("current_flag"),
         "deleted",
     ).filter(~c("deleted")).drop("deleted")
-    return scd2.replace_keys(dim, versions, touched, next_sk)
+
+
+def customer_scd2_from_events(
+    dim: DataFrame, log: DataFrame, changes: DataFrame, dim_geography: DataFrame, next_sk: int | None = None
+) -> DataFrame:
+    """``changes`` = ``entity_changes(events, 'Customer', [...])``;
+    ``log`` = full-row observations (``scd2.observations``). Touched keys
+    are rebuilt from their observations and events; others pass."""
+    ev = customer_event_rows(changes, dim_geography)
+    touched = ev.select(KEY).distinct()
+    rows = observation_rows(log.join(touched, KEY, "left_semi")).unionByName(ev)
+    return scd2.replace_keys(dim, versions_from_days(fold_customer_days(rows)), touched, next_sk)
 
 
 # ---------------------------------------------------------------- U7/U8
 def _fold(changes: DataFrame, keys: list[str], attributes: dict[str, str]) -> DataFrame:
-    """One row per key: last operation, last event time, and per attribute
-    the (time, value) of its latest present change."""
+    """One row per key: last (ordering, operation) and per attribute the
+    latest (ordering, value) of its present changes. Max per column, so a
+    stored fold and a new batch merge with ``merge_folds``."""
     ev = changes.withColumn("ord", _ord(c("event_time"), c("event_id"), 1))
-    aggs = [F.max("ord").alias("_last"), F.max_by("operation", "ord").alias("_op")]
+    aggs = [F.max(F.struct(c("ord").alias("ord"), c("operation").alias("v"))).alias("_op")]
     for a, typ in attributes.items():
-        v = F.struct(c("ord")["t"].alias("t"), c(a).try_cast(typ).alias("v"))
-        aggs.append(F.max_by(v, F.when(c(f"has_{a}"), c("ord"))).alias(f"_{a}"))
+        aggs.append(_latest_struct(c(a).try_cast(typ), c(f"has_{a}")).alias(f"_{a}"))
     return ev.groupBy(*keys).agg(*aggs)
 
 
+def merge_folds(keys: list[str], *folds: DataFrame) -> DataFrame:
+    u = folds[0]
+    for f in folds[1:]:
+        u = u.unionByName(f)
+    return u.groupBy(*keys).agg(*[F.max(x).alias(x) for x in u.columns if x not in keys])
+
+
 def _upsert(target: DataFrame, folded: DataFrame, keys: list[str], attributes: dict[str, str]) -> DataFrame:
     """Touched rows only: target (t) FULL OUTER JOIN folded changes (u)."""
     cols = [x for x in target.columns]
@@ -137,16 +180,17 @@ def _upsert(target: DataFrame, folded: DataFrame, keys: list[str], attributes: d
     t_last = c("t.last_event_time")
     newer = lambda ts: t_last.isNull() | (ts > t_last)
     j = target.alias("t").join(folded.alias("u"), [c(f"t.{k}") == c(f"u.{k}") for k in keys], "full")
-    deleted = c("u._op").isNotNull() & (c("u._op") == "delete") & newer(c("u._last")["t"])
+    last_t = c("u._op")["ord"]["t"]
+    deleted = c("u._op").isNotNull() & (c("u._op")["v"] == "delete") & newer(last_t)
     out = []
     for col in cols:
         if col in keys:
             out.append(F.coalesce(c(f"t.{col}"), c(f"u.{col}")).alias(col))
         elif col in attributes:
             ch = c(f"u._{col}")
-            out.append(F.when(ch.isNotNull() & newer(ch["t"]), ch["v"]).otherwise(c(f"t.{col}")).alias(col))
+            out.append(F.when(ch.isNotNull() & newer(ch["ord"]["t"]), ch["v"]).otherwise(c(f"t.{col}")).alias(col))
         elif col == "last_event_time":
-            out.append(F.greatest(t_last, c("u._last")["t"]).alias(col))
+            out.append(F.greatest(t_last, last_t).alias(col))
         else:
             out.append(c(f"t.{col}").alias(col))
     return j.filter(~F.coalesce(deleted, F.lit(False))).select(*out)
@@ -154,16 +198,18 @@ def _upsert(target: DataFrame, folded: DataFrame, keys: list[str], attributes: d
 
 def type1_upsert(
     target: DataFrame,
-    changes: DataFrame,
+    changes: DataFrame | None,
     key: str,
     attributes: dict[str, str],
     sk_col: str | None = None,
+    folded: DataFrame | None = None,
 ) -> DataFrame:
     """Type-1 overwrite: each attribute takes its latest present value, an
     event older than the row's ``last_event_time`` never overwrites, a
     delete drops the row, an unknown key is inserted (new surrogate key
     after the largest one)."""
-    folded = _fold(changes.withColumnRenamed("primary_key", key), [key], attributes)
+    if folded is None:
+        folded = _fold(changes.withColumnRenamed("primary_key", key), [key], attributes)
     keys = folded.select(key)
     untouched = target.join(keys, key, "left_anti")
     if "last_event_time" not in untouched.columns:
@@ -197,11 +243,18 @@ def _item_changes(changes: DataFrame) -> DataFrame:
 ITEM_ATTRS = {"price": "decimal(18,2)", "freight_value": "decimal(18,2)"}
 
 
-def fact_upsert(fact: DataFrame, changes: DataFrame, check_grain: bool = True) -> DataFrame:
-    """MERGE of OrderItem events into the fact on (order_id, order_item_id).
-    Only touched grains are rewritten; the grain check (no duplicate grain)
-    runs on the rewritten part before it is returned."""
-    folded = _fold(_item_changes(changes), FACT_KEYS, ITEM_ATTRS)
+def fold_items(changes: DataFrame) -> DataFrame:
+    return _fold(_item_changes(changes), FACT_KEYS, ITEM_ATTRS)
+
+
+def fact_upsert(
+    fact: DataFrame, changes: DataFrame | None, check_grain: bool = True, folded: DataFrame | None = None
+) -> DataFrame:
+    """MERGE of OrderItem events (or their ``fold_items`` summary) into the
+    fact on (order_id, order_item_id). Only touched grains are rewritten; the
+    grain check (no duplicate grain) runs on the rewritten part."""
+    if folded is None:
+        folded = fold_items(changes)
     keys = folded.select(*FACT_KEYS)
     fact = _with_event_time(fact)
     untouched = fact.join(keys, FACT_KEYS, "left_anti")
@@ -228,7 +281,9 @@ def publish_fact(fact: DataFrame, dim_date: DataFrame, path: str) -> DataFrame:
     return out.sparkSession.read.parquet(path)
 
 
-def upsert_fact_partitions(path: str, changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def upsert_fact_partitions(
+    path: str, changes: DataFrame | None, base: DataFrame | None = None, folded: DataFrame | None = None
+) -> DataFrame:
     """CDC MERGE into a month-partitioned fact that rewrites only the months
     holding a touched grain, plus the NULL-month partition that holds grains
     first seen in the events (they have no order day). The months of a batch
@@ -238,23 +293,25 @@ def upsert_fact_partitions(path: str, changes: DataFrame, base: DataFrame | None
     same job.
 
     With ``base`` (the fact before any CDC, same layout), touched grains are
-    re-derived from their base row and *all* their events (``changes`` must
-    then hold every event of those grains): exact whatever the arrival order.
+    re-derived from their base row and *all* their events (``changes``, or
+    ``folded`` = their merged ``fold_items`` summary, must then cover every
+    event of those grains): exact whatever the arrival order.
     Without it, the current rows are the target and a row's
     ``last_event_time`` keeps older events from overwriting newer ones."""
     from starloom.functions.storage import materialize, overwrite_partitions
 
-    spark = changes.sparkSession
+    folded = folded if folded is not None else fold_items(changes)
+    spark = folded.sparkSession
     fact = spark.read.parquet(path)
     cols = fact.columns
-    keys = _item_changes(changes).select(*FACT_KEYS).distinct()
+    keys = folded.select(*FACT_KEYS)
     holders = fact if base is None else fact.select(*FACT_KEYS, FACT_PARTITION).unionByName(
         base.select(*FACT_KEYS, FACT_PARTITION))  # a grain deleted earlier may come back
     months = [r[0] for r in holders.join(keys, FACT_KEYS, "left_semi").select(FACT_PARTITION).distinct().collect()]
     part = fact.filter(c(FACT_PARTITION).isin([m for m in months if m is not None]) | c(FACT_PARTITION).isNull())
     touched = (base if base is not None else part).join(keys, FACT_KEYS, "left_semi")
-    merged = fact_upsert(touched.drop(FACT_PARTITION).drop("last_event_time"), changes) if base is not None \
-        else fact_upsert(touched.drop(FACT_PARTITION), changes)
+    target = touched.drop(FACT_PARTITION)
+    merged = fact_upsert(target.drop("last_event_time") if base is not None else target, None, folded=folded)
     month_of = touched.select(*FACT_KEYS, c(FACT_PARTITION).alias("_m"))
     merged = merged.join(month_of, FACT_KEYS, "left").withColumnRenamed("_m", FACT_PARTITION)
     rest = part.join(keys, FACT_KEYS, "left_anti")
