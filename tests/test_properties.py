@@ -109,3 +109,15 @@ def test_watermark_dedup_of_replayed_files(spark, tmp_path):
     b2 = cdc.read_bronze(spark, out2)
     assert b2.count() == 2 * ce.count()
     assert cdc.dedup_events(b2).count() == ce.count()
+
+
+def test_every_customer_reaches_the_dimension(spark):
+    from starloom.plans.warehouse import warehouse
+
+    w = warehouse(spark, SF_SMALL)
+    ids = spark.read.parquet(f"{SF_SMALL}/customer.parquet").select(F.col("c_custkey").cast("string").alias("i"))
+    dim_ids = w.dim_customer.select(F.col("customer_id").alias("i")).distinct()
+    assert ids.join(dim_ids, "i", "left_anti").count() == 0
+    # and every order item whose product exists reaches the fact
+    items = w.sources["order_items"].join(w.dim_product.select("product_id"), "product_id", "left_semi")
+    assert items.count() == w.fact_order_item.count()
