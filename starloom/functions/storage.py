@@ -22,10 +22,28 @@ def table_path(df: DataFrame, name: str) -> str:
     return f"{root}/starloom-tables/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def layout(df: DataFrame, partition_by: list[str], spread: list[str] | None = None) -> DataFrame:
+    """Shuffle rows so a partitioned write makes few files.
+
+    Without ``spread``: one task per partition value (for partitions of
+    bounded size, e.g. key buckets). With ``spread``: range partitioning on
+    (partition columns, spread columns), so a large partition value is split
+    over several tasks and each task writes to one or two partition folders
+    instead of every task writing a small file into every folder."""
+    if spread:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartitionByRange(n, *partition_by, *spread)
+    return df.repartition(*partition_by)
+
+
+def materialize(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, spread: list[str] | None = None
+) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written copy."""
     path = table_path(df, name)
     t0 = time.time()
+    if partition_by:
+        df = layout(df, partition_by, spread)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -40,11 +58,15 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return out
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_by: list[str], spread: list[str] | None = None
+) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition
-    overwrite); every other partition of the table at ``path`` is left as is."""
+    overwrite); every other partition of the table at ``path`` is left as is.
+    Rows are laid out first (see ``layout``) so the write makes few files."""
     (
-        df.write.mode("overwrite")
+        layout(df, partition_by, spread)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

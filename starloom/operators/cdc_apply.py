@@ -277,7 +277,7 @@ def publish_fact(fact: DataFrame, dim_date: DataFrame, path: str) -> DataFrame:
         dim_date.select(c("date_sk").alias("_dsk"), (c("year") * 100 + c("month")).alias(FACT_PARTITION))
     )
     out = _with_event_time(fact.join(month, c("date_sk") == c("_dsk"), "left").drop("_dsk"))
-    overwrite_partitions(out, path, [FACT_PARTITION])
+    overwrite_partitions(out, path, [FACT_PARTITION], spread=FACT_KEYS)
     return out.sparkSession.read.parquet(path)
 
 
@@ -316,7 +316,8 @@ def upsert_fact_partitions(
     merged = merged.join(month_of, FACT_KEYS, "left").withColumnRenamed("_m", FACT_PARTITION)
     rest = part.join(keys, FACT_KEYS, "left_anti")
     staged = materialize(
-        rest.select(*cols).unionByName(merged.select(*cols)), "fact-upsert-staging", partition_by=[FACT_PARTITION]
+        rest.select(*cols).unionByName(merged.select(*cols)), "fact-upsert-staging",
+        partition_by=[FACT_PARTITION], spread=FACT_KEYS,
     )
-    overwrite_partitions(staged, path, [FACT_PARTITION])
+    overwrite_partitions(staged, path, [FACT_PARTITION], spread=FACT_KEYS)
     return spark.read.parquet(path)

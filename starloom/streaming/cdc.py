@@ -132,7 +132,7 @@ def build_silver(bronze: DataFrame) -> DataFrame:
     every entity applier reads it instead of re-decoding bronze."""
     from starloom.functions.storage import materialize
 
-    return materialize(decoded(bronze), "cdc-silver-decoded", partition_by=["entity_name"])
+    return materialize(decoded(bronze), "cdc-silver-decoded", partition_by=["entity_name"], spread=["event_id"])
 
 
 def entity_changes(events: DataFrame, entity: str, attributes: list[str]) -> DataFrame:
