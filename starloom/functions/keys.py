@@ -9,6 +9,11 @@ partitions. The per-partition count table has at most ``num_partitions`` rows,
 a proven bound, so it is collected and applied as a literal map: the keyed
 table is then a plain scan + projection of the written copy. The result
 equals ``start - 1 + ROW_NUMBER() OVER (ORDER BY key ASC NULLS FIRST)``.
+
+Retries: a re-run task numbers its partition 0..n-1 again, and only the
+committed attempt's output is ever read, so keys stay unique and dense.
+With a unique ``order_by`` they are also the same on every rebuild; among
+rows with equal keys the order (and so the numbering) is not fixed.
 """
 
 from __future__ import annotations
