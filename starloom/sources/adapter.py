@@ -238,7 +238,10 @@ def payments(t, lines: DataFrame | None = None) -> DataFrame:
 
 
 def retail_sources(t) -> dict[str, DataFrame]:
-    lines = order_lines(t)
+    from starloom.functions.storage import materialize
+
+    # numbered lines feed items, payments and the checks: landed once
+    lines = materialize(order_lines(t), "order_lines")
     return {
         "customers": customers_initial(t),
         "customers_snapshot": customers_snapshot(t),
