@@ -63,3 +63,31 @@ def assign_surrogate_keys(
     return ranged.join(F.broadcast(offsets), _PID).select(
         (F.col("_sk_shift") + F.col(_MID)).cast("bigint").alias(sk_col), *df.columns
     )
+
+
+def keep_keys(
+    df: DataFrame,
+    order_by: list[str],
+    sk_col: str,
+    previous: DataFrame | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Surrogate keys that stay put across rebuilds.
+
+    Without ``previous``: ``assign_surrogate_keys``. With the previous
+    version of the dimension, rows whose natural key (``order_by``) is known
+    keep their key (null-safe equi join); only new natural keys are numbered,
+    after the largest existing key, in natural-key order."""
+    if previous is None:
+        return assign_surrogate_keys(df, order_by, sk_col, num_partitions=num_partitions)
+    known = previous.select(*[F.col(k).alias(f"_k_{k}") for k in order_by], F.col(sk_col).alias("_k_sk"))
+    cond = None
+    for k in order_by:
+        t = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        cond = t if cond is None else cond & t
+    joined = df.join(known, cond, "left")
+    old = joined.filter(F.col("_k_sk").isNotNull()).select(F.col("_k_sk").alias(sk_col), *df.columns)
+    fresh = joined.filter(F.col("_k_sk").isNull()).select(*df.columns)
+    top = previous.agg(F.max(sk_col)).first()[0] or 0
+    new = assign_surrogate_keys(fresh, order_by, sk_col, start=int(top) + 1, num_partitions=num_partitions)
+    return old.unionByName(new)

@@ -2,7 +2,9 @@
 seller, payment (junk), calendar.
 
 Surrogate keys are dense and ordered by the natural key (see
-``functions.keys``), so a rebuild gives every row the same key again.
+``functions.keys``). Passing the previous version of a dimension
+(``previous=``) keeps every known natural key's surrogate key and numbers
+only new keys after the largest, so facts keyed on an older build stay valid.
 Zip codes are joined through ``try_cast``: ANSI casts raise on bad input.
 """
 
@@ -13,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.keys import assign_surrogate_keys
+from starloom.functions.keys import keep_keys
 
 OPEN_START = dt.date(1900, 1, 1)
 OPEN_END = dt.date(9999, 12, 31)
@@ -25,7 +27,7 @@ def zip_key(col: str) -> F.Column:
     return F.expr(f"try_cast({col} AS INT)")
 
 
-def build_dim_geography(geolocation: DataFrame) -> DataFrame:
+def build_dim_geography(geolocation: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """One row per *integer* zip: the raw zip spellings ('01234', '1234') of
     one number fold into one row, so a zip lookup never multiplies rows.
     City/state take the smallest value (a fixed choice instead of FIRST)."""
@@ -35,7 +37,7 @@ def build_dim_geography(geolocation: DataFrame) -> DataFrame:
         (F.sum("geolocation_lat") / F.count("geolocation_lat")).alias("latitude"),
         (F.sum("geolocation_lng") / F.count("geolocation_lng")).alias("longitude"),
     )
-    return assign_surrogate_keys(g, ["zip_code_prefix"], "geography_sk")
+    return keep_keys(g, ["zip_code_prefix"], "geography_sk", previous)
 
 
 def geography_lookup(dim_geography: DataFrame) -> DataFrame:
@@ -56,7 +58,9 @@ def stage_customers(customers: DataFrame, dim_geography: DataFrame) -> DataFrame
     )
 
 
-def build_dim_customer_initial(customers: DataFrame, dim_geography: DataFrame) -> DataFrame:
+def build_dim_customer_initial(
+    customers: DataFrame, dim_geography: DataFrame, previous: DataFrame | None = None
+) -> DataFrame:
     """First version of every customer, valid 1900-01-01 .. 9999-12-31."""
     staged = stage_customers(customers, dim_geography).select(
         "*",
@@ -64,10 +68,10 @@ def build_dim_customer_initial(customers: DataFrame, dim_geography: DataFrame) -
         F.lit(OPEN_END).alias("expiry_date"),
         F.lit(True).alias("current_flag"),
     )
-    return assign_surrogate_keys(staged, ["customer_id", "effective_date"], "customer_sk")
+    return keep_keys(staged, ["customer_id", "effective_date"], "customer_sk", previous)
 
 
-def build_dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
+def build_dim_product(products: DataFrame, translation: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Products with an id, English category name by LEFT JOIN.
     The translation table holds one row per category (a lookup, tiny by
     nature); Spark broadcasts it when its measured size allows."""
@@ -87,20 +91,20 @@ def build_dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
         "product_height_cm",
         "product_width_cm",
     )
-    return assign_surrogate_keys(p, ["product_id"], "product_sk")
+    return keep_keys(p, ["product_id"], "product_sk", previous)
 
 
-def build_dim_payment(payments: DataFrame) -> DataFrame:
+def build_dim_payment(payments: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Junk dimension: distinct (type, installments), NULL combination kept."""
     d = payments.select("payment_type", "payment_installments").distinct()
-    return assign_surrogate_keys(d, ["payment_type", "payment_installments"], "payment_sk")
+    return keep_keys(d, ["payment_type", "payment_installments"], "payment_sk", previous)
 
 
-def build_dim_seller(sellers: DataFrame, dim_geography: DataFrame) -> DataFrame:
+def build_dim_seller(sellers: DataFrame, dim_geography: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     s = with_geography(sellers, "seller_zip_code_prefix", dim_geography).select(
         "seller_id", "geography_sk", "seller_city", "seller_state"
     )
-    return assign_surrogate_keys(s, ["seller_id"], "seller_sk")
+    return keep_keys(s, ["seller_id"], "seller_sk", previous)
 
 
 def build_dim_date(orders: DataFrame) -> DataFrame:

@@ -39,23 +39,28 @@ class Warehouse:
     extra: dict = field(default_factory=dict)
 
 
-def build_dimensions(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    geo = dims.build_dim_geography(src["geolocation"])
+def build_dimensions(src: dict[str, DataFrame], previous: "Warehouse | None" = None) -> dict[str, DataFrame]:
+    """``previous``: an earlier build whose surrogate keys must stay valid."""
+
+    def prev(name: str) -> DataFrame | None:
+        return getattr(previous, name) if previous is not None else None
+
+    geo = dims.build_dim_geography(src["geolocation"], prev("dim_geography"))
     return {
         "dim_geography": geo,
-        "dim_customer_initial": dims.build_dim_customer_initial(src["customers"], geo),
-        "dim_product": dims.build_dim_product(src["products"], src["category_translation"]),
-        "dim_payment": dims.build_dim_payment(src["payments"]),
-        "dim_seller": dims.build_dim_seller(src["sellers"], geo),
+        "dim_customer_initial": dims.build_dim_customer_initial(src["customers"], geo, prev("dim_customer_initial")),
+        "dim_product": dims.build_dim_product(src["products"], src["category_translation"], prev("dim_product")),
+        "dim_payment": dims.build_dim_payment(src["payments"], prev("dim_payment")),
+        "dim_seller": dims.build_dim_seller(src["sellers"], geo, prev("dim_seller")),
         # one row per day: written once instead of re-deriving min/max from
         # the orders at every use
         "dim_date": materialize(dims.build_dim_date(src["orders"]), "dim_date"),
     }
 
 
-def build(tables, snapshot_date=adapter.SNAPSHOT_DATE) -> Warehouse:
+def build(tables, snapshot_date=adapter.SNAPSHOT_DATE, previous: Warehouse | None = None) -> Warehouse:
     src = adapter.retail_sources(tables)
-    d = build_dimensions(src)
+    d = build_dimensions(src, previous)
     staged = scd2.stage_snapshot(src["customers_snapshot"], d["dim_geography"], snapshot_date)
     dim_customer = materialize(scd2.apply_snapshot(d["dim_customer_initial"], staged), "dim_customer")
     f = fact.build_fact_order_item(

@@ -36,3 +36,26 @@ def test_many_partitions_use_offset_table(spark, monkeypatch):
     df = spark.range(0, 300, numPartitions=3).select((F.col("id") * 37 % 300).alias("k"))
     got = keys.assign_surrogate_keys(df, ["k"], "sk", num_partitions=6)
     assert sorted((r.k, r.sk) for r in got.collect()) == [(i, i + 1) for i in range(300)]
+
+
+def test_keys_stay_put_across_rebuilds(spark):
+    from starloom.operators import dims
+
+    prods = spark.createDataFrame(
+        [(f"p{i:02d}", "ECONOMY", 5, 10, 1, 2, 3, 4, 5) for i in range(0, 10, 2)],
+        "product_id string, product_category_name string, product_name_lenght int, "
+        "product_description_lenght int, product_photos_qty int, product_weight_g int, product_length_cm int, "
+        "product_height_cm int, product_width_cm int",
+    )
+    tr = spark.createDataFrame([("ECONOMY", "economy")], "product_category_name string, "
+                                                        "product_category_name_english string")
+    v1 = dims.build_dim_product(prods, tr)
+    first = {r.product_id: r.product_sk for r in v1.collect()}
+    assert first == {"p00": 1, "p02": 2, "p04": 3, "p06": 4, "p08": 5}
+    more = prods.unionByName(prods.filter("product_id = 'p02'").withColumn("product_id", F.lit("p03")))
+    v2 = dims.build_dim_product(more, tr, previous=v1)
+    second = {r.product_id: r.product_sk for r in v2.collect()}
+    assert {k: second[k] for k in first} == first     # known keys unchanged
+    assert second["p03"] == 6                          # new key after the largest
+    # without the previous version the order-based numbering would shift p04..
+    assert {r.product_id: r.product_sk for r in dims.build_dim_product(more, tr).collect()}["p04"] == 4
