@@ -85,10 +85,12 @@ def test_rebuild_twice_equals_once(spark):
 
     a = build(load_tables(spark, SF_SMALL))
     b = build(load_tables(spark, SF_SMALL))
+    c = build(load_tables(spark, SF_SMALL), previous=a)   # keys carried from the previous build
     for name in ("dim_geography", "dim_customer", "dim_product", "dim_payment", "dim_seller", "dim_date",
                  "fact_order_item", "sales", "fulfillment"):
-        x, y = getattr(a, name), getattr(b, name)
+        x, y, z = getattr(a, name), getattr(b, name), getattr(c, name)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+        assert x.exceptAll(z).count() == 0 and z.exceptAll(x).count() == 0, name
 
 
 def test_watermark_dedup_of_replayed_files(spark, tmp_path):
