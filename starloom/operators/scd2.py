@@ -198,7 +198,11 @@ def replace_keys(dim: DataFrame, versions: DataFrame, touched: DataFrame, next_s
     (key, effective_date) existed keeps its surrogate key; others get new
     keys after the largest one (or from ``next_sk``). Versions of other keys
     pass unchanged."""
-    old_keys = dim.groupBy(KEY, "effective_date").agg(F.max("customer_sk").alias("customer_sk"))
+    old_keys = (
+        dim.join(touched, KEY, "left_semi")  # only the touched keys' versions matter
+        .groupBy(KEY, "effective_date")
+        .agg(F.max("customer_sk").alias("customer_sk"))
+    )
     rebuilt = versions.drop("customer_sk").join(old_keys, [KEY, "effective_date"], "left").select(*DIM_COLUMNS)
     rebuilt = materialize(rebuilt, "scd2-rebuilt")
     untouched = dim.join(touched, KEY, "left_anti").select(*DIM_COLUMNS)
