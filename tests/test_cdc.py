@@ -182,7 +182,7 @@ def test_foreach_batch_gold_equals_one_shot_apply(spark, tmp_path):
     land = str(tmp_path / "landing")
     cdc.land_events(change_events(spark.read.parquet(f"{sf}/events.parquet")), land, files=4)
     app = CdcGoldApplier(str(tmp_path / "gold"), w.dim_customer, catalog.customer_log(w), w.dim_geography,
-                         w.dim_product, w.fact_order_item, w.dim_date, buckets=16)
+                         w.dim_product, w.fact_order_item, w.dim_date, buckets=16, dim_seller=w.dim_seller)
     cdc.run_cdc_batches(spark, land, str(tmp_path / "ck"), app, max_files_per_trigger=1)
     assert len(app.batches) == 4
 
@@ -194,10 +194,12 @@ def test_foreach_batch_gold_equals_one_shot_apply(spark, tmp_path):
         catalog.q_cdc_customer_scd2(spark, sf), {"customer_sk"})
     assert strip(app.table("dim_product"), {"product_sk"}) == strip(
         catalog.q_cdc_type1_upsert(spark, sf), {"product_sk"})
+    assert strip(app.table("dim_seller"), {"seller_sk"}) == strip(
+        catalog.q_cdc_type1_upsert_seller(spark, sf), {"seller_sk"})
     inc = catalog.out(app.table("fact").drop("order_month"))
     assert strip(inc, set()) == strip(catalog.q_cdc_fact_upsert(spark, sf), set())
     # surrogate keys stay unique; existing products keep theirs
-    for name, sk in (("dim_customer", "customer_sk"), ("dim_product", "product_sk")):
+    for name, sk in (("dim_customer", "customer_sk"), ("dim_product", "product_sk"), ("dim_seller", "seller_sk")):
         t = app.table(name)
         assert t.select(sk).distinct().count() == t.count()
     kept = app.table("dim_product").join(w.dim_product.select("product_id", F.col("product_sk").alias("o")),
