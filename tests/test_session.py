@@ -38,3 +38,32 @@ def test_cluster_conf_bounds():
     assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == "32768"
     assert cluster_conf(1 << 40)["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+
+
+def test_reports_unchanged_under_cluster_conf(spark):
+    from conftest import SF_SMALL
+    from starloom.plans import catalog
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple(map(str, t)))
+
+    base = rows(catalog.QUERIES["q_spend_by_version"](spark, SF_SMALL))
+    conf = cluster_conf(1 << 40)
+    conf["spark.sql.shuffle.partitions"] = "64"          # keep the local run small
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        from starloom.plans.warehouse import build
+        from starloom.sources.tables import load_tables
+
+        w = build(load_tables(spark, SF_SMALL))
+        from starloom.plans import reports as R
+
+        assert rows(R.q_spend_by_version(w.sales)) == base
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
