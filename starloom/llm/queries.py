@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import rules, token_counts, warc
+from starloom.llm import bitplane_store, rules, token_counts, warc
 from starloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -22,6 +22,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", counts.n_tokens > TOKEN_LIMIT)
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane_store.read_ids(bitplane_store.write_ids(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
     "op10_warc": op10_warc,
 }
