@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import by_bytes, create, materialize, open_shared, shared_folder, texts
+from starloom.llm.common import by_bytes, create, map_arrow, materialize, open_shared, shared_folder, texts
 
 MAGIC = b"BPL1"
 BLOCK_IDS = 8192
@@ -186,7 +186,7 @@ def write_ids(df: DataFrame, tokenizer_path: str, folder: str | None = None, kin
             yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [uri], "n_docs": [writer.n_docs], "n_ids": [writer.n_ids], "n_bytes": [writer.place]})
 
     ordered = texts(df, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(write, MANIFEST), "token-id-manifest")
+    return materialize(map_arrow(ordered, write, MANIFEST), "token-id-manifest")
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:
@@ -217,4 +217,4 @@ def read_ids(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                         yield pa.RecordBatch.from_pydict(out | ({"ids": pa.array(parts, pa.binary())} if with_ids else {}))
                         start += int(ends[-1])
 
-    return with_starts(manifest).mapInArrow(read, schema)
+    return map_arrow(with_starts(manifest), read, schema)

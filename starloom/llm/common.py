@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import contextlib
 import re
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.storage import materialize
 from starloom.session import checkpoint_root
 
-__all__ = ["WORD", "WORD_BYTES", "by_bytes", "checkpoint_root", "create", "materialize", "open_shared", "read_table", "shared_folder", "texts"]
+__all__ = ["WORD", "WORD_BYTES", "by_bytes", "checkpoint_root", "create", "map_arrow", "materialize", "open_shared", "read_table", "shared_folder", "texts"]
 
 #: The word of all contracts: a run of anything but ASCII white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -30,10 +34,28 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow`` whose workers can import this package: its sources go
+    with the application (``addPyFile``), once."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="starloom-src-")) / "starloom_src.zip"  # the driver serves it to executors
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted(package.rglob("*.py")):
+                z.write(p, p.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(function, schema)
+
+
 def by_bytes(column: pa.Array, limit: int):
     """Index ranges of a string column that hold about ``limit`` bytes each
     (one longer value makes a range of its own)."""
-    sizes = pa.compute.binary_length(column).to_pylist()
+    sizes = pc.binary_length(column).to_pylist()
     start = total = 0
     for i, n in enumerate(sizes):
         if total and total + n > limit:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import by_bytes, texts
+from starloom.llm.common import by_bytes, map_arrow, texts
 
 GROUP_BYTES = 1 << 20
 BATCH_BYTES = 256 << 10
@@ -79,4 +79,4 @@ def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = texts(df, id_col, text_col).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    return rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
+    return map_arrow(rows, count, "doc_id long, n_bytes long, n_tokens long")

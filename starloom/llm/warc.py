@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import create, materialize, open_shared, shared_folder
+from starloom.llm.common import create, map_arrow, materialize, open_shared, shared_folder
 
 MIN_REVISIT_BYTES = 1000
 READ_BYTES = 256 << 10
@@ -144,7 +144,7 @@ def write_archives(marked: DataFrame, folder: str | None = None, level: int = 6)
         if n:
             yield pa.RecordBatch.from_pydict({"archive": [uri], "n_records": [n], "n_bytes": [size]})
 
-    return materialize(marked.mapInArrow(write, MANIFEST), "warc-manifest")
+    return materialize(map_arrow(marked, write, MANIFEST), "warc-manifest")
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -183,4 +183,4 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     arrow = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")])
     n = max(1, manifest.count())
-    return manifest.select("archive").repartition(n).mapInArrow(read, schema)
+    return map_arrow(manifest.select("archive").repartition(n), read, schema)
