@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bitplane_store, rules, token_counts, warc
+from starloom.llm import bitplane_store, rules, suffix_array, suffix_trees, token_counts, warc
 from starloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -17,6 +17,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(read_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
     return counts.withColumn("over_limit", counts.n_tokens > TOKEN_LIMIT)
@@ -30,15 +34,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(warc.mark_revisits(read_table(spark, sf_dir, "pages")))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_token_counts": op2_token_counts,
     "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op10_warc": op10_warc,
 }
 
