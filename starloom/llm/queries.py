@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bitplane_store, rules, suffix_array, suffix_trees, token_counts, warc
+from starloom.llm import bitplane_store, rules, simhash, suffix_array, suffix_trees, token_counts, warc
 from starloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -38,6 +38,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_trees.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op8_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(warc.mark_revisits(read_table(spark, sf_dir, "pages")))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -49,6 +53,7 @@ QUERIES = {
     "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_simhash_ball": op8_simhash_ball,
     "op10_warc": op10_warc,
 }
 
