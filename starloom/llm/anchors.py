@@ -164,17 +164,18 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _WORD_TABLE = mix(np.arange(1, 64 * 256 + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the words, runs of anything but ASCII white space."""
+def word_bounds(data: bytes, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words, runs of bytes that are not ``outside``; of
+    anything but ASCII white space, if not told otherwise."""
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[np.frombuffer(data, np.uint8)]
+    inside[1:-1] = ~outside[np.frombuffer(data, np.uint8)]
     edges = np.diff(inside)
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def word_symbols(data: bytes) -> np.ndarray:
+def word_symbols(data: bytes, outside: np.ndarray = _SPACE) -> np.ndarray:
     """A 64-bit hash of each word (tabulation by byte and place)."""
-    starts, ends = word_bounds(data)
+    starts, ends = word_bounds(data, outside)
     if not len(starts):
         return np.empty(0, np.uint64)
     sizes = ends - starts

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bitplane_store, rules, simhash, suffix_array, suffix_trees, token_counts, warc
+from starloom.llm import bitplane_store, decontaminate, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc
 from starloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -38,10 +38,19 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_trees.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_stream.round_trip(read_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op8_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_items", "item_ids", "best_score", "contaminated")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(warc.mark_revisits(read_table(spark, sf_dir, "pages")))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -53,7 +62,9 @@ QUERIES = {
     "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_simhash_ball": op8_simhash_ball,
+    "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
 }
 
