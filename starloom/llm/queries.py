@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bitplane_store, decontaminate, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc
+from starloom.llm import bitplane_store, cotraining, decontaminate, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc
 from starloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -26,6 +26,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", counts.n_tokens > TOKEN_LIMIT)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane_store.read_ids(bitplane_store.write_ids(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")))
 
@@ -59,6 +63,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
