@@ -24,9 +24,11 @@ files and no rows.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import by_bytes, create, map_arrow, materialize, open_shared, shared_folder, texts
+from starloom.llm.common import create, map_arrow, materialize, open_shared, shared_folder, texts
 
 MAGIC = b"BPL1"
 BLOCK_IDS = 8192
 CHUNK_IDS = 1 << 18
-GROUP_BYTES = 1 << 20
-MEMO_PARTS = 300_000
+MEMO_PARTS = 500_000
 MEMO_CHARS = 48
 END_ID = 0
 MANIFEST = "shard long, file string, n_docs long, n_ids long, n_bytes long"
@@ -49,47 +50,90 @@ MANIFEST = "shard long, file string, n_docs long, n_ids long, n_bytes long"
 #: A blank between two other characters: the byte-level pre-tokenizer always starts a token there.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 
-_loaded: dict = {}
 
+#: White space other than a blank and a line feed.
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
-def _encoder(path: str):
-    if path not in _loaded:
+
+#: A part that is letters with at most a line feed before and marks (no apostrophe) after
+#: them: these are one pre-token each. All characters of the Latin ranges are letters.
+SIMPLE = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+class Encoder(dict):
+    """Encodes texts as the library does, by parts. Texts are cut before each
+    blank or line feed that stands alone between other characters; there the
+    pre-tokenizer always starts a new token. This is the memo of the parts' ids;
+    of two generations the older one goes when the younger is full, so memory
+    is bounded and frequent parts stay."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.no_truncation()
-        t.no_padding()
-        _loaded[path] = t, {}
-    return _loaded[path]
-
-
-def encode_group(path: str, group: list[str]) -> list[np.ndarray]:
-    """Ids of some texts, as the library gives them. Texts are split at safe
-    blanks; each new part is encoded once and kept in a bounded memo."""
-    tokenizer, memo = _encoder(path)
-    parted = []
-    for t in group:
-        parts = SAFE.split(t)
-        # the first part has no blank before it: a key of its own
-        parts[0] = "\n" + parts[0]
-        parted.append(parts)
-    new = list(set().union(*parted).difference(memo))
-    if len(memo) + len(new) > MEMO_PARTS:  # a bound on memory; later parts are encoded again
-        memo.clear()
-        new = list(set().union(*parted))
-    for a, b in by_bytes(pa.array(new, pa.large_string()), 256 << 10):
-        # a part that follows a blank cannot start with white space, so "\n" marks first parts
-        batch = [p[1:] if p[0] == "\n" else " " + p for p in new[a:b]]
-        for p, e in zip(new[a:b], tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-            memo[p] = np.array(e.ids, "<u4").tobytes()
-    out = [np.frombuffer(b"".join(map(memo.__getitem__, parts)), "<u4") for parts in parted]
-    for p in new:
-        if len(p) > MEMO_CHARS:
-            del memo[p]
-    return out
-
-
-def to_planes(ids: np.ndarray, kind: str = "bit") -> list[bytes]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.older: dict[str, bytes] = {}
+        self.literal: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, blank: str, letters: str) -> bytes:
+        piece = letters if letters.isascii() else self.tokenizer.pre_tokenizer.pre_tokenize_str(letters)[0][0]
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(blank + piece)]).tobytes()
+
+    def _marks(self, text: str) -> bytes:
+        if (ids := self.literal.get(text)) is None:
+            ids = self._encode(text)
+            if len(text) <= 4:  # few
+                self.literal[text] = ids
+        return ids
+
+    def __missing__(self, part: str) -> bytes:
+        """The ids of a part that had a blank before it or starts with a line feed."""
+        ids = self.older.get(part)
+        if ids is None:
+            if simple := SIMPLE.fullmatch(part):
+                feed, letters, marks = simple.groups()
+                if feed:
+                    ids = self._marks(feed) + self._letters("", letters)
+                elif not marks or (ids := self.get(letters) or self.older.get(letters)) is None:
+                    ids = self._letters("\u0120", letters)
+                if marks:
+                    ids += self._marks(marks)
+            else:
+                ids = self._encode(part if part[:1] == "\n" else " " + part)
+        if len(part) <= MEMO_CHARS:
+            if len(self) >= MEMO_PARTS:
+                self.older = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        parts = None
+        if not any(c in text for c in OTHER_SPACE):
+            parts = text.replace("\n", " \n").split(" ")
+            if "" in parts or "\n" in parts:
+                parts = None
+        first, *rest = parts or SAFE.split(text)
+        return np.frombuffer(self._encode(first) + b"".join(map(self.__getitem__, rest)), "<u4")
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder, made once for each Python worker."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
+def to_planes(ids: np.ndarray, kind: str = "byte") -> list[bytes]:
     """The planes of a block: 32 bit planes or 4 byte planes."""
     raw = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
     if kind == "byte":
@@ -98,7 +142,7 @@ def to_planes(ids: np.ndarray, kind: str = "bit") -> list[bytes]:
     return [x.tobytes() for x in np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")]
 
 
-def from_planes(planes: list[bytes], n: int, kind: str = "bit") -> np.ndarray:
+def from_planes(planes: list[bytes], n: int, kind: str = "byte") -> np.ndarray:
     if kind == "byte":
         raw = np.stack([np.frombuffer(p, np.uint8, n) for p in planes], axis=1)
     else:
@@ -110,7 +154,7 @@ def from_planes(planes: list[bytes], n: int, kind: str = "bit") -> np.ndarray:
 class Writer:
     """Writes a file of chunks to a stream."""
 
-    def __init__(self, out, kind: str = "bit", block_ids: int = BLOCK_IDS, chunk_ids: int = CHUNK_IDS, level: int = 3):
+    def __init__(self, out, kind: str = "byte", block_ids: int = BLOCK_IDS, chunk_ids: int = CHUNK_IDS, level: int = 3):
         self.out, self.kind, self.block_ids, self.chunk_ids = out, kind, block_ids, chunk_ids
         self.zstd = zstandard.ZstdCompressor(level=level)
         self.place, self.chunks, self.docs, self.parts, self.held, self.n_ids, self.n_docs = len(MAGIC), [], [], [], 0, 0, 0
@@ -127,7 +171,7 @@ class Writer:
         ids, blocks, start = np.concatenate(self.parts), [], self.place
         for i in range(0, len(ids), self.block_ids):
             block = ids[i : i + self.block_ids]
-            packed = [self.zstd.compress(p) if any(p) else b"" for p in to_planes(block, self.kind)]
+            packed = [self.zstd.compress(p) if p.strip(b"\0") else b"" for p in to_planes(block, self.kind)]
             for p in packed:
                 self.out.write(p)
             self.place += sum(map(len, packed))
@@ -166,7 +210,7 @@ def read_chunk(stream, chunk: dict, kind: str) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, "<u4")
 
 
-def write_ids(df: DataFrame, tokenizer_path: str, folder: str | None = None, kind: str = "bit", end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_ids(df: DataFrame, tokenizer_path: str, folder: str | None = None, kind: str = "byte", end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode the texts of ``df`` in ascending id order and write them;
     returns the written manifest, one row a file."""
     folder = folder or shared_folder(df.sparkSession, "token-ids")
@@ -177,10 +221,8 @@ def write_ids(df: DataFrame, tokenizer_path: str, folder: str | None = None, kin
         with create(folder, f"part-{shard:06d}.bpl") as (uri, out):
             writer = Writer(out, kind)
             for batch in batches:
-                ids, column = batch.column("doc_id").to_pylist(), batch.column("text")
-                for a, b in by_bytes(column, GROUP_BYTES):
-                    for doc_id, tokens in zip(ids[a:b], encode_group(tokenizer_path, column.slice(a, b - a).to_pylist()), strict=True):
-                        writer.add(doc_id, np.concatenate([tokens, end]))
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                    writer.add(doc_id, np.concatenate([encoder(tokenizer_path).encode(text.as_py()), end]))
             writer.close()
         if writer.n_docs:
             yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [uri], "n_docs": [writer.n_docs], "n_ids": [writer.n_ids], "n_bytes": [writer.place]})
