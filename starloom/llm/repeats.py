@@ -52,6 +52,7 @@ HEAVY_SHARE = 2048
 KERNEL_SYMBOLS = 400_000
 #: Id of rows without one: below all others.
 NO_ID = -(2**63)
+NAMES = ["key", "tie", "start", "length"]
 
 
 @dataclass(frozen=True)
@@ -70,8 +71,8 @@ Kernel = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, n
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(key, tie, doc_id, text) of (doc_id, text) rows."""
-    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.hash("text").alias("tie"), "doc_id", "text")
+    """(key, tie) and the columns of ``texts`` rows."""
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.hash("text").alias("tie"), *docs.columns)
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
@@ -111,13 +112,27 @@ def _first_of(new: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
 
 
+def _union(key: np.ndarray, tie: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    """The same spans, those of a document that meet made one."""
+    order = np.lexsort((start, tie, key))
+    key, tie, start, length = key[order], tie[order], start[order], length[order]
+    new = _changes(key, tie)
+    # ends so far, document by document: each document's places come after the last one's
+    shift = (np.cumsum(new) - 1) * (int((start + length).max(initial=0)) + 1)
+    ends = np.maximum.accumulate(start + length + shift)
+    new[1:] |= start[1:] + shift[1:] > ends[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:] - 1, len(key) - 1)[: len(first)]
+    return [key[first], tie[first], start[first], ends[last] - shift[first] - start[first]]
+
+
 def _heavy(docs: DataFrame, unit: Unit, window: int, gram: int) -> np.ndarray:
     """Sorted hashes of the most frequent anchors of a bounded sample."""
     n = docs.count()
 
     def count(batches):
         for batch in batches:
-            found = anchors.segments([unit.hashes(unit.raw(t.encode())) for t in batch.column("text").to_pylist()], window, gram).anchor
+            found = anchors.segments((unit.hashes(unit.raw(t.as_py().encode())) for t in batch.column("text")), window, gram).anchor
             values, counts = np.unique(found, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts, pa.int64())], ["anchor", "n"])
 
@@ -127,10 +142,14 @@ def _heavy(docs: DataFrame, unit: Unit, window: int, gram: int) -> np.ndarray:
     return np.sort(np.array([r.anchor for r in counts.filter(F.col("n") >= least).collect()], np.int64).view(np.uint64))
 
 
-def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int, later_in_document: bool) -> DataFrame:
-    """(key, tie, start, length) in symbols: occurrences of repeats that also
-    start earlier: in a smaller document or, with ``later_in_document``, also
-    before in the same one. ``docs``: rows of ``keyed``."""
+def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int, later_in_document: bool = True, all_occurrences: bool = False) -> DataFrame:
+    """(key, tie, start, length) in symbols: spans of strings that also start
+    earlier: in a smaller document or, with ``later_in_document``, also before
+    in the same one. ``docs``: rows of ``keyed``.
+
+    With ``all_occurrences``: (group, key, tie, start, length), a row for each
+    occurrence of each maximal repeat, the first one too. Equal segments are a
+    group of their own, whose first member stands for them in other groups."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     heavy = _heavy(docs, unit, window, gram)
@@ -150,10 +169,12 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
                 keys, ties = part.column("key").to_numpy(), part.column("tie").to_numpy()
                 order = np.lexsort((ties, keys))  # document numbers follow the ids
                 keys, ties, text = keys[order], ties[order], part.column("text")
-                s = anchors.segments([unit.hashes(unit.raw(text[i].as_py().encode())) for i in order.tolist()], window, gram, heavy)
+                s = anchors.segments((unit.hashes(unit.raw(text[i].as_py().encode())) for i in order.tolist()), window, gram, heavy)
                 rows = np.lexsort((s.start, s.doc, s.content, s.anchor))
                 new = _changes(s.anchor[rows], s.content[rows])
-                if later_in_document:
+                if all_occurrences:
+                    keep = np.ones(len(rows), bool)
+                elif later_in_document:
                     keep = new
                 else:
                     keep = keys[s.doc[rows]] == keys[s.doc[rows[_first_of(new)]]]
@@ -182,13 +203,18 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
         group = np.cumsum(_changes(anchor)) - 1
         several = np.bincount(group, weights=new)[group] > 1 if len(group) else new
         ask = first & several
-        rest_key = np.concatenate([p[5][p[4][len(p[0]) :]] for p in parts])
-        rest_tie = np.concatenate([p[6][p[4][len(p[0]) :]] for p in parts])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([key[~first], rest_key, key[ask]])), pa.array(np.concatenate([tie[~first], rest_tie, tie[ask]])), pa.array(np.concatenate([at[~first], *[p[3] for p in parts], at[ask]])),
-             pa.array(np.concatenate([np.zeros(len(rest_key) + int((~first).sum()), np.int64), anchor[ask].view(np.int64)]), mask=np.arange(len(rest_key) + int((~first | ask).sum())) < len(rest_key) + int((~first).sum()))],
-            ["key", "tie", "place", "anchor"],
-        )
+        whole = ~first
+        if all_occurrences:  # of a group with several members, all
+            number = np.cumsum(new) - 1
+            whole = np.bincount(number)[number] > 1 if len(number) else new
+        rest_key, rest_tie = (np.concatenate([p[i][p[4][len(p[0]) :]] for p in parts]) for i in (5, 6))
+        rest_at = np.concatenate([p[3] for p in parts])
+        n = int(whole.sum()) + len(rest_at)
+        columns = [pa.array(np.concatenate(x)) for x in ((key[whole], rest_key, key[ask]), (tie[whole], rest_tie, tie[ask]), (at[whole], rest_at, at[ask]))]
+        columns.append(pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(anchor[ask].view(np.int64))]))
+        if all_occurrences:
+            columns.append(pa.concat_arrays([pa.array(anchors.mix(anchor ^ content)[whole].view(np.int64)), pa.nulls(int(ask.sum()), pa.int64())]))
+        yield pa.RecordBatch.from_arrays(columns, ["key", "tie", "place", "anchor", "group"][: len(columns)])
 
     def fetch(batches):
         """Step 3: blocks of the segments asked for, with their symbols."""
@@ -220,6 +246,7 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
         order = order[_changes(*(x[order] for x in (anchor, key, tie, start)))]
         group_ends = np.append(np.flatnonzero(_changes(anchor[order]))[1:], len(order))
         total, begin = 0, 0
+        found: list[tuple] = []
         sums = np.cumsum(size[order])
         for i, end in enumerate(group_ends):
             following = group_ends[i + 1] if i + 1 < len(group_ends) else None
@@ -238,17 +265,29 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
             o = np.lexsort((s, t, k, group))
             group, k, t, s, length = group[o], k[o], t[o], s[o], length[o]
             new = _changes(group)
-            later = ~new if later_in_document else k != k[_first_of(new)]
-            yield pa.RecordBatch.from_arrays([pa.array(k[later]), pa.array(t[later].astype(np.int32)), pa.array(s[later]), pa.array(length[later])], ["key", "tie", "start", "length"])
+            if all_occurrences:
+                first = np.flatnonzero(new)
+                name = anchors.mix(k[first].view(np.uint64) ^ anchors.mix(t[first].astype(np.uint64) << np.uint64(40) ^ s[first].astype(np.uint64)) + length[first].astype(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name.view(np.int64)[np.cumsum(new) - 1], k, t.astype(np.int32), s, length)], ["group", *NAMES])
+            else:
+                later = ~new if later_in_document else k != k[_first_of(new)]
+                found.append((k[later], t[later], s[later], length[later]))
+        if found:
+            k, t, s, length = _union(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(t.astype(np.int32)), pa.array(s), pa.array(length)], NAMES)
 
     block = "bucket int, block binary"
+    if all_occurrences:
+        docs = docs.dropDuplicates(["key", "tie"])
     cut_blocks = map_arrow(docs.select("key", "tie", "text"), cut, block).repartitionById(buckets, "bucket")
-    places = materialize(map_arrow(cut_blocks, compare, "key long, tie int, place long, anchor long"), "repeat-places")
+    group = "group long, " if all_occurrences else ""
+    places = materialize(map_arrow(cut_blocks, compare, "key long, tie int, place long, anchor long" + ", group long" * all_occurrences), "repeat-places")
     asked = places.filter("anchor is not null").groupBy("key", "tie").agg(F.collect_list(F.struct("place", "anchor")).alias("asked"))
     held = docs.select("key", "tie", "text").join(asked, ["key", "tie"])
     fetched = map_arrow(held, fetch, block).repartitionById(buckets, "bucket")
-    whole = places.filter("anchor is null").select("key", "tie", F.shiftright("place", 24).alias("start"), (F.shiftright("place", 12).bitwiseAND(0xFFF) + window).alias("length"))
-    return whole.unionByName(map_arrow(fetched, refine, "key long, tie int, start long, length long"))
+    whole = places.filter("anchor is null").withColumns({"start": F.shiftright("place", 24), "length": F.shiftright("place", 12).bitwiseAND(0xFFF) + window})
+    refined = map_arrow(fetched, refine, group + "key long, tie int, start long, length long")
+    return whole.select(*refined.columns).unionByName(refined)
 
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starloom.llm import anchors, repeats
 from starloom.llm.common import map_arrow, texts
@@ -126,11 +127,20 @@ def maximal_repeats(symbols: np.ndarray, firsts: np.ndarray, window: int) -> tup
     return occurrences(order, first[diverse], last[diverse], length[diverse])
 
 
+def repeat_groups(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(group, doc_id, start, length): a row for each occurrence of each
+    maximal repeat, in bytes; ``repeats.repeats`` tells how groups of equal
+    segments stand for their members. Rows that repeat count once."""
+    rows = repeats.keyed(texts(df, id_col, text_col))
+    found = repeats.repeats(rows, BYTES, maximal_repeats, window, gram, all_occurrences=True)
+    return found.select("group", F.when(F.col("key") != repeats.NO_ID, F.col("key")).alias("doc_id"), "start", "length")
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``keyed`` rows with the spans (start, length in bytes) of strings that
     also start earlier. ``docs``: (doc_id, text)."""
     rows = repeats.keyed(docs)
-    return repeats.with_spans(rows, repeats.repeats(rows, BYTES, maximal_repeats, window, gram, later_in_document=True))
+    return repeats.with_spans(rows, repeats.repeats(rows, BYTES, maximal_repeats, window, gram))
 
 
 def remove_repeats(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
