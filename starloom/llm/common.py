@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from starloom.functions.storage import materialize
 from starloom.session import checkpoint_root
 
-__all__ = ["WORD", "WORD_BYTES", "by_bytes", "checkpoint_root", "create", "map_arrow", "materialize", "open_shared", "read_table", "shared_folder", "texts"]
+__all__ = ["WORD", "WORD_BYTES", "by_bytes", "carried", "checkpoint_root", "create", "map_arrow", "materialize", "open_shared", "read_table", "shared_folder", "texts", "unpacked"]
 
 #: The word of all contracts: a run of anything but ASCII white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -28,10 +28,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id long, text string) of any table: a null text is an empty one,
-    all other columns are pruned, so their names cannot clash."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    all other columns are pruned, so their names cannot clash. ``keep`` names
+    columns to carry along, in one struct ``_with``."""
+    kept = [F.struct(*[F.col(c) for c in keep]).alias("_with")] if keep else []
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *kept)
+
+
+def carried(df: DataFrame) -> tuple[list[str], str]:
+    """The name of ``texts``' struct if ``df`` has it, and its part of a schema."""
+    kind = dict(df.dtypes).get("_with")
+    return (["_with"], f", _with {kind}") if kind else ([], "")
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """``df`` with the struct's columns in its place."""
+    return df.select(*[c for c in df.columns if c != "_with"], "_with.*") if "_with" in df.columns else df
 
 
 _shipped: set[str] = set()

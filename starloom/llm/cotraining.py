@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.anchors import word_symbols
-from starloom.llm.common import map_arrow, materialize
+from starloom.llm.common import carried, map_arrow, materialize, texts, unpacked
 
 MAX_LABELLED = 16000
 MAX_POOL = 8000
@@ -201,9 +201,10 @@ def co_train(labelled: list[tuple[list[np.ndarray], int]], pool: list[list[np.nd
     return judge
 
 
-def _rows(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), text(text_col).alias("text"), text(lang_col).alias("lang"), text(source_col).alias("source"))
+def _rows(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    more = {c: F.coalesce(F.col(f"_with.{n}").cast("string"), F.lit("")) for c, n in (("lang", lang_col), ("source", source_col))}
+    rows = texts(df, id_col, text_col, tuple(dict.fromkeys((*keep, lang_col, source_col)))).withColumns(more)
+    return rows.withColumn("_with", F.struct(*[F.col(f"_with.{c}") for c in keep])) if keep else rows.drop("_with")
 
 
 def _views(text: str, lang: str, source: str) -> list[np.ndarray]:
@@ -235,17 +236,20 @@ def fit(df: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_
     return {t: co_train([(s, r[t]) for s, r in zip(sets, found, strict=True) if r[t] is not None], pool, rounds) for t in TARGETS}
 
 
-def judge(df: DataFrame, judges: dict[str, Judge], reject_at: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """(doc_id, p_low_quality, p_toxic, kept) of each row of ``df``."""
+def judge(df: DataFrame, judges: dict[str, Judge], reject_at: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, p_low_quality, p_toxic, kept) of each row of ``df``, and the
+    columns ``keep``."""
+    rows = _rows(df, id_col, text_col, lang_col, source_col, keep)
+    more, schema = carried(rows)
 
     def score(batches):
         for batch in batches:
             sets = [_views(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source")), strict=True)]
             scores = {t: np.array([judges[t].probability(s) for s in sets]) for t in TARGETS}
             kept = np.all([scores[t] < reject_at for t in TARGETS], axis=0)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **{f"p_{t}": pa.array(scores[t], pa.float64()) for t in TARGETS}, "kept": pa.array(kept, pa.bool_())})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **{f"p_{t}": pa.array(scores[t], pa.float64()) for t in TARGETS}, "kept": pa.array(kept, pa.bool_())} | {c: batch.column(c) for c in more})
 
-    return map_arrow(_rows(df, id_col, text_col, lang_col, source_col), score, "doc_id long, p_low_quality double, p_toxic double, kept boolean")
+    return unpacked(map_arrow(rows, score, f"doc_id long, p_low_quality double, p_toxic double, kept boolean{schema}"))
 
 
 def classify(df: DataFrame, labels: DataFrame, **options) -> DataFrame:

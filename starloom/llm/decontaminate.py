@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.anchors import word_bounds, word_symbols
-from starloom.llm.common import by_bytes, map_arrow, texts
+from starloom.llm.common import by_bytes, carried, map_arrow, texts, unpacked
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -225,10 +225,22 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str):
 
 
 def contamination(
-    df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, question: float = QUESTION_SHARE, answer: float = ANSWER_SHARE
+    df: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    threshold: float = THRESHOLD,
+    question: float = QUESTION_SHARE,
+    answer: float = ANSWER_SHARE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, text, n_items, item_ids, best_score, contaminated) of each row."""
-    rows = texts(df, id_col, text_col).withColumns({"item_ids": F.expr("cast(array() as array<long>)"), "best_score": F.lit(0.0)})
+    """(doc_id, text, n_items, item_ids, best_score, contaminated) of each row,
+    and the columns ``keep``."""
+    rows = texts(df, id_col, text_col, keep)
+    more, schema = carried(rows)
+    rows = rows.withColumns({"item_ids": F.expr("cast(array() as array<long>)"), "best_score": F.lit(0.0)})
     spark = df.sparkSession
     for index in _shards(benchmark, item_id_col, item_text_col):
         shipped = spark.sparkContext.broadcast(index)  # at most some times SHARD_BYTES
@@ -240,8 +252,9 @@ def contamination(
                     found += leaks(shipped.value, [terms(t.as_py()) for t in column.slice(a, b - a)], threshold, question, answer)
                 ids = [sorted({*old, *new}) for old, new in zip(batch.column("item_ids").to_pylist(), found, strict=True)]
                 best = [max([old, *new.values()]) for old, new in zip(batch.column("best_score").to_pylist(), found, strict=True)]
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text": column, "item_ids": pa.array(ids, pa.list_(pa.int64())), "best_score": pa.array(best, pa.float64())})
+                carry = {c: batch.column(c) for c in ("doc_id", "text", *more)}
+                yield pa.RecordBatch.from_pydict(carry | {"item_ids": pa.array(ids, pa.list_(pa.int64())), "best_score": pa.array(best, pa.float64())})
 
-        rows = map_arrow(rows, search, "doc_id long, text string, item_ids array<long>, best_score double")
+        rows = map_arrow(rows, search, f"doc_id long, text string{schema}, item_ids array<long>, best_score double")
     n = F.size("item_ids").cast("long")
-    return rows.select("doc_id", "text", n.alias("n_items"), "item_ids", "best_score", (n > 0).alias("contaminated"))
+    return unpacked(rows.select("doc_id", "text", *more, n.alias("n_items"), "item_ids", "best_score", (n > 0).alias("contaminated")))

@@ -280,8 +280,8 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return map_arrow(rows, run, ", ".join([f"`{c}` {k}" for c, k in rows.dtypes] + ["decoded string"]))
 
 
-def round_trip(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, n_byte_tokens, ids_crc32, same): encode,
-    decode, and compare with the text."""
+    decode, and compare with the text; the ids too if asked for."""
     both = decode(encode(df, model_path, id_col, text_col, keep=("text",)), model_path)
-    return both.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "n_tokens", "n_byte_tokens", F.crc32("ids").alias("ids_crc32"), (F.col("text") == F.col("decoded")).alias("same"))
+    return both.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "n_tokens", "n_byte_tokens", F.crc32("ids").alias("ids_crc32"), (F.col("text") == F.col("decoded")).alias("same"), *["ids"] * with_ids)

@@ -62,14 +62,15 @@ def fingerprint(text: str, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, bits long) of each row."""
+    """(doc_id, bits long, content long) of each row; ``content``: a hash of the text."""
 
     def compute(batches):
         for batch in batches:
             bits = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], ["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64)), batch.column("content")], ["doc_id", "bits", "content"])
 
-    return map_arrow(texts(df, id_col, text_col), compute, "doc_id long, bits long")
+    rows = texts(df, id_col, text_col).withColumn("content", F.xxhash64("text"))
+    return map_arrow(rows, compute, "doc_id long, bits long, content long")
 
 
 def _flips() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -201,13 +202,30 @@ def linked(bits: DataFrame, radius: int = RADIUS) -> DataFrame:
     return map_arrow(balls, verify, "u long, v long")
 
 
+def _classes(docs: DataFrame, radius: int) -> DataFrame:
+    """(bits, chosen) for each distinct fingerprint of ``fingerprints`` rows;
+    ``chosen``: (missing, doc_id, content) of the class's document with the
+    smallest id, null ids last."""
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "content"))
+    distinct = materialize(docs.groupBy("bits").agg(one.alias("one")), "distinct-fingerprints")
+    stars = components(linked(distinct.select("bits"), radius))
+    classes = distinct.join(stars, distinct.bits == stars.node, "left").select("bits", "one", F.coalesce("least", "bits").alias("class"))
+    return classes.join(classes.groupBy("class").agg(F.min("one").alias("chosen")), "class").select("bits", "chosen")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of each row: 16 hex digits, and the
     smallest id that links reach."""
     docs = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    distinct = materialize(docs.groupBy("bits").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
-    stars = components(linked(distinct.select("bits"), radius))
-    classes = distinct.join(stars, distinct.bits == stars.node, "left").select("bits", "least_id", F.coalesce("least", "bits").alias("class"))
-    ids = classes.groupBy("class").agg(F.min("least_id").alias("component_id"))
-    named = classes.join(ids, "class").select(F.col("bits").alias("_bits"), "component_id")
-    return docs.join(named, docs.bits == named._bits).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+    classes = _classes(docs, radius).select(F.col("bits").alias("_bits"), F.col("chosen.doc_id").alias("component_id"))
+    return docs.join(classes, docs.bits == classes._bits).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each class the document
+    with the smallest id, once if its row repeats."""
+    docs = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
+    chosen = _classes(docs, radius).select(F.col("chosen.doc_id").alias("_chosen_id"), F.col("chosen.content").alias("_chosen_content")).distinct()
+    content = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    found = df.withColumn("_content", content).join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_chosen_id")) & (F.col("_content") == F.col("_chosen_content")), "left_semi")
+    return found.dropDuplicates([id_col, "_content"]).drop("_content")

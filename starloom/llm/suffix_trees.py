@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from starloom.llm import anchors, repeats
-from starloom.llm.common import map_arrow, texts
+from starloom.llm.common import carried, map_arrow, texts, unpacked
 
 WINDOW = 50
 GRAM = 16
@@ -153,20 +153,23 @@ def cut_words(data: bytes, spans: list | None) -> tuple[int, int, bytes, bytes]:
     return len(words), int((~keep).sum()), b" ".join(w for w, k in zip(words, keep.tolist(), strict=True) if k), kept_text
 
 
-def remove_repeats(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """For each row of ``df``: (doc_id, n_words, n_removed, kept_sha256), and
-    the remaining text, white space kept, if asked for."""
+def remove_repeats(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """For each row of ``df``: (doc_id, n_words, n_removed, kept_sha256), the
+    remaining text as ``kept``, white space and all, if asked for, and the
+    columns ``keep``."""
+    spans = repeated_words(texts(df, id_col, text_col, keep), window, gram)
+    more, schema = carried(spans)
 
     def remove(batches):
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_sha256") + ("kept",) * with_text}
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                n, removed, joined, rest = cut_words(text.encode(), spans)
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                n, removed, joined, rest = cut_words(text.encode(), found)
                 row = (n, removed, hashlib.sha256(joined).hexdigest()) + (rest.decode(),) * with_text
                 for c, v in zip(out.values(), row, strict=True):
                     c.append(v)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **out}, schema=arrow)
+            columns = {"doc_id": batch.column("doc_id")} | {c: pa.array(v, pa.int64() if c.startswith("n_") else pa.string()) for c, v in out.items()}
+            yield pa.RecordBatch.from_pydict(columns | {c: batch.column(c) for c in more})
 
-    arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())] + [("kept", pa.string())] * with_text)
-    spans = repeated_words(texts(df, id_col, text_col), window, gram).select("doc_id", "text", "spans")
-    return map_arrow(spans, remove, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+    kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text + schema
+    return unpacked(map_arrow(spans.select("doc_id", "text", "spans", *more), remove, kinds))
