@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import bitplane_store, cotraining, decontaminate, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc
 from starloom.llm.common import read_table
+from starloom.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 TOKEN_LIMIT = 2048
 
@@ -72,17 +75,3 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
 }
-
-ORACLE = {
-    "op10_warc": """
-        WITH p AS (
-          SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
-        ), k AS (
-          SELECT digest, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY digest
-        )
-        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
-               CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN keeper <> page_id THEN keeper END AS refers_to
-        FROM p LEFT JOIN k USING (digest)
-    """,
-}
