@@ -5,10 +5,10 @@ single-partition sort.
 range-partition on the key, sort inside each partition, tag each row with its
 partition id and in-partition position, write that once (so the sampled range
 boundaries and positions are fixed), then add the row count of all earlier
-partitions. The per-partition count table has at most ``num_partitions`` rows,
-a proven bound, so it is collected and applied as a literal map: the keyed
-table is then a plain scan + projection of the written copy. The result
-equals ``start - 1 + ROW_NUMBER() OVER (ORDER BY key ASC NULLS FIRST)``.
+partitions. The per-partition count table has one row per partition, a proven
+bound, so it is collected, summed up and joined back as a broadcast table (a
+hash lookup per row, at every partition count). The result equals
+``start - 1 + ROW_NUMBER() OVER (ORDER BY key ASC NULLS FIRST)``.
 
 Retries: a re-run task numbers its partition 0..n-1 again, and only the
 committed attempt's output is ever read, so keys stay unique and dense.
@@ -18,16 +18,12 @@ rows with equal keys the order (and so the numbering) is not fixed.
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.storage import materialize
 
 _PID, _MID = "_sk_pid", "_sk_mid"
-# Up to this many partitions the offsets are a literal map in the projection.
-MAX_LITERAL_PARTITIONS = 2000
 
 
 def assign_surrogate_keys(
@@ -54,11 +50,6 @@ def assign_surrogate_keys(
         seen += n
     if not shift:
         return ranged.select(F.lit(None).cast("bigint").alias(sk_col), *df.columns)
-    if len(shift) <= MAX_LITERAL_PARTITIONS:
-        table = F.create_map(*chain.from_iterable((F.lit(p), F.lit(v)) for p, v in sorted(shift.items())))
-        sk = (F.element_at(table, F.col(_PID)) + F.col(_MID)).cast("bigint")
-        return ranged.select(sk.alias(sk_col), *df.columns)
-    # many partitions: a (pid, shift) table, still one row per partition
     offsets = spark.createDataFrame(sorted(shift.items()), f"{_PID} int, _sk_shift long")
     return ranged.join(F.broadcast(offsets), _PID).select(
         (F.col("_sk_shift") + F.col(_MID)).cast("bigint").alias(sk_col), *df.columns

@@ -40,7 +40,14 @@ def materialize(
     df: DataFrame, name: str, partition_by: list[str] | None = None, spread: list[str] | None = None
 ) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written copy."""
-    path = table_path(df, name)
+    return write_table(df, table_path(df, name), partition_by, spread)
+
+
+def write_table(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, spread: list[str] | None = None
+) -> DataFrame:
+    """Write ``df`` to ``path`` (replacing what is there) and return a
+    DataFrame that reads it."""
     t0 = time.time()
     if partition_by:
         df = layout(df, partition_by, spread)
@@ -49,13 +56,19 @@ def materialize(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     if os.environ.get("STARLOOM_TRACE"):
-        print(f"[starloom] wrote {name} in {time.time() - t0:.2f}s", file=sys.stderr)
-    out = df.sparkSession.read.parquet(path)
-    if partition_by:
-        # partition columns come back last and with inferred types
-        types = {f.name: f.dataType for f in df.schema.fields}
-        out = out.select(*[out[c].cast(types[c]).alias(c) if c in partition_by else out[c] for c in df.columns])
-    return out
+        print(f"[starloom] wrote {path.rsplit('/', 1)[-1]} in {time.time() - t0:.2f}s", file=sys.stderr)
+    # with the schema given, also a write without any row can be read back
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark, path: str) -> None:
+    """Delete a staging table of this library (a folder below the checkpoint
+    folder) once nothing reads it any more."""
+    root = checkpoint_root(spark)
+    if not path.startswith(f"{root}/starloom-tables/"):
+        raise ValueError(f"{path} is not a staging table below {root}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def overwrite_partitions(

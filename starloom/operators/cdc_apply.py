@@ -5,8 +5,19 @@
   (initial load, snapshots) plus all their events, so a late event lands at
   its event time and later versions inherit what it set. Deletes close the
   current version (no new version); history is never removed.
-* ``type1_upsert`` (U7): overwrite attributes by key (product, seller).
-* ``fact_upsert`` (U8): the same on the fact grain (order_id, order_item_id).
+* ``type1_upsert`` (U7): overwrite attributes by key (product, seller, order).
+* ``fact_upsert`` (U8): the same on the fact grain (order_id, order_item_id);
+  ``payment_upsert`` on payments, whose primary payment moves the fact's key.
+
+Type-1 targets are *state tables*: next to its attributes a row keeps, per
+attribute, the ordering of the event that set it, and the orderings of its last
+operation and its last delete; a deleted row stays as a marker. All of these
+are maxima, so any split of the events into runs, in any order, gives the same
+table. ``current`` is the table without markers and state.
+
+A delete also resets the row: what was set before it does not come back when
+the key is inserted again (its surrogate key does, as the key's row is the
+same one).
 
 Every step that could meet a hot key is a grouped aggregate with map-side
 combine (``max`` over (ordering, value) structs) before any shuffle by key;
@@ -24,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import assign_surrogate_keys
+from starloom.functions.storage import materialize, overwrite_partitions, remove, table_path, write_table
 from starloom.operators import scd2
 from starloom.operators.dims import OPEN_END, geography_lookup, zip_key
 
@@ -31,13 +43,18 @@ c = F.col
 KEY = scd2.KEY
 
 
+def event_order() -> Column:
+    """Orders events of one time: by id, or by arrival if an event has none."""
+    return F.coalesce(c("event_id"), c("arrival_seq"))
+
+
 def _ord(time: Column, seq: Column, src: int) -> Column:
     return F.struct(F.lit(src).alias("src"), time.cast("timestamp_ntz").alias("t"), seq.cast("bigint").alias("id"))
 
 
 # ---------------------------------------------------------------- U6
 TRIG = ["geography_sk", "customer_city", "customer_state"]
-DAY_STATE = ["op_s", "uid_s", "geo_s", "city_s", "state_s"]
+DAY_STATE = ["op_s", "del_s", "uid_s", "geo_s", "city_s", "state_s"]
 
 
 def customer_event_rows(changes: DataFrame, dim_geography: DataFrame) -> DataFrame:
@@ -46,7 +63,7 @@ def customer_event_rows(changes: DataFrame, dim_geography: DataFrame) -> DataFra
     return changes.join(geo, zip_key("zip_code_prefix") == c("_zip"), "left").select(
         c("primary_key").alias(KEY),
         F.to_date("event_time").alias("day"),
-        _ord(c("event_time"), c("event_id"), 1).alias("ord"),
+        _ord(c("event_time"), event_order(), 1).alias("ord"),
         c("operation").alias("op"),
         F.lit(False).alias("has_uid"),
         F.lit(None).cast("string").alias("customer_unique_id"),
@@ -91,6 +108,7 @@ def fold_customer_days(rows: DataFrame) -> DataFrame:
     and a hot key's events are combined map-side."""
     return rows.groupBy(KEY, "day").agg(
         F.max(F.struct(c("ord").alias("ord"), c("op").alias("v"))).alias("op_s"),
+        F.max(F.when(c("op") == "delete", c("ord"))).alias("del_s"),
         _latest_struct(c("customer_unique_id"), c("has_uid")).alias("uid_s"),
         _latest_struct(c("geography_sk"), c("has_geo")).alias("geo_s"),
         _latest_struct(c("customer_city"), c("has_customer_city")).alias("city_s"),
@@ -107,19 +125,26 @@ def merge_customer_days(*folds: DataFrame) -> DataFrame:
 
 
 def versions_from_days(days: DataFrame) -> DataFrame:
-    """Forward-fill each attribute over the days of a key, drop days equal to
+    """Carry each attribute forward over the days of a key, drop days equal to
     the previous (null-safe, delete state included), close each version the
     day before the next; a delete closes the open version and starts none.
-    The windows see one row per key and day."""
+    Nothing is carried across a delete but the person's id, which belongs to
+    the key. The windows see one row per key and day."""
     fill = Window.partitionBy(KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.max("del_s").over(fill)
+
+    def carried(col: str) -> Column:
+        latest = F.max(col).over(fill)  # the greatest ordering so far
+        return F.when(last.isNull() | (latest["ord"] > last), latest["v"])
+
     state = days.select(
         KEY,
         "day",
         (c("op_s")["v"] == "delete").alias("deleted"),
-        F.last("uid_s", ignorenulls=True).over(fill)["v"].alias("customer_unique_id"),
-        F.last("geo_s", ignorenulls=True).over(fill)["v"].alias("geography_sk"),
-        F.last("city_s", ignorenulls=True).over(fill)["v"].alias("customer_city"),
-        F.last("state_s", ignorenulls=True).over(fill)["v"].alias("customer_state"),
+        F.max("uid_s").over(fill)["v"].alias("customer_unique_id"),
+        carried("geo_s").alias("geography_sk"),
+        carried("city_s").alias("customer_city"),
+        carried("state_s").alias("customer_state"),
     )
     w = Window.partitionBy(KEY).orderBy("day")
     same = F.lag("deleted").over(w).eqNullSafe(c("deleted"))
@@ -153,12 +178,18 @@ def customer_scd2_from_events(
 
 
 # ---------------------------------------------------------------- U7/U8
+OP, DELETED = "_op", "_del"
+
+
 def _fold(changes: DataFrame, keys: list[str], attributes: dict[str, str]) -> DataFrame:
-    """One row per key: last (ordering, operation) and per attribute the
-    latest (ordering, value) of its present changes. Max per column, so a
-    stored fold and a new batch merge with ``merge_folds``."""
-    ev = changes.withColumn("ord", _ord(c("event_time"), c("event_id"), 1))
-    aggs = [F.max(F.struct(c("ord").alias("ord"), c("operation").alias("v"))).alias("_op")]
+    """One row per key: last (ordering, operation), the ordering of the last
+    delete, and per attribute the latest (ordering, value) of its present
+    changes. Max per column, so folds merge with ``merge_folds``."""
+    ev = changes.withColumn("ord", _ord(c("event_time"), event_order(), 1))
+    aggs = [
+        F.max(F.struct(c("ord").alias("ord"), c("operation").alias("v"))).alias(OP),
+        F.max(F.when(c("operation") == "delete", c("ord"))).alias(DELETED),
+    ]
     for a, typ in attributes.items():
         aggs.append(_latest_struct(c(a).try_cast(typ), c(f"has_{a}")).alias(f"_{a}"))
     return ev.groupBy(*keys).agg(*aggs)
@@ -171,97 +202,161 @@ def merge_folds(keys: list[str], *folds: DataFrame) -> DataFrame:
     return u.groupBy(*keys).agg(*[F.max(x).alias(x) for x in u.columns if x not in keys])
 
 
+def state_columns(attributes: dict[str, str]) -> list[str]:
+    return [OP, DELETED, *(f"_{a}" for a in attributes)]
+
+
+def with_state(target: DataFrame, attributes: dict[str, str], empty_fold: DataFrame) -> DataFrame:
+    """``target`` as a state table; ``empty_fold`` gives the state's types."""
+    types = dict(empty_fold.dtypes)
+    more = {x: F.lit(None).cast(types[x]) for x in state_columns(attributes) if x not in target.columns}
+    if "last_event_time" not in target.columns:
+        more["last_event_time"] = F.lit(None).cast("timestamp_ntz")
+    return target.withColumns(more) if more else target
+
+
+def live() -> Column:
+    return c(OP).isNull() | (c(OP)["v"] != "delete")
+
+
+def current(state: DataFrame) -> DataFrame:
+    """The rows of a state table that are not deleted, without the state."""
+    if OP not in state.columns:
+        return state
+    return state.filter(live()).select(*[x for x in state.columns if not x.startswith("_")])
+
+
 def _upsert(target: DataFrame, folded: DataFrame, keys: list[str], attributes: dict[str, str]) -> DataFrame:
-    """Touched rows only: target (t) FULL OUTER JOIN folded changes (u)."""
-    cols = [x for x in target.columns]
-    if "last_event_time" not in cols:
-        target = target.withColumn("last_event_time", F.lit(None).cast("timestamp_ntz"))
-        cols.append("last_event_time")
-    t_last = c("t.last_event_time")
-    newer = lambda ts: t_last.isNull() | (ts > t_last)
-    j = target.alias("t").join(folded.alias("u"), [c(f"t.{k}") == c(f"u.{k}") for k in keys], "full")
-    last_t = c("u._op")["ord"]["t"]
-    deleted = c("u._op").isNotNull() & (c("u._op")["v"] == "delete") & newer(last_t)
+    """Touched rows only: state rows (t) FULL OUTER JOIN folded changes (u)."""
+    cols = target.columns
+    same = [c(f"t.{k}").eqNullSafe(c(f"u.{k}")) for k in keys]
+    j = target.alias("t").join(folded.alias("u"), same, "full")
+    state = {x: F.greatest(c(f"t.{x}"), c(f"u.{x}")) for x in state_columns(attributes)}
+    j = j.select(
+        *[F.coalesce(c(f"t.{k}"), c(f"u.{k}")).alias(k) for k in keys],
+        *[c(f"t.{x}").alias(x) for x in cols if x not in keys and x not in state],
+        *[v.alias(x) for x, v in state.items()],
+    )
     out = []
     for col in cols:
-        if col in keys:
-            out.append(F.coalesce(c(f"t.{col}"), c(f"u.{col}")).alias(col))
-        elif col in attributes:
-            ch = c(f"u._{col}")
-            out.append(F.when(ch.isNotNull() & newer(ch["ord"]["t"]), ch["v"]).otherwise(c(f"t.{col}")).alias(col))
+        if col in attributes:
+            latest = c(f"_{col}")
+            reset = c(DELETED).isNotNull() & (latest.isNull() | (latest["ord"] < c(DELETED)))
+            out.append(F.when(~reset, F.when(latest.isNotNull(), latest["v"]).otherwise(c(col))).alias(col))
         elif col == "last_event_time":
-            out.append(F.greatest(t_last, last_t).alias(col))
+            out.append(c(OP)["ord"]["t"].alias(col))
         else:
-            out.append(c(f"t.{col}").alias(col))
-    return j.filter(~F.coalesce(deleted, F.lit(False))).select(*out)
+            out.append(c(col))
+    return j.select(*out)
 
 
 def type1_upsert(
     target: DataFrame,
     changes: DataFrame | None,
-    key: str,
+    keys: str | list[str],
     attributes: dict[str, str],
     sk_col: str | None = None,
     folded: DataFrame | None = None,
+    start: int | None = None,
 ) -> DataFrame:
-    """Type-1 overwrite: each attribute takes its latest present value, an
-    event older than the row's ``last_event_time`` never overwrites, a
-    delete drops the row, an unknown key is inserted (new surrogate key
-    after the largest one)."""
+    """Type-1 overwrite of a state table (a plain table has no state yet): each
+    attribute takes its latest present value, a delete marks the row, an
+    unknown key is inserted (surrogate key from ``start`` on, by default after
+    the largest one). The change set is folded and written once (``folded``: a
+    written fold); rows of other keys pass through. Returns the state table."""
+    keys = [keys] if isinstance(keys, str) else keys
     if folded is None:
-        folded = _fold(changes.withColumnRenamed("primary_key", key), [key], attributes)
-    keys = folded.select(key)
-    untouched = target.join(keys, key, "left_anti")
-    if "last_event_time" not in untouched.columns:
-        untouched = untouched.withColumn("last_event_time", F.lit(None).cast("timestamp_ntz"))
-    touched = _upsert(target.join(keys, key, "left_semi"), folded, [key], attributes)
+        if keys == [keys[0]] and keys[0] not in changes.columns:
+            changes = changes.withColumnRenamed("primary_key", keys[0])
+        folded = materialize(_fold(changes, keys, attributes), "cdc-fold")
+    target = with_state(target, attributes, folded)
+    cond = [c(f"t.{k}").eqNullSafe(c(f"k.{k}")) for k in keys]
+    touch = lambda how: target.alias("t").join(folded.select(*keys).alias("k"), cond, how)
+    touched = _upsert(touch("left_semi"), folded, keys, attributes)
     if sk_col:
-        top = target.agg(F.max(sk_col)).first()[0] or 0
-        fresh = touched.filter(c(sk_col).isNull()).drop(sk_col)
-        keyed = assign_surrogate_keys(fresh, [key], sk_col, start=int(top) + 1).select(*touched.columns)
-        touched = touched.filter(c(sk_col).isNotNull()).unionByName(keyed)
-    return untouched.unionByName(touched)
+        touched = materialize(touched, "cdc-touched")
+        if start is None:
+            start = int(target.agg(F.max(sk_col)).first()[0] or 0) + 1
+        new = c(sk_col).isNull() & live()
+        keyed = assign_surrogate_keys(touched.filter(new).drop(sk_col), keys, sk_col, start=start)
+        touched = touched.filter(~new).unionByName(keyed)
+    return touch("left_anti").unionByName(touched.select(*target.columns))
 
 
 FACT_KEYS = ["order_id", "order_item_id"]
+ITEM_ATTRS = {"price": "decimal(18,2)", "freight_value": "decimal(18,2)", "product_sk": "bigint", "seller_sk": "bigint"}
+PAYMENT_KEYS = ["order_id", "payment_sequential"]
+PAYMENT_ATTRS = {"payment_type": "string", "payment_installments": "int", "payment_value": "decimal(18,2)"}
+ORDER_ATTRS = {"order_status": "string", "order_delivered_customer_date": "timestamp_ntz"}
+
+
+def split_key(changes: DataFrame, number: str) -> DataFrame:
+    """The two parts of an 'order|number' key; what has no number is not a key
+    (``cdc.quarantine`` reports it)."""
+    parts = F.split("primary_key", r"\|")
+    return changes.withColumns({"order_id": F.get(parts, 0), number: F.get(parts, 1).try_cast("int")}).filter(
+        c("order_id").isNotNull() & c(number).isNotNull()
+    )
 
 
-def _with_event_time(df: DataFrame) -> DataFrame:
-    if "last_event_time" in df.columns:
-        return df
-    return df.withColumn("last_event_time", F.lit(None).cast("timestamp_ntz"))
+def item_changes(changes: DataFrame, dim_product: DataFrame | None = None, dim_seller: DataFrame | None = None) -> DataFrame:
+    """OrderItem events by grain; product and seller ids become keys (an id
+    that is not known changes nothing)."""
+    out = split_key(changes, "order_item_id")
+    for dim, key, sk in ((dim_product, "product_id", "product_sk"), (dim_seller, "seller_id", "seller_sk")):
+        if dim is None or key not in out.columns:
+            out = out.withColumns({f"has_{sk}": F.lit(False), sk: F.lit(None).cast("bigint")})
+        else:
+            known = dim.select(c(key).alias("_k"), c(sk))
+            out = out.join(known, c(key) == c("_k"), "left").drop("_k").withColumn(
+                f"has_{sk}", c(f"has_{key}") & c(sk).isNotNull())
+    return out
 
 
-def _item_changes(changes: DataFrame) -> DataFrame:
-    return changes.select(
-        F.split("primary_key", r"\|").getItem(0).alias("order_id"),
-        F.split("primary_key", r"\|").getItem(1).try_cast("int").alias("order_item_id"),
-        "*",
-    )
+def fold_items(changes: DataFrame, dim_product: DataFrame | None = None, dim_seller: DataFrame | None = None) -> DataFrame:
+    return _fold(item_changes(changes, dim_product, dim_seller), FACT_KEYS, ITEM_ATTRS)
 
 
-ITEM_ATTRS = {"price": "decimal(18,2)", "freight_value": "decimal(18,2)"}
+ORDER_KEYS = ["customer_id", "customer_sk", "geography_sk", "date_sk", "payment_sk"]
 
 
-def fold_items(changes: DataFrame) -> DataFrame:
-    return _fold(_item_changes(changes), FACT_KEYS, ITEM_ATTRS)
+def with_order_keys(fact: DataFrame, orders: DataFrame, only_new: bool = False) -> DataFrame:
+    """The fact with what each item's order gives it now (rows of
+    ``fact.order_level``): keys of items first seen in events, and payment keys
+    after payment changes. ``only_new``: leave rows that have a customer as
+    they are."""
+    own = orders.select(c("order_id").alias("_o"), *[c(x).alias(f"_o_{x}") for x in ORDER_KEYS])
+    new = c("customer_id").isNull()
+    out = {x: F.when(new, c(f"_o_{x}")).otherwise(c(x)) for x in ORDER_KEYS if x != "payment_sk"}
+    out["payment_sk"] = F.when(new | F.lit(not only_new), c("_o_payment_sk")).otherwise(c("payment_sk"))
+    joined = fact.join(own, c("order_id") == c("_o"), "left")
+    return joined.select(*[out[x].alias(x) if x in out else c(x) for x in fact.columns])
 
 
 def fact_upsert(
-    fact: DataFrame, changes: DataFrame | None, check_grain: bool = True, folded: DataFrame | None = None
+    fact: DataFrame,
+    changes: DataFrame | None,
+    check_grain: bool = True,
+    folded: DataFrame | None = None,
+    dim_product: DataFrame | None = None,
+    dim_seller: DataFrame | None = None,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
     """MERGE of OrderItem events (or their ``fold_items`` summary) into the
-    fact on (order_id, order_item_id). Only touched grains are rewritten; the
-    grain check (no duplicate grain) runs on the rewritten part."""
+    fact's state table on (order_id, order_item_id). ``orders`` (rows of
+    ``fact.order_level``) gives inserted grains the keys of their order. The
+    grain check (no duplicate grain) runs on the touched grains."""
     if folded is None:
-        folded = fold_items(changes)
-    keys = folded.select(*FACT_KEYS)
-    fact = _with_event_time(fact)
-    untouched = fact.join(keys, FACT_KEYS, "left_anti")
-    touched = _upsert(fact.join(keys, FACT_KEYS, "left_semi"), folded, FACT_KEYS, ITEM_ATTRS)
+        folded = materialize(fold_items(changes, dim_product, dim_seller), "cdc-item-fold")
+    out = type1_upsert(fact, None, FACT_KEYS, ITEM_ATTRS, folded=folded)
     if check_grain:
-        scd2.assert_unique(touched, FACT_KEYS, "fact upsert")
-    return untouched.unionByName(touched)
+        scd2.assert_unique(out.join(folded.select(*FACT_KEYS), FACT_KEYS, "left_semi"), FACT_KEYS, "fact upsert")
+    return with_order_keys(out, orders, only_new=True) if orders is not None else out
+
+
+def payment_upsert(payments: DataFrame, changes: DataFrame) -> DataFrame:
+    """Payment events into payments' state table on (order_id, payment_sequential)."""
+    return type1_upsert(payments, split_key(changes, "payment_sequential"), PAYMENT_KEYS, PAYMENT_ATTRS)
 
 
 # ------------------------------------------------- partition-wise publish
@@ -269,55 +364,36 @@ FACT_PARTITION = "order_month"
 
 
 def publish_fact(fact: DataFrame, dim_date: DataFrame, path: str) -> DataFrame:
-    """Write the fact partitioned by order month (yyyymm of the order day;
-    the calendar is bounded, so it is broadcast)."""
-    from starloom.functions.storage import overwrite_partitions
-
-    month = F.broadcast(
-        dim_date.select(c("date_sk").alias("_dsk"), (c("year") * 100 + c("month")).alias(FACT_PARTITION))
-    )
-    out = _with_event_time(fact.join(month, c("date_sk") == c("_dsk"), "left").drop("_dsk"))
+    """Write the fact's state table partitioned by order month (yyyymm of the
+    order day; NULL: no order day)."""
+    month = dim_date.select(c("date_sk").alias("_dsk"), (c("year") * 100 + c("month")).alias(FACT_PARTITION))
+    no_changes = fact.sparkSession.createDataFrame([], "primary_key string, event_time timestamp_ntz, event_id long, "
+                                                   "arrival_seq long, operation string, has_price boolean, price string, "
+                                                   "has_freight_value boolean, freight_value string")
+    out = with_state(fact, ITEM_ATTRS, fold_items(no_changes)).join(month, c("date_sk") == c("_dsk"), "left").drop("_dsk")
     overwrite_partitions(out, path, [FACT_PARTITION], spread=FACT_KEYS)
-    return out.sparkSession.read.parquet(path)
+    return fact.sparkSession.read.parquet(path)
 
 
-def upsert_fact_partitions(
-    path: str, changes: DataFrame | None, base: DataFrame | None = None, folded: DataFrame | None = None
-) -> DataFrame:
+def upsert_fact_partitions(path: str, changes: DataFrame | None, folded: DataFrame | None = None) -> DataFrame:
     """CDC MERGE into a month-partitioned fact that rewrites only the months
     holding a touched grain, plus the NULL-month partition that holds grains
-    first seen in the events (they have no order day). The months of a batch
-    are bounded by the calendar span, so their list is collected; the scan
-    then prunes partitions. The new content of those months goes to a
-    staging table first, so the table is never read and overwritten by the
-    same job.
-
-    With ``base`` (the fact before any CDC, same layout), touched grains are
-    re-derived from their base row and *all* their events (``changes``, or
-    ``folded`` = their merged ``fold_items`` summary, must then cover every
-    event of those grains): exact whatever the arrival order.
-    Without it, the current rows are the target and a row's
-    ``last_event_time`` keeps older events from overwriting newer ones."""
-    from starloom.functions.storage import materialize, overwrite_partitions
-
-    folded = folded if folded is not None else fold_items(changes)
+    first seen in the events. Rows carry their state, so a late or replayed
+    batch changes nothing it should not, and a deleted grain stays as a marker:
+    a month never loses its last row, so every touched month is replaced. Which
+    months hold the touched grains is read from the table's key columns. The
+    new content goes to a staging table first, so the table is never read and
+    overwritten by the same job. Returns the fact as it is (``current``)."""
+    folded = materialize(folded if folded is not None else fold_items(changes), "cdc-item-fold")
     spark = folded.sparkSession
     fact = spark.read.parquet(path)
     cols = fact.columns
     keys = folded.select(*FACT_KEYS)
-    holders = fact if base is None else fact.select(*FACT_KEYS, FACT_PARTITION).unionByName(
-        base.select(*FACT_KEYS, FACT_PARTITION))  # a grain deleted earlier may come back
-    months = [r[0] for r in holders.join(keys, FACT_KEYS, "left_semi").select(FACT_PARTITION).distinct().collect()]
+    months = [r[0] for r in fact.join(keys, FACT_KEYS, "left_semi").select(FACT_PARTITION).distinct().collect()]
     part = fact.filter(c(FACT_PARTITION).isin([m for m in months if m is not None]) | c(FACT_PARTITION).isNull())
-    touched = (base if base is not None else part).join(keys, FACT_KEYS, "left_semi")
-    target = touched.drop(FACT_PARTITION)
-    merged = fact_upsert(target.drop("last_event_time") if base is not None else target, None, folded=folded)
-    month_of = touched.select(*FACT_KEYS, c(FACT_PARTITION).alias("_m"))
-    merged = merged.join(month_of, FACT_KEYS, "left").withColumnRenamed("_m", FACT_PARTITION)
-    rest = part.join(keys, FACT_KEYS, "left_anti")
-    staged = materialize(
-        rest.select(*cols).unionByName(merged.select(*cols)), "fact-upsert-staging",
-        partition_by=[FACT_PARTITION], spread=FACT_KEYS,
-    )
+    merged = type1_upsert(part, None, FACT_KEYS, ITEM_ATTRS, folded=folded).select(*cols)
+    staging = table_path(merged, "fact-upsert-staging")
+    staged = write_table(merged, staging, partition_by=[FACT_PARTITION], spread=FACT_KEYS)
     overwrite_partitions(staged, path, [FACT_PARTITION], spread=FACT_KEYS)
-    return spark.read.parquet(path)
+    remove(spark, staging)
+    return current(spark.read.parquet(path))

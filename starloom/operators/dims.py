@@ -107,19 +107,26 @@ def build_dim_seller(sellers: DataFrame, dim_geography: DataFrame, previous: Dat
     return keep_keys(s, ["seller_id"], "seller_sk", previous)
 
 
-def build_dim_date(orders: DataFrame) -> DataFrame:
+def build_dim_date(orders: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Gap-free calendar from the first to the last purchase day.
 
     One global min/max, then ``explode(sequence)``: the output has one row
     per calendar day (bounded by the date span, not by the data volume).
     ``date_sk`` is the day number from the first day, which is exactly
     ``ROW_NUMBER() OVER (ORDER BY d)`` on a gap-free calendar, without the
-    single-partition window."""
-    days = orders.select(F.to_date("order_purchase_timestamp").alias("d"))
-    bounds = days.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    cal = bounds.select("lo", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("d"))
+    single-partition window. With the previous calendar the numbering goes on
+    from its first day, so every day keeps its key (an earlier day than that
+    one gets a key below 1)."""
+    days = orders.select(F.to_date("order_purchase_timestamp").alias("d"), F.lit(None).cast("date").alias("day_one"))
+    if previous is not None:
+        days = days.unionByName(
+            previous.select(c("calendar_date").alias("d"), F.date_sub("calendar_date", (c("date_sk") - 1).cast("int")).alias("day_one"))
+        )
+    bounds = days.agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("day_one").alias("first"))
+    bounds = bounds.withColumn("first", F.coalesce("first", "lo"))
+    cal = bounds.select("first", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("d"))
     return cal.select(
-        (F.datediff("d", "lo") + 1).cast("bigint").alias("date_sk"),
+        (F.datediff("d", "first") + 1).cast("bigint").alias("date_sk"),
         c("d").alias("calendar_date"),
         F.year("d").alias("year"),
         F.month("d").alias("month"),
@@ -140,11 +147,11 @@ ROLE_COLUMNS = {
 
 def dim_date_roles(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The calendar joined once per date role of an order (role-playing
-    dimension), plus the purchase quarter. The calendar has one row per day
-    of a bounded span, so each lookup is a broadcast hash join."""
+    dimension), plus the purchase quarter. The calendar is small unless a
+    sentinel date stretches it, so AQE decides how each lookup joins."""
     out = orders.select("order_id", *ROLE_COLUMNS.values())
     for role, col in ROLE_COLUMNS.items():
-        lookup = F.broadcast(dim_date.select(c("calendar_date").alias(f"_d_{role}"), c("date_sk").alias(f"{role}_date_sk")))
+        lookup = dim_date.select(c("calendar_date").alias(f"_d_{role}"), c("date_sk").alias(f"{role}_date_sk"))
         out = out.join(lookup, F.to_date(col) == c(f"_d_{role}"), "left").drop(f"_d_{role}")
     return out.select(
         "order_id",

@@ -1,15 +1,12 @@
 """Order-item fact: one row per (order_id, order_item_id) with the keys of
 its dimensions.
 
-Join order keeps one partitioning as long as possible: items, orders and the
-primary payment all join on ``order_id``, so one exchange per input serves
-all three joins; the customer, product and seller lookups follow. Lookups
-that depend only on the order (payment junk key) or only on the customer
-version (geography key) are resolved on those smaller sides first, not on
-every item row. The calendar has one row per day of a bounded span and is
-broadcast; every other dimension may grow with the business and is left to
-the planner (AQE turns a join into a broadcast only after it has measured
-the side).
+What depends on the order alone (customer version, its geography key, day,
+primary payment and its junk key) is resolved on an order-level table, one row
+an order, which is written once. The items then join it once: this join is in
+a stage of its own, so AQE can split an order that holds a large share of all
+items. The product and seller lookups follow. No side is broadcast by a hint:
+AQE turns a join into a broadcast only after it has measured the side.
 """
 
 from __future__ import annotations
@@ -17,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.storage import materialize
+
 c = F.col
 
 
@@ -41,34 +40,29 @@ def payment_lookup(dim_payment: DataFrame) -> DataFrame:
     return dim_payment.groupBy("payment_type", "payment_installments").agg(F.min("payment_sk").alias("payment_sk"))
 
 
-def build_fact_order_item(
-    order_items: DataFrame,
+def payment_keys(payments: DataFrame, dim_payment: DataFrame) -> DataFrame:
+    """(order_id, payment_sk) of each order's primary payment; a NULL type or
+    installment number never matches."""
+    look = payment_lookup(dim_payment).select(
+        c("payment_type").alias("_lt"), c("payment_installments").alias("_li"), "payment_sk"
+    )
+    return (
+        primary_payment(payments)
+        .join(look, (c("payment_type") == c("_lt")) & (c("payment_installments") == c("_li")), "left")
+        .select("order_id", "payment_sk")
+    )
+
+
+def order_level(
     orders: DataFrame,
     payments: DataFrame,
     dim_customer: DataFrame,
-    dim_product: DataFrame,
-    dim_seller: DataFrame,
     dim_geography: DataFrame,
     dim_date: DataFrame,
     dim_payment: DataFrame,
 ) -> DataFrame:
-    """Star lookup. Inner: order, current customer, product, seller, day.
-    Left: geography of the current customer version, primary payment and its
-    junk-dimension key (a NULL type/installment never matches)."""
-    items = order_items.filter(c("order_id").isNotNull()).select(
-        "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
-    )
-    o = orders.select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("_day"))
-    # order level: primary payment -> junk-dimension key (NULL parts never match)
-    plook = payment_lookup(dim_payment).select(
-        c("payment_type").alias("_lt"), c("payment_installments").alias("_li"), "payment_sk"
-    )
-    pay = (
-        primary_payment(payments)
-        .join(plook, (c("payment_type") == c("_lt")) & (c("payment_installments") == c("_li")), "left")
-        .select("order_id", "payment_sk")
-    )
-    # dimension level: current version + its geography key if that exists
+    """What each order gives its items. Inner: current customer, day. Left:
+    geography of the current customer version, primary payment."""
     geo = dim_geography.select(c("geography_sk").alias("_geo_sk"), c("geography_sk").alias("geography_sk"))
     current = (
         dim_customer.filter(c("current_flag"))
@@ -76,15 +70,38 @@ def build_fact_order_item(
         .join(geo, c("_cust_geo") == c("_geo_sk"), "left")
         .select("customer_id", "customer_sk", "geography_sk")
     )
-    day = F.broadcast(dim_date.select(c("calendar_date").alias("_day"), "date_sk"))
+    day = dim_date.select(c("calendar_date").alias("_day"), "date_sk")
+    return (
+        orders.select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("_day"))
+        .join(current, "customer_id")
+        .join(day, "_day")
+        .join(payment_keys(payments, dim_payment), "order_id", "left")
+        .select("order_id", "customer_id", "customer_sk", "geography_sk", "date_sk", "payment_sk")
+    )
 
+
+def build_fact_order_item(
+    order_items: DataFrame,
+    orders: DataFrame,
+    payments: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
+    dim_seller: DataFrame,
+    dim_geography: DataFrame,
+    dim_date: DataFrame,
+    dim_payment: DataFrame,
+) -> DataFrame:
+    """Star lookup. Inner: order (with its customer and day), product, seller."""
+    items = order_items.filter(c("order_id").isNotNull()).select(
+        "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
+    )
+    order_side = materialize(
+        order_level(orders, payments, dim_customer, dim_geography, dim_date, dim_payment), "order-level"
+    )
     f = (
-        items.join(o, "order_id")
-        .join(pay, "order_id", "left")
-        .join(current, "customer_id")
+        items.join(order_side, "order_id")
         .join(dim_product.select("product_id", "product_sk"), "product_id")
         .join(dim_seller.select("seller_id", "seller_sk"), "seller_id")
-        .join(day, "_day")
     )
     return f.select(
         "order_id",

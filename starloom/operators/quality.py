@@ -65,7 +65,7 @@ def rows_without_version(fact: DataFrame, dim_date: DataFrame, dim_customer: Dat
     """Fact rows whose order day falls in no version of their customer; the
     as-of views drop them (e.g. orders placed before a customer's first
     version). Anti join on the key with the date range as condition."""
-    day = F.broadcast(dim_date.select(c("date_sk").alias("_dsk"), c("calendar_date").alias("order_date")))
+    day = dim_date.select(c("date_sk").alias("_dsk"), c("calendar_date").alias("order_date"))
     f = fact.join(day, c("date_sk") == c("_dsk")).select("order_id", "order_item_id", "customer_id", "order_date")
     v = dim_customer.select(c("customer_id").alias("_cid"), "effective_date", "expiry_date")
     cond = (c("customer_id") == c("_cid")) & c("order_date").between(c("effective_date"), c("expiry_date"))

@@ -18,6 +18,8 @@ misses a change from or to NULL. ``null_safe=True`` uses IS DISTINCT FROM.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,7 +66,8 @@ def assert_unique(df: DataFrame, keys: list[str], what: str) -> None:
     """Fail with the offending keys if ``keys`` repeat (a MERGE with two source
     rows for one target row is an error). Partial aggregation keeps a hot key
     cheap; only up to 5 offending keys travel to the driver."""
-    dups = df.groupBy(*keys).count().filter(c("count") > 1).limit(5).collect()
+    known = df.filter(reduce(and_, [c(k).isNotNull() for k in keys]))  # a NULL key matches nothing
+    dups = known.groupBy(*keys).count().filter(c("count") > 1).limit(5).collect()
     if dups:
         raise ValueError(f"{what}: duplicate keys {[tuple(r[k] for k in keys) for r in dups]}")
 
@@ -115,8 +118,11 @@ def apply_snapshot(
     cur = dim.filter(is_cur)
     history = dim.filter(~F.coalesce(is_cur, F.lit(False)))
 
-    j = cur.alias("t").join(staged.alias("s"), c(f"t.{KEY}") == c(f"s.{KEY}"), "full")
-    has_t, has_s = c(f"t.{KEY}").isNotNull(), c(f"s.{KEY}").isNotNull()
+    # a marker per side tells presence, so rows with a NULL key are kept (they
+    # match nothing, as in a MERGE: the stored one stays, the staged one is inserted)
+    t = cur.withColumn("_t", F.lit(True)).alias("t")
+    j = t.join(staged.withColumn("_s", F.lit(True)).alias("s"), c(f"t.{KEY}") == c(f"s.{KEY}"), "full")
+    has_t, has_s = c("t._t").isNotNull(), c("s._s").isNotNull()
     chg = has_t & has_s & changed("t", "s", null_safe)
     old_row = F.struct(
         c("t.customer_sk").alias("customer_sk"),

@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.storage import materialize, write_table
 from starloom.operators import cdc_apply, dims, fact, quality, scd2
 from starloom.plans import reports as R
 from starloom.plans import views
-from starloom.plans.warehouse import warehouse
+from starloom.plans.warehouse import next_customers, warehouse
 from starloom.session import app_key
 from starloom.sources import adapter
 from starloom.sources.cdc_events import ENTITY_ATTRIBUTES, change_events
 from starloom.streaming import cdc
+from starloom.streaming.gold import CdcGoldApplier
 from starloom.sources.tables import load_tables
 
 c = F.col
@@ -123,6 +125,17 @@ def q_scd2_apply_twice(spark, sf):
     return scd2.apply_snapshot(w.dim_customer, w.snapshot)
 
 
+def q_scd2_three_days(spark, sf):
+    """Three daily snapshots: each day starts from what the day before stored."""
+    w = _w(spark, sf)
+    root = cdc.scratch_dir(spark, "days")
+    dim = write_table(w.dim_customer, f"{root}/{adapter.SNAPSHOT_DATE}/dim_customer")
+    for day, customers in adapter.customers_next_days(load_tables(spark, sf)):
+        _, after = next_customers(dim, customers, w.dim_geography, day)
+        dim = write_table(after, f"{root}/{day}/dim_customer")
+    return dim
+
+
 def q_scd2_history(spark, sf):
     return scd2.version_history(_w(spark, sf).dim_customer)
 
@@ -190,27 +203,141 @@ def q_cdc_customer_scd2(spark, sf):
     return cdc_customer_dim(spark, sf)
 
 
+def _changes(spark, sf, entity):
+    return cdc.entity_changes(silver_decoded(spark, sf), entity, ENTITY_ATTRIBUTES[entity])
+
+
+def _once(w, name, make):
+    """A table of the warehouse's CDC run, made and written once."""
+    if name not in w.extra:
+        w.extra[name] = materialize(make(), name)
+    return w.extra[name]
+
+
+PRODUCT_ATTRS = {"product_category_name": "string", "product_weight_g": "int"}
+SELLER_ATTRS = {"seller_city": "string", "seller_state": "string"}
+
+
+def q_cdc_quarantine(spark, sf):
+    return cdc.quarantine_counts(bronze(spark, sf))
+
+
 def q_cdc_type1_upsert(spark, sf):
     w = _w(spark, sf)
-    ch = cdc.entity_changes(silver_decoded(spark, sf), "Product", ENTITY_ATTRIBUTES["Product"])
-    return cdc_apply.type1_upsert(
-        w.dim_product, ch, "product_id", {"product_category_name": "string", "product_weight_g": "int"},
-        sk_col="product_sk",
-    )
+    return _once(w, "dim_product_cdc", lambda: cdc_apply.current(cdc_apply.type1_upsert(
+        w.dim_product, _changes(spark, sf, "Product"), "product_id", PRODUCT_ATTRS, sk_col="product_sk")))
+
+
+def q_cdc_type1_two_runs(spark, sf):
+    """The same events in two runs, the second one with the earlier arrivals:
+    the stored state makes the order of runs meaningless."""
+    w, ch = _w(spark, sf), _changes(spark, sf, "Product")
+    early = c("arrival_seq") % 2 == 0
+    first = cdc_apply.type1_upsert(w.dim_product, ch.filter(~early), "product_id", PRODUCT_ATTRS, sk_col="product_sk")
+    first = materialize(first, "dim_product-first-run")
+    second = cdc_apply.type1_upsert(first, ch.filter(early), "product_id", PRODUCT_ATTRS, sk_col="product_sk")
+    return cdc_apply.current(second).drop("product_sk")
 
 
 def q_cdc_type1_upsert_seller(spark, sf):
     w = _w(spark, sf)
-    ch = cdc.entity_changes(silver_decoded(spark, sf), "Seller", ENTITY_ATTRIBUTES["Seller"])
-    return cdc_apply.type1_upsert(
-        w.dim_seller, ch, "seller_id", {"seller_city": "string", "seller_state": "string"}, sk_col="seller_sk"
+    return _once(w, "dim_seller_cdc", lambda: cdc_apply.current(cdc_apply.type1_upsert(
+        w.dim_seller, _changes(spark, sf, "Seller"), "seller_id", SELLER_ATTRS, sk_col="seller_sk")))
+
+
+def _order_level(w, orders=None, payments=None, dim_customer=None, dim_payment=None):
+    return fact.order_level(
+        w.sources["orders"] if orders is None else orders,
+        w.sources["payments"] if payments is None else payments,
+        w.dim_customer if dim_customer is None else dim_customer,
+        w.dim_geography,
+        w.dim_date,
+        w.dim_payment if dim_payment is None else dim_payment,
     )
 
 
+def fact_cdc(spark, sf):
+    w = _w(spark, sf)
+    return _once(w, "fact_cdc", lambda: cdc_apply.current(cdc_apply.fact_upsert(
+        w.fact_order_item, _changes(spark, sf, "OrderItem"), dim_product=w.dim_product, dim_seller=w.dim_seller,
+        orders=_order_level(w))))
+
+
 def q_cdc_fact_upsert(spark, sf):
+    return out(fact_cdc(spark, sf))
+
+
+def orders_cdc(spark, sf):
+    w = _w(spark, sf)
+    return _once(w, "orders_cdc", lambda: cdc_apply.current(cdc_apply.type1_upsert(
+        w.sources["orders"], _changes(spark, sf, "Order"), "order_id", cdc_apply.ORDER_ATTRS)))
+
+
+def payments_cdc(spark, sf):
     w = _w(spark, sf)
-    ch = cdc.entity_changes(silver_decoded(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
-    return out(cdc_apply.fact_upsert(w.fact_order_item, ch))
+    return _once(w, "payments_cdc", lambda: cdc_apply.current(cdc_apply.payment_upsert(
+        w.sources["payments"], _changes(spark, sf, "Payment"))))
+
+
+def dim_payment_cdc(spark, sf):
+    w = _w(spark, sf)
+    return _once(w, "dim_payment_cdc", lambda: dims.build_dim_payment(payments_cdc(spark, sf), w.dim_payment))
+
+
+def q_cdc_order_upsert(spark, sf):
+    return orders_cdc(spark, sf)
+
+
+def q_cdc_payment_upsert(spark, sf):
+    """The fact's payment keys after payment events."""
+    w, pay = _w(spark, sf), dim_payment_cdc(spark, sf)
+    orders = _order_level(w, payments=payments_cdc(spark, sf), dim_payment=pay)
+    moved = cdc_apply.with_order_keys(w.fact_order_item, orders)
+    return moved.join(pay, "payment_sk", "left").select(
+        "order_id", "order_item_id", "payment_sk", "payment_type", "payment_installments")
+
+
+def q_view_sales_after_cdc(spark, sf):
+    """The sales view over what the events made of all its tables; items of
+    deleted orders are gone."""
+    w, pay, customers = _w(spark, sf), dim_payment_cdc(spark, sf), cdc_customer_dim(spark, sf)
+    orders = orders_cdc(spark, sf)
+    level = _order_level(w, orders, payments_cdc(spark, sf), customers, pay)
+    f = cdc_apply.with_order_keys(fact_cdc(spark, sf).drop("last_event_time"), level)
+    f = f.join(orders.select("order_id"), "order_id", "left_semi")
+    return out(views.sales_view(
+        f, w.dim_date, customers, w.dim_geography, q_cdc_type1_upsert(spark, sf), q_cdc_type1_upsert_seller(spark, sf), pay))
+
+
+def _gold(spark, sf):
+    """The foreachBatch applier, run over three micro-batches of the events."""
+    w = _w(spark, sf)
+    if "gold" not in w.extra:
+        root = cdc.scratch_dir(spark, "gold-run")
+        cdc.land_events(change_events(load_tables(spark, sf)["events"]), f"{root}/landing", files=3)
+        tables = {"dim_product": w.dim_product, "dim_seller": w.dim_seller, "fact": w.fact_order_item,
+                  "orders": w.sources["orders"], "payments": w.sources["payments"]}
+        app = CdcGoldApplier(f"{root}/gold", w.dim_customer, customer_log(w), w.dim_geography, tables)
+        cdc.run_cdc_batches(spark, f"{root}/landing", f"{root}/_checkpoint", app, max_files_per_trigger=1)
+        w.extra["gold"] = app
+    return w.extra["gold"]
+
+
+def q_cdc_gold_customer(spark, sf):
+    return _gold(spark, sf).table("dim_customer").drop("customer_sk")  # numbers of new keys follow arrival
+
+
+def q_cdc_gold_product(spark, sf):
+    return _gold(spark, sf).table("dim_product").drop("product_sk")
+
+
+def q_cdc_gold_fact(spark, sf):
+    w = _w(spark, sf)
+    return out(cdc_apply.with_order_keys(_gold(spark, sf).table("fact"), _order_level(w), only_new=True))
+
+
+def q_cdc_gold_payments(spark, sf):
+    return out(_gold(spark, sf).table("payments"))
 
 
 # --------------------------------------------------------------- quality
@@ -293,14 +420,24 @@ QUERIES: dict[str, Query] = {
     "scd2_source": q_scd2_source,
     "scd2_apply": q_scd2_apply,
     "scd2_apply_twice": q_scd2_apply_twice,
+    "scd2_three_days": q_scd2_three_days,
     "scd2_history": q_scd2_history,
     "scd2_late_arrival": q_scd2_late_arrival,
     "cdc_bronze": q_cdc_bronze,
     "cdc_silver": q_cdc_silver,
     "cdc_customer_scd2": q_cdc_customer_scd2,
+    "cdc_quarantine": q_cdc_quarantine,
     "cdc_type1_upsert": q_cdc_type1_upsert,
+    "cdc_type1_two_runs": q_cdc_type1_two_runs,
     "cdc_type1_upsert_seller": q_cdc_type1_upsert_seller,
     "cdc_fact_upsert": q_cdc_fact_upsert,
+    "cdc_order_upsert": q_cdc_order_upsert,
+    "cdc_payment_upsert": q_cdc_payment_upsert,
+    "cdc_gold_customer": q_cdc_gold_customer,
+    "cdc_gold_product": q_cdc_gold_product,
+    "cdc_gold_fact": q_cdc_gold_fact,
+    "cdc_gold_payments": q_cdc_gold_payments,
+    "view_sales_after_cdc": q_view_sales_after_cdc,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_one_current": q_dq_one_current,
     "dq_fact_grain": q_dq_fact_grain,
@@ -322,5 +459,6 @@ QUERIES: dict[str, Query] = {
     "q_delivery_by_state": _ful_report(R.q_delivery_by_state),
     "q_delivery_by_category": _ful_report(R.q_delivery_by_category),
     "q_seller_speed": _ful_report(R.q_seller_speed),
+    "q_seller_speed_200": _ful_report(lambda ful: R.q_seller_speed(ful, min_orders=200)),
     "q_late_rate": _ful_report(R.q_late_rate),
 }

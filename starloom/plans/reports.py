@@ -142,20 +142,17 @@ def q_spend_by_version(sales: DataFrame) -> DataFrame:
 
 
 def q_revenue_by_seller_state(sales: DataFrame) -> DataFrame:
-    """Two distinct counts: one fold per (state, seller, order), then the
-    sales sum, distinct orders and distinct sellers per state from it (three
-    small per-state results, joined on the nullable state)."""
+    """One scan: a fold per (state, seller, order), and the sales sum, distinct
+    orders and distinct sellers per state from it."""
     key = "seller_state"
     fold = sales.groupBy(key, "seller_id", "order_id").agg(F.sum("item_total").alias("_sum"))
-    total = fold.groupBy(key).agg(money("_sum").alias("seller_state_sales"))
-    orders = fold.select(key, "order_id").distinct().groupBy(c(key).alias("_k1")).agg(
-        F.count(F.lit(1)).alias("num_orders"))
-    sellers = fold.select(key, "seller_id").distinct().groupBy(c(key).alias("_k2")).agg(
-        F.count(F.lit(1)).alias("num_sellers"))
     return (
-        total.join(orders, c(key).eqNullSafe(c("_k1")))
-        .join(sellers, c(key).eqNullSafe(c("_k2")))
-        .select(key, "seller_state_sales", "num_orders", "num_sellers")
+        fold.groupBy(key)
+        .agg(
+            money("_sum").alias("seller_state_sales"),
+            F.countDistinct("order_id").alias("num_orders"),
+            F.countDistinct("seller_id").alias("num_sellers"),
+        )
         .orderBy(c("seller_state_sales").desc_nulls_last(), *_asc(key))
     )
 

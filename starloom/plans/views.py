@@ -16,15 +16,13 @@ c = F.col
 
 
 def _base(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Fact + order day. The calendar is one row per day of a bounded span:
-    broadcast."""
-    d = F.broadcast(
-        dim_date.select(
-            c("date_sk").alias("_dsk"),
-            c("calendar_date").alias("order_date"),
-            c("year").alias("order_year"),
-            c("month").alias("order_month"),
-        )
+    """Fact + order day. No broadcast hint on the calendar: a sentinel date
+    makes it long, and AQE broadcasts it where its measured size allows."""
+    d = dim_date.select(
+        c("date_sk").alias("_dsk"),
+        c("calendar_date").alias("order_date"),
+        c("year").alias("order_year"),
+        c("month").alias("order_month"),
     )
     return fact.join(d, c("date_sk") == c("_dsk")).drop("_dsk").withColumn(
         "item_total", c("price") + c("freight_value")
@@ -152,7 +150,7 @@ def fulfillment_view(
 ) -> DataFrame:
     """25 columns per order item: lifecycle timestamps, day counts, product,
     seller and the customer's city/state as of the order day."""
-    d = F.broadcast(dim_date.select(c("date_sk").alias("_dsk"), c("calendar_date").alias("order_date")))
+    d = dim_date.select(c("date_sk").alias("_dsk"), c("calendar_date").alias("order_date"))
     o = orders.select(
         c("order_id").alias("_oid"),
         "order_purchase_timestamp",

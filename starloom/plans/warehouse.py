@@ -4,17 +4,26 @@ Build order fixes two hazards of a top-to-bottom script: geography is built
 before the dimensions that look it up, and the customer dimension gets its
 initial load once and then only snapshot merges, so history is kept.
 
-The fact and the two views are written once to the session's checkpoint
-folder; reports read those tables instead of re-expanding the view plans.
+A daily run is ``build(tables, day, previous=load(spark, root), root=root)``: the
+customer dimension goes on from the previous build's versions, every dimension
+keeps its keys, and the new build is stored beside the old one under its day.
+``load`` reads the latest complete build back, also in another session.
+Without a root the tables go to the session's checkpoint folder. Every table is
+written once; reports read it instead of re-expanding the plans.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.functions.storage import materialize
+from starloom.functions.storage import materialize, write_table
 from starloom.operators import dims, fact, scd2
 from starloom.plans import views
 from starloom.session import app_key
@@ -39,30 +48,76 @@ class Warehouse:
     extra: dict = field(default_factory=dict)
 
 
-def build_dimensions(src: dict[str, DataFrame], previous: "Warehouse | None" = None) -> dict[str, DataFrame]:
-    """``previous``: an earlier build whose surrogate keys must stay valid."""
+#: Stored tables of a build, in the order they are written.
+TABLES = [
+    "dim_geography", "dim_customer_initial", "dim_product", "dim_payment", "dim_seller", "dim_date",
+    "snapshot", "dim_customer", "fact_order_item", "sales", "fulfillment",
+]
+Land = Callable[[DataFrame, str], DataFrame]
+
+
+def _lander(root: str | None, build: str, seconds: dict[str, float]) -> Land:
+    """Writes a table of a build, below the root if there is one, and notes the seconds."""
+
+    def land(df: DataFrame, name: str) -> DataFrame:
+        began = time.time()
+        out = write_table(df, f"{root}/{build}/{name}") if root else materialize(df, name)
+        seconds[name] = round(time.time() - began, 3)
+        return out
+
+    return land
+
+
+def build_dimensions(src: dict[str, DataFrame], previous: "Warehouse | None" = None, land: Land = materialize) -> dict[str, DataFrame]:
+    """``previous``: an earlier build whose surrogate keys must stay valid. The
+    initial load happens once: later builds keep the first one's."""
 
     def prev(name: str) -> DataFrame | None:
         return getattr(previous, name) if previous is not None else None
 
-    geo = dims.build_dim_geography(src["geolocation"], prev("dim_geography"))
+    geo = land(dims.build_dim_geography(src["geolocation"], prev("dim_geography")), "dim_geography")
+    initial = prev("dim_customer_initial")
+    if initial is None:
+        initial = dims.build_dim_customer_initial(src["customers"], geo)
     return {
         "dim_geography": geo,
-        "dim_customer_initial": dims.build_dim_customer_initial(src["customers"], geo, prev("dim_customer_initial")),
-        "dim_product": dims.build_dim_product(src["products"], src["category_translation"], prev("dim_product")),
-        "dim_payment": dims.build_dim_payment(src["payments"], prev("dim_payment")),
-        "dim_seller": dims.build_dim_seller(src["sellers"], geo, prev("dim_seller")),
+        "dim_customer_initial": land(initial, "dim_customer_initial"),
+        "dim_product": land(dims.build_dim_product(src["products"], src["category_translation"], prev("dim_product")), "dim_product"),
+        "dim_payment": land(dims.build_dim_payment(src["payments"], prev("dim_payment")), "dim_payment"),
+        "dim_seller": land(dims.build_dim_seller(src["sellers"], geo, prev("dim_seller")), "dim_seller"),
         # one row per day: written once instead of re-deriving min/max from
         # the orders at every use
-        "dim_date": materialize(dims.build_dim_date(src["orders"]), "dim_date"),
+        "dim_date": land(dims.build_dim_date(src["orders"], prev("dim_date")), "dim_date"),
     }
 
 
-def build(tables, snapshot_date=adapter.SNAPSHOT_DATE, previous: Warehouse | None = None) -> Warehouse:
+def next_customers(dim_customer: DataFrame, customers: DataFrame, dim_geography: DataFrame, day: dt.date) -> tuple[DataFrame, DataFrame]:
+    """(staged snapshot, customer dimension) after one more day."""
+    staged = scd2.stage_snapshot(customers, dim_geography, day)
+    return staged, scd2.apply_snapshot(dim_customer, staged)
+
+
+def build(
+    tables,
+    snapshot_date: dt.date = adapter.SNAPSHOT_DATE,
+    previous: "Warehouse | None" = None,
+    root: str | None = None,
+    customers: DataFrame | None = None,
+) -> Warehouse:
+    """One day's warehouse. ``customers``: the day's customer table (default:
+    the test data's snapshot)."""
+    seconds: dict[str, float] = {}
+    name = f"build-{snapshot_date}"
+    land = _lander(root, name, seconds)
+    began = time.time()
     src = adapter.retail_sources(tables)
-    d = build_dimensions(src, previous)
-    staged = scd2.stage_snapshot(src["customers_snapshot"], d["dim_geography"], snapshot_date)
-    dim_customer = materialize(scd2.apply_snapshot(d["dim_customer_initial"], staged), "dim_customer")
+    seconds["order_lines"] = round(time.time() - began, 3)
+    d = build_dimensions(src, previous, land)
+    before = previous.dim_customer if previous is not None else d["dim_customer_initial"]
+    staged, after = next_customers(
+        before, customers if customers is not None else src["customers_snapshot"], d["dim_geography"], snapshot_date
+    )
+    dim_customer = land(after, "dim_customer")
     f = fact.build_fact_order_item(
         src["order_items"],
         src["orders"],
@@ -74,7 +129,7 @@ def build(tables, snapshot_date=adapter.SNAPSHOT_DATE, previous: Warehouse | Non
         d["dim_date"],
         d["dim_payment"],
     )
-    f = materialize(f, "fact_order_item")
+    f = land(f, "fact_order_item")
     sales = views.sales_view(
         f, d["dim_date"], dim_customer, d["dim_geography"], d["dim_product"], d["dim_seller"], d["dim_payment"]
     )
@@ -83,23 +138,38 @@ def build(tables, snapshot_date=adapter.SNAPSHOT_DATE, previous: Warehouse | Non
     # Sorted inside each task (no shuffle) so parquet row-group statistics
     # let pushed-down filters skip row groups: by day here, by status then
     # day for fulfilment (its reports all filter order_status).
-    sales = materialize(sales.sortWithinPartitions("order_date"), "vw_sales_order_item")
+    sales = land(sales.sortWithinPartitions("order_date"), "sales")
     ful = views.fulfillment_view(f, src["orders"], d["dim_date"], d["dim_product"], d["dim_seller"], dim_customer)
-    ful = materialize(ful.sortWithinPartitions("order_status", "order_date"), "vw_fulfillment_order_item")
-    return Warehouse(
+    ful = land(ful.sortWithinPartitions("order_status", "order_date"), "fulfillment")
+    w = Warehouse(
         sources=src,
-        dim_geography=d["dim_geography"],
-        dim_customer_initial=d["dim_customer_initial"],
-        snapshot=staged,
+        snapshot=land(staged, "snapshot") if root else staged,
         dim_customer=dim_customer,
-        dim_product=d["dim_product"],
-        dim_payment=d["dim_payment"],
-        dim_seller=d["dim_seller"],
-        dim_date=d["dim_date"],
         fact_order_item=f,
         sales=sales,
         fulfillment=ful,
+        extra={"seconds": seconds},
+        **d,
     )
+    if root:
+        finish(w.dim_date.sparkSession, root, name)
+    return w
+
+
+def finish(spark: SparkSession, root: str, name: str) -> None:
+    """Note a build as complete; ``load`` sees only builds noted here."""
+    done = spark.createDataFrame([(name,)], "build string").withColumn("written", F.current_timestamp())
+    done.coalesce(1).write.mode("append").parquet(f"{root}/_builds")
+
+
+def load(spark: SparkSession, root: str, sources: dict[str, DataFrame] | None = None) -> "Warehouse | None":
+    """The latest complete build below ``root``, None if there is none."""
+    try:
+        last = spark.read.parquet(f"{root}/_builds").orderBy(F.col("written").desc()).first()
+    except AnalysisException:
+        return None
+    tables = {t: spark.read.parquet(f"{root}/{last.build}/{t}") for t in TABLES}
+    return Warehouse(sources=sources or {}, extra={"build": last.build}, **tables)
 
 
 VIEW_NAMES = {
@@ -110,8 +180,8 @@ VIEW_NAMES = {
     "dim_seller": "dim_seller",
     "dim_date": "dim_date",
     "fact_order_item": "fact_order_item",
-    "sales": "vw_sales_order_item_baseline",
-    "fulfillment": "vw_fulfillment_order_item",
+    "sales": "sales_items",
+    "fulfillment": "delivery_items",
 }
 
 

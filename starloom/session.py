@@ -8,13 +8,11 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-_LOCAL_CKPT: dict[str, str] = {}
-
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "starloom") -> SparkSession:
     """Session used by tests and bench. Cluster users bring their own.
     ``spark.checkpoint.dir`` is left as configured (spark-defaults); only if
-    nothing names one does ``checkpoint_root`` pick a private folder."""
+    nothing names one does this local session get a private folder."""
     scratch = tempfile.mkdtemp(prefix="starloom-ckpt-")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -35,11 +33,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         k, v = kv.split("=", 1)
         builder = builder.config(k.strip(), v.strip())
     spark = builder.getOrCreate()
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 32768) -> dict[str, str]:
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, shuffle_bytes: int = 1 << 30) -> dict[str, str]:
     """Recommended settings for a cluster run over ``input_bytes`` of input.
 
     * Broadcast decisions only at run time: the static threshold trusts
@@ -47,12 +47,13 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partiti
       memory), so it is off; AQE broadcasts a side after measuring it.
       Explicit ``broadcast()`` hints in the library are only on
       bounded tables (calendar, per-partition offsets).
-    * Shuffle partitions: one per GiB of input (shuffled data is a pruned
-      fraction of it), at least 200, at most ``max_partitions`` so the
-      map x reduce block count stays manageable; AQE coalesces small
+    * Shuffle partitions: one per ``shuffle_bytes`` of input (shuffled data
+      is a pruned fraction of it), at least 200. There is no upper bound: at
+      100 TB this is about 100,000 partitions; a cluster that prefers fewer,
+      larger ones says so with ``shuffle_bytes``. AQE coalesces small
       partitions toward ``partition_bytes`` and splits skewed join ones.
     """
-    parts = min(max(200, input_bytes >> 30), max_partitions)
+    parts = max(200, -(-input_bytes // shuffle_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -82,38 +83,18 @@ def app_key(spark: SparkSession) -> str:
         return _conf(spark, "spark.app.id") or f"session-{id(spark)}"
 
 
-def _master(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.master
-    except Exception:  # noqa: BLE001
-        return _conf(spark, "spark.master") or ""
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, read from ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the operator (a folder every executor
-    and the driver can reach). Only a local-mode session without one gets a
-    private scratch folder, as in tests.
-    """
+    It must be a folder that every executor and the driver can reach; there
+    is no fallback to a folder of this machine (``local_session`` sets one
+    where nothing else names it)."""
     root = _conf(spark, "spark.checkpoint.dir")
     if not root:
         try:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001
             root = None
-    if root:
-        return root.rstrip("/")
-    if not _master(spark).startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: set it to a shared folder (HDFS/S3/...) "
-            "reachable from every executor before building the warehouse"
-        )
-    app = app_key(spark)
-    if app not in _LOCAL_CKPT:
-        _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="starloom-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[app])
-        except Exception:  # noqa: BLE001
-            pass
-    return _LOCAL_CKPT[app]
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir is not set: set it to a shared folder (HDFS/S3/...) reachable from every executor")
+    return root.rstrip("/")

@@ -26,6 +26,7 @@ from starloom.sources.schemas import MONEY, conform
 # category names that have an English translation).
 SNAPSHOT_DATE = dt.date(1999, 1, 1)
 LATE_SNAPSHOT_DATE = dt.date(1998, 7, 1)
+NEXT_DATES = [dt.date(1999, 1, 2), dt.date(1999, 1, 3)]
 TRANSLATED_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
 
 c = F.col
@@ -54,21 +55,26 @@ def customers_all(t) -> DataFrame:
     )
 
 
+def _also(df: DataFrame, rows: F.Column, prefix: str) -> DataFrame:
+    """``df`` and, for some of its rows, another customer like it, whose id
+    has a prefix: every row stays, new keys come from existing rows."""
+    more = df.filter(rows).withColumn("customer_id", F.concat(F.lit(prefix), "customer_id"))
+    return df.unionByName(more)
+
+
 def customers_initial(t) -> DataFrame:
-    """Customers known at the initial load; ids ending in 9 arrive later
-    (they enter the dimension through the first snapshot)."""
-    cu = t["customer"].filter(c("c_custkey") % 10 != 9)
-    return customers_all({"customer": cu})
+    """Customers known at the initial load: every one, and some 'old-' keys
+    that no later snapshot has."""
+    return _also(customers_all(t), c("customer_id").cast("bigint") % 13 == 0, "old-")
 
 
 def customers_snapshot(t) -> DataFrame:
-    """Customer table as of SNAPSHOT_DATE: some keys of the initial load
-    absent, some moved to another nation (zip+city), some with a new state,
-    some with a NULL city. Every customer not in the initial load is here."""
-    k = c("c_custkey")
-    cu = t["customer"].filter(~((k % 13 == 0) & (k % 10 != 9)))
+    """Customer table as of SNAPSHOT_DATE: every customer, some moved to another
+    nation (zip+city), some with a new state, some with a NULL city, and 'new-'
+    keys that the initial load does not have."""
+    cu = t["customer"]
     nation = F.when(c("c_custkey") % 7 == 0, (c("c_nationkey") + 1) % 25).otherwise(c("c_nationkey"))
-    return conform(
+    rows = conform(
         cu.select(
             c("c_custkey").cast("string").alias("customer_id"),
             F.expr("c_custkey div 2").cast("string").alias("customer_unique_id"),
@@ -78,6 +84,17 @@ def customers_snapshot(t) -> DataFrame:
         ),
         "customers",
     )
+    return _also(rows, c("customer_id").cast("bigint") % 10 == 9, "new-")
+
+
+def customers_next_days(t) -> list[tuple[dt.date, DataFrame]]:
+    """Two more daily snapshots after SNAPSHOT_DATE: on the first, customers
+    with ids divisible by 19 have a new state; on the second, all are as first
+    seen again, and there are 'late-' keys."""
+    base = customers_all(t)
+    k = c("customer_id").cast("bigint")
+    first = base.withColumn("customer_state", F.when(k % 19 == 0, F.lit("NEXT")).otherwise(c("customer_state")))
+    return [(NEXT_DATES[0], first), (NEXT_DATES[1], _also(base, k % 23 == 0, "late-"))]
 
 
 def customers_late_snapshot(t) -> DataFrame:
@@ -135,12 +152,12 @@ def sellers(t) -> DataFrame:
 
 def geolocation(t) -> DataFrame:
     """Many points per zip. Customer points spell the zip zero-padded, supplier
-    points unpadded, so one integer zip has two raw spellings. Nation 24 has
-    no points (zips without geography)."""
+    points unpadded, so one integer zip has two raw spellings. Points of
+    nation 24 have a zip that is no number (so its zip has no geography)."""
 
     def points(df: DataFrame, key: str, nation: str, zip_col: F.Column) -> DataFrame:
-        return df.filter(c(nation) != 24).select(
-            zip_col.alias("geolocation_zip_code_prefix"),
+        return df.select(
+            F.when(c(nation) == 24, "unknown").otherwise(zip_col).alias("geolocation_zip_code_prefix"),
             (c(nation) + c(key) % 10).cast("double").alias("geolocation_lat"),
             (-(c(key) % 100)).cast("double").alias("geolocation_lng"),
             _city(c(nation)).alias("geolocation_city"),
@@ -166,7 +183,9 @@ def orders(t) -> DataFrame:
     return conform(
         o.select(
             k.cast("string").alias("order_id"),
-            c("o_custkey").cast("string").alias("customer_id"),
+            F.concat(
+                F.when((c("o_custkey") % 10 == 9) & (k % 2 == 0), "new-").otherwise(""), c("o_custkey").cast("string")
+            ).alias("customer_id"),
             status.alias("order_status"),
             c("o_orderdate").alias("order_purchase_timestamp"),
             _days(c("o_orderdate"), k % 3).alias("order_approved_at"),

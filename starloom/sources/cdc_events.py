@@ -9,7 +9,9 @@ payload (JSON object of the changed columns and their new values)`` plus
 the event type picks the entity, ``props.k`` the new values, and
 ``arrival_seq`` scrambles arrival order so that many events arrive after
 later ones (late data). A payload carries only the columns that changed; a
-column may be set to an explicit null, which is not the same as absent.
+column may be set to an explicit null, which is not the same as absent. Some
+events have no id, no or a malformed key, or an entity that no table has, as
+feeds do.
 """
 
 from __future__ import annotations
@@ -46,7 +48,9 @@ ENTITY_ATTRIBUTES = {
     "Customer": ["zip_code_prefix", "customer_city", "customer_state"],
     "Product": ["product_category_name", "product_weight_g"],
     "Seller": ["seller_city", "seller_state"],
-    "OrderItem": ["price", "freight_value"],
+    "OrderItem": ["price", "freight_value", "product_id", "seller_id"],
+    "Order": ["order_status", "order_delivered_customer_date"],
+    "Payment": ["payment_type", "payment_installments", "payment_value"],
 }
 
 
@@ -63,7 +67,13 @@ def _payload(entries: list[F.Column]) -> F.Column:
 def change_events(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     s = lambda x: x.cast("string")
-    entity = F.coalesce(*[F.when(c("event_type") == t, F.lit(e)) for t, e in ENTITY_OF_EVENT.items()])
+    i = c("event_id")
+    entity = (
+        F.when(i % 199 == 11, "Review")
+        .when((c("event_type") == "view") & (i % 4 == 1), "Order")
+        .when((c("event_type") == "click") & (i % 3 == 1), "Payment")
+    )
+    entity = F.coalesce(entity, *[F.when(c("event_type") == t, F.lit(e)) for t, e in ENTITY_OF_EVENT.items()])
     op = F.when(c("event_id") % 20 == 0, "delete").when(c("event_type") == "signup", "insert").otherwise("update")
     customer = _payload([
         _entry("zip_code_prefix", k % 25),
@@ -81,23 +91,36 @@ def change_events(events: DataFrame) -> DataFrame:
     item = _payload([
         _entry("price", F.concat(s(k * 10), F.lit(".99"))),
         _entry("freight_value", F.concat(s(k), F.lit(".50"))),
+        _entry("product_id", s(1 + k % 10), i % 2 == 0),
+        _entry("seller_id", s(1 + k % 5), i % 2 == 0),
+    ])
+    order = _payload([
+        _entry("order_status", F.when(k % 3 == 0, "delivered").when(k % 3 == 1, "shipped").otherwise("canceled")),
+        _entry("order_delivered_customer_date", F.concat(s(F.to_date("ts")), F.lit("T00:00:00")), k % 3 == 0),
+    ])
+    payment = _payload([
+        _entry("payment_type", F.concat(F.lit("P"), s(k % 4))),
+        _entry("payment_installments", k % 12 + 1, k % 2 == 1),
+        _entry("payment_value", F.concat(s(k * 100), F.lit(".00"))),
     ])
     payload = (
         F.when(op == "delete", F.lit("{}"))
         .when(entity == "Customer", customer)
         .when(entity == "Product", product)
         .when(entity == "Seller", seller)
+        .when(entity == "Order", order)
+        .when(entity == "Payment", payment)
         .otherwise(item)
     )
-    pk = F.when(
-        entity == "OrderItem", F.concat(s(c("user_id")), F.lit("|"), s(1 + c("event_id") % 4))
-    ).otherwise(s(c("user_id")))
+    pair = entity.isin("OrderItem", "Payment") & (i % 89 != 7)  # the others have a malformed key
+    pk = F.when(pair, F.concat(s(c("user_id")), F.lit("|"), s(1 + i % 4))).otherwise(s(c("user_id")))
+    pk = F.when(i % 211 != 3, pk)
     return events.select(
         entity.alias("entity_name"),
         c("ts").alias("event_time"),
         op.alias("operation"),
         pk.alias("primary_key"),
         payload.alias("payload"),
-        c("event_id"),
-        ((c("event_id") * 7919) % 100003).alias("arrival_seq"),
+        F.when(i % 97 != 5, i).alias("event_id"),
+        ((i * 7919) % 100003).alias("arrival_seq"),
     )

@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.sources.cdc_events import CDC_SCHEMA
+from starloom.sources.cdc_events import CDC_SCHEMA, ENTITY_ATTRIBUTES
 from starloom.session import checkpoint_root
 
 c = F.col
@@ -32,11 +32,13 @@ PAYLOAD_MAP = T.MapType(T.StringType(), T.StringType())
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def land_events(events: DataFrame, landing_dir: str, files: int = 8) -> None:
-    """Write change events as JSON lines, ``files`` files in arrival order
-    (what an upstream system emitting hourly files would leave behind)."""
+def land_events(events: DataFrame, landing_dir: str, files: int | None = None) -> None:
+    """Write change events as JSON lines, in files of arrival order (what an
+    upstream system emitting hourly files would leave behind): ``files`` of
+    them, by default as many as the volume needs (AQE sizes them)."""
+    by = ["arrival_seq"] if files is None else [files, "arrival_seq"]
     (
-        events.repartitionByRange(files, "arrival_seq")
+        events.repartitionByRange(*by)
         .sortWithinPartitions("arrival_seq")
         .write.mode("append")
         .options(**JSON_OPTIONS)
@@ -59,13 +61,19 @@ def to_bronze(stream: DataFrame, dedup_watermark: str | None = None) -> DataFram
     if dedup_watermark:
         out = (
             out.withColumn("_wm_time", c("event_time").cast("timestamp"))
+            .withColumn("_same", _whole_event())
             .withWatermark("_wm_time", dedup_watermark)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .drop("_wm_time")
+            .dropDuplicatesWithinWatermark(["event_id", "_same"])
+            .drop("_wm_time", "_same")
         )
     return out
 
 
+def _whole_event() -> Column:
+    """Tells events without an id apart: their whole content."""
+    return F.when(c("event_id").isNull(), F.to_json(F.struct(*[f.name for f in CDC_SCHEMA.fields])))
+
+
 def run_bronze(
     spark: SparkSession,
     landing_dir: str,
@@ -75,9 +83,13 @@ def run_bronze(
     dedup_watermark: str | None = None,
 ) -> None:
     """One availableNow run of landing -> bronze (returns when caught up)."""
+    events = to_bronze(read_landing_stream(spark, landing_dir, max_files_per_trigger), dedup_watermark)
+    # one file per (entity, date) and slice instead of one from every task; a
+    # day's events, most of a batch, are spread over several slices
+    slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    events = events.repartition("entity_name", "event_date", F.pmod(F.xxhash64("event_id", "arrival_seq"), F.lit(slices)))
     q = (
-        to_bronze(read_landing_stream(spark, landing_dir, max_files_per_trigger), dedup_watermark)
-        .writeStream.format("parquet")
+        events.writeStream.format("parquet")
         .partitionBy("entity_name", "event_date")
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
@@ -98,16 +110,47 @@ def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
 
 
 def dedup_events(bronze: DataFrame) -> DataFrame:
-    """Drop replayed copies of an event (same event_id). event_id is a
-    near-uniform key, so the shuffle is balanced."""
-    return bronze.dropDuplicates(["event_id"])
+    """Drop replayed copies of an event: the same event_id or, without an id,
+    the same whole event. Of copies that differ the least row stays, so the
+    result is the same on every run. event_id is a near-uniform key."""
+    row = F.struct("arrival_seq", *[x for x in bronze.columns if x != "arrival_seq"])
+    kept = bronze.withColumn("_same", _whole_event()).groupBy("event_id", "_same").agg(F.min(row).alias("_r"))
+    return kept.select(*[c("_r")[x].alias(x) for x in bronze.columns])
+
+
+#: Entities whose key is 'order|number'.
+PAIR_KEYS = ("OrderItem", "Payment")
+
+
+def fault() -> Column:
+    """Why an event cannot be applied, NULL if it can."""
+    parts = F.split("primary_key", r"\|")
+    pair = F.get(parts, 0).isNotNull() & F.get(parts, 1).try_cast("int").isNotNull()
+    return (
+        F.when(c("entity_name").isNull() | ~c("entity_name").isin(*ENTITY_ATTRIBUTES), "unknown entity")
+        .when(c("primary_key").isNull(), "no key")
+        .when(c("entity_name").isin(*PAIR_KEYS) & ~pair, "malformed key")
+        .when(c("event_time").isNull(), "no time")
+        .when(c("operation").isNull() | ~c("operation").isin("insert", "update", "delete"), "unknown operation")
+        .when(c("payload").isNotNull() & F.from_json("payload", PAYLOAD_MAP).isNull(), "malformed payload")
+    )
+
+
+def quarantine(bronze: DataFrame) -> DataFrame:
+    """Replay-free events that no applier can take, with the reason."""
+    return dedup_events(bronze).withColumn("reason", fault()).filter("reason is not null")
+
+
+def quarantine_counts(bronze: DataFrame) -> DataFrame:
+    return quarantine(bronze).groupBy("entity_name", "reason").agg(F.count(F.lit(1)).alias("n_events"))
 
 
 def decoded(bronze: DataFrame) -> DataFrame:
     """Events with the payload parsed to ``map<string,string>``: a key that
     is present with a null value is an explicit null; an absent key means
     'unchanged'."""
-    return dedup_events(bronze).withColumn("changes", F.from_json("payload", PAYLOAD_MAP))
+    events = dedup_events(bronze).filter(fault().isNull())
+    return events.withColumn("changes", F.from_json("payload", PAYLOAD_MAP))
 
 
 def silver(events: DataFrame) -> DataFrame:
@@ -132,7 +175,7 @@ def build_silver(bronze: DataFrame) -> DataFrame:
     every entity applier reads it instead of re-decoding bronze."""
     from starloom.functions.storage import materialize
 
-    return materialize(decoded(bronze), "cdc-silver-decoded", partition_by=["entity_name"], spread=["event_id"])
+    return materialize(decoded(bronze), "cdc-silver-decoded", partition_by=["entity_name"], spread=["arrival_seq"])
 
 
 def entity_changes(events: DataFrame, entity: str, attributes: list[str]) -> DataFrame:

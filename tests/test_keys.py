@@ -29,13 +29,12 @@ def test_empty_input(spark):
     assert assign_surrogate_keys(df, ["x"], "sk").count() == 0
 
 
-def test_many_partitions_use_offset_table(spark, monkeypatch):
-    from starloom.functions import keys
-
-    monkeypatch.setattr(keys, "MAX_LITERAL_PARTITIONS", 2)
+def test_many_partitions(spark):
     df = spark.range(0, 300, numPartitions=3).select((F.col("id") * 37 % 300).alias("k"))
-    got = keys.assign_surrogate_keys(df, ["k"], "sk", num_partitions=6)
+    got = assign_surrogate_keys(df, ["k"], "sk", num_partitions=4000)
     assert sorted((r.k, r.sk) for r in got.collect()) == [(i, i + 1) for i in range(300)]
+    plan = got._jdf.queryExecution().toString()
+    assert "map(" not in plan and "element_at" not in plan  # one path: a join with the offsets
 
 
 def test_keys_stay_put_across_rebuilds(spark):

@@ -24,7 +24,9 @@ class _Session:
         self.conf, self.sparkContext = _Conf(conf), _SC(master, ckpt)
 
 
-def test_cluster_without_checkpoint_dir_refuses():
+def test_session_without_checkpoint_dir_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session({}, "local[4]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(_Session({}, "yarn"))
 
@@ -36,7 +38,7 @@ def test_configured_folder_is_used():
 
 def test_cluster_conf_bounds():
     assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
-    assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == "32768"
+    assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == "102400"
     assert cluster_conf(1 << 40)["spark.sql.autoBroadcastJoinThreshold"] == "-1"
 
 
