@@ -62,3 +62,34 @@ def test_hot_customer_is_split_and_results_hold(spark):
     assert got == want
     top = max(got, key=lambda r: r.n)
     assert top.n * 4 > sum(r.n for r in got)  # the hot person really holds a large share
+
+
+def test_hot_order_is_split(spark):
+    """Half of all items belong to one order: the items' only join on the order
+    is split, and the fact stays the same."""
+    from starloom.operators.fact import build_fact_order_item
+
+    w = warehouse(spark, SF_SMALL)
+    src = w.sources
+    hot = src["order_items"].select("order_id").orderBy("order_id").first().order_id
+    items = src["order_items"].repartition(8).withColumn(
+        "order_id", F.when(F.xxhash64("product_id", "order_item_id", "price") % 2 == 0, F.lit(hot)).otherwise(F.col("order_id")))
+
+    def build():
+        return build_fact_order_item(items, src["orders"], src["payments"], w.dim_customer, w.dim_product, w.dim_seller,
+                                     w.dim_geography, w.dim_date, w.dim_payment)
+
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        df = build()
+        got = sorted(map(str, df.collect()))
+        lines = [x for x in final_plan(df).split("Initial Plan")[0].splitlines() if "SortMergeJoin" in x]
+        assert any("skew=true" in x.replace(" ", "") for x in lines), lines
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == sorted(map(str, build().collect()))
