@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -62,7 +64,23 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
                 z.write(p, p.relative_to(package.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks,
+    and what one stage needed for a moment would stay in them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # of the GNU library; others need no call
 
 
 def by_bytes(column: pa.Array, limit: int):

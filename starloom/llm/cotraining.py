@@ -244,8 +244,11 @@ def judge(df: DataFrame, judges: dict[str, Judge], reject_at: float = 0.5, id_co
 
     def score(batches):
         for batch in batches:
-            sets = [_views(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source")), strict=True)]
-            scores = {t: np.array([judges[t].probability(s) for s in sets]) for t in TARGETS}
+            found = []
+            for row in zip(*(batch.column(c) for c in ("text", "lang", "source")), strict=True):
+                sets = _views(*(x.as_py() for x in row))
+                found.append([judges[t].probability(sets) for t in TARGETS])
+            scores = dict(zip(TARGETS, np.array(found).reshape(-1, len(TARGETS)).T, strict=True))
             kept = np.all([scores[t] < reject_at for t in TARGETS], axis=0)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **{f"p_{t}": pa.array(scores[t], pa.float64()) for t in TARGETS}, "kept": pa.array(kept, pa.bool_())} | {c: batch.column(c) for c in more})
 

@@ -38,6 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +46,11 @@ from pyspark.sql import functions as F
 from starloom.llm import anchors
 from starloom.llm.common import by_bytes, map_arrow, materialize
 
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 8 << 20
 SAMPLE_TEXTS = 20_000
 HEAVY_SHARE = 2048
 #: Symbols that a kernel gets at once, unless one anchor has more.
-KERNEL_SYMBOLS = 400_000
+KERNEL_SYMBOLS = 250_000
 #: Id of rows without one: below all others.
 NO_ID = -(2**63)
 NAMES = ["key", "tie", "start", "length"]
@@ -219,18 +220,17 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
     def fetch(batches):
         """Step 3: blocks of the segments asked for, with their symbols."""
         for batch in batches:
-            columns = [[] for _ in range(5)]
-            symbols = []
-            for key, tie, text, asked in zip(*(batch.column(c).to_pylist() for c in ("key", "tie", "text", "asked")), strict=True):
-                raw = unit.raw(text.encode())
-                for x in asked:
-                    start, extent = x["place"] >> 24, x["place"] >> 12 & 0xFFF
-                    symbols.append(raw[start : start + extent + window])
-                    for c, v in zip(columns, (x["anchor"], key, tie, start, len(symbols[-1])), strict=True):
-                        c.append(v)
-            anchor, key, tie, start, size = (np.array(c, np.int64) for c in columns)
+            rows, (place, anchor) = _lists(batch.column("asked"), "place", "anchor")
+            key, tie = batch.column("key").to_numpy()[rows], batch.column("tie").to_numpy()[rows]
+            start, extent = place >> 24, place >> 12 & 0xFFF
+            symbols, last = [], -1
+            for i, row in enumerate(rows.tolist()):
+                if row != last:
+                    raw, last = unit.raw(batch.column("text")[row].as_py().encode()), row
+                symbols.append(raw[start[i] : start[i] + extent[i] + window].copy())
+            size = np.array([len(x) for x in symbols], np.int64)
             for bucket, at in _spread(bucket_of(anchor.view(np.uint64)), buckets):
-                blob = _pack([anchor[at], key[at], tie[at].astype(np.int32), start[at], size[at], np.concatenate([symbols[i] for i in at])])
+                blob = _pack([anchor[at], key[at], tie[at], start[at], size[at], np.concatenate([symbols[i] for i in at])])
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "block": [blob]})
 
     def refine(batches):
@@ -296,14 +296,28 @@ def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     return docs.join(spans, ["key", "tie"], "left")
 
 
-def covered(spans: list | None, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the maximal runs that the spans cover."""
-    if not spans:
+def _lists(column: pa.Array, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of a column of lists of structs: the row of each element, and its fields."""
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    flat = pc.list_flatten(column)
+    return np.repeat(np.arange(len(column)), counts), [flat.field(n).to_numpy() for n in names]
+
+
+def runs(column: pa.Array):
+    """(starts, ends) of the maximal runs that each row's spans cover."""
+    rows, (start, length) = _lists(column, "start", "length")
+    cuts = np.searchsorted(rows, np.arange(len(column) + 1))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield covered(start[a:b], length[a:b])
+
+
+def covered(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the maximal runs that some spans cover."""
+    if not len(starts):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    starts = np.array([x["start"] for x in spans], np.int64)
-    ends = starts + np.array([x["length"] for x in spans], np.int64)
     order = np.argsort(starts, kind="stable")
-    starts, ends = starts[order], np.maximum.accumulate(ends[order])
+    ends = np.maximum.accumulate((starts + lengths)[order])
+    starts = starts[order]
     new = np.ones(len(starts), bool)
     new[1:] = starts[1:] > ends[:-1]
     firsts = np.flatnonzero(new)

@@ -150,9 +150,8 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col
     def remove(batches):
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256") + ("kept",) * with_text}
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                data = text.encode()
-                starts, ends = repeats.covered(spans, len(data))
+            for text, (starts, ends) in zip(batch.column("text"), repeats.runs(batch.column("spans")), strict=True):
+                data = text.as_py().encode()
                 edges = [0, *np.column_stack([starts, ends]).ravel().tolist(), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if len(starts) else data
                 row = (len(data), len(data) - len(kept), len(starts), hashlib.sha256(kept).hexdigest()) + (kept,) * with_text

@@ -138,13 +138,12 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     return repeats.with_spans(rows, repeats.repeats(rows, WORDS, maximal_repeats, window, gram, later_in_document=False))
 
 
-def cut_words(data: bytes, spans: list | None) -> tuple[int, int, bytes, bytes]:
+def cut_words(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes, bytes]:
     """(words, words removed, kept words joined by blanks, text without the
-    removed words and the white space after them)."""
+    removed words and the white space after them); the runs start .. end go."""
     words = data.split()  # ASCII white space, as the contract's words
-    if not spans:
+    if not len(starts):
         return len(words), 0, b" ".join(words), data
-    starts, ends = repeats.covered(spans, len(words))
     keep = np.ones(len(words), bool)
     for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
         keep[a:b] = False
@@ -163,8 +162,8 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col
     def remove(batches):
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_sha256") + ("kept",) * with_text}
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                n, removed, joined, rest = cut_words(text.encode(), found)
+            for text, found in zip(batch.column("text"), repeats.runs(batch.column("spans")), strict=True):
+                n, removed, joined, rest = cut_words(text.as_py().encode(), *found)
                 row = (n, removed, hashlib.sha256(joined).hexdigest()) + (rest.decode(),) * with_text
                 for c, v in zip(out.values(), row, strict=True):
                     c.append(v)

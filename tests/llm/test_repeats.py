@@ -181,8 +181,8 @@ def test_heavy_grams_change_anchors_only(docs, monkeypatch):
 
 
 def test_cut_words_keeps_white_space():
-    assert suffix_trees.cut_words(b" a b\n\nc  d\te ", [{"start": 1, "length": 2}]) == (5, 2, b"a d e", b" a d\te ")
-    assert suffix_trees.cut_words(b"", None) == (0, 0, b"", b"")
+    assert suffix_trees.cut_words(b" a b\n\nc  d\te ", np.array([1]), np.array([3])) == (5, 2, b"a d e", b" a d\te ")
+    assert suffix_trees.cut_words(b"", np.array([]), np.array([])) == (0, 0, b"", b"")
 
 
 @settings(max_examples=50, deadline=None)
