@@ -216,10 +216,17 @@ def fit(df: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_
     """A judge for each target, from a bounded sample."""
     rows = _rows(df, id_col, text_col, lang_col, source_col)
     worst = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg((1 - F.min("quality")).cast("int").alias("low_quality"), F.max("toxic").cast("int").alias("toxic"))
-    ids = rows.select("doc_id").filter("doc_id is not null").distinct()
+    worst = materialize(worst, "labels")
+    ids = materialize(rows.select("doc_id").filter("doc_id is not null").distinct(), "document-ids")
     order = F.xxhash64("doc_id")
-    known = ids.join(worst, F.col("doc_id") == F.col("_id")).select("doc_id", *TARGETS).orderBy(order).limit(max_labelled)
-    unknown = ids.join(worst.select("_id"), F.col("doc_id") == F.col("_id"), "left_anti").orderBy(order).limit(max_pool)
+
+    def some(df: DataFrame, n: int, most: int) -> DataFrame:
+        """At most ``most`` of about n rows. A sample of some times as many goes
+        before the exact choice, which gathers ``most`` rows from each task."""
+        return df.sample(min(1.0, 3 * most / max(n, 1)), 11).orderBy(order).limit(most)
+
+    known = some(ids.join(worst, F.col("doc_id") == F.col("_id")).select("doc_id", *TARGETS), worst.count(), max_labelled)
+    unknown = some(ids.join(worst.select("_id"), F.col("doc_id") == F.col("_id"), "left_anti"), ids.count(), max_pool)
     chosen = materialize(known.unionByName(unknown, allowMissingColumns=True).withColumnRenamed("doc_id", "_id"), "classifier-sample")
 
     def features(batches):

@@ -198,7 +198,9 @@ def linked(bits: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     # repeated fingerprints were dropped before; a fingerprint has a variant once
-    balls = map_arrow(bits, emit, "bucket int, bits binary, number binary").repartitionById(buckets, "bucket")
+    # and the few bytes a fingerprint are dealt out first, as each becomes 131 variants
+    dealt = bits.repartition(buckets, "bits")
+    balls = map_arrow(dealt, emit, "bucket int, bits binary, number binary").repartitionById(buckets, "bucket")
     return map_arrow(balls, verify, "u long, v long")
 
 
