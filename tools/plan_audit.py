@@ -19,9 +19,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
 from starloom.operators import fact as F_  # noqa: E402
 from starloom.plans import views  # noqa: E402
+from starloom.plans.catalog import QUERIES  # noqa: E402
 from starloom.plans.warehouse import warehouse  # noqa: E402
 from starloom.session import local_session  # noqa: E402
 
@@ -73,7 +73,7 @@ def main() -> None:
         "build: vw_fulfillment": views.fulfillment_view(
             w.fact_order_item, w.sources["orders"], w.dim_date, w.dim_product, w.dim_seller, w.dim_customer),
     }
-    qs = entry.queries()
+    qs = QUERIES
     cols = ["shuffles", "broadcasts", "smj", "bhj", "window", "hash_agg", "sort_agg", "obj_agg", "python",
             "scans", "widest_scan_cols"]
     print(f"### {label}\n")
