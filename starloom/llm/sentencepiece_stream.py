@@ -15,9 +15,12 @@ What is best depends on the model file:
   place is allowed, and it is what the merges make of the text up to there, so
   ids equal the library's for BPE models too.
 
-Two kinds of boundary need no trellis, as no piece spans them: before a run of
-the blank mark that follows another character, and around characters that no
-piece holds. The parts between them repeat, and a bounded memo keeps their ids.
+Some boundaries need no trellis, as no piece spans them: before a run of the
+blank mark that follows another character, around characters that no piece
+holds, and between any two characters that no piece has side by side. The parts
+between them repeat, and a bounded memo keeps their ids. (Models without byte
+pieces, where neighbouring unknown characters are one id, are cut before the
+blank mark only.)
 
 Edge cases: a null or empty text has no ids; characters without a piece become
 byte pieces (or the unknown id, if the model has none); null ids and repeated
@@ -40,11 +43,13 @@ from starloom.llm.common import by_bytes, map_arrow, texts
 
 MARK = "▁"
 GROUP_BYTES = 1 << 20
-MEMO_PARTS = 300_000
-MEMO_PAIRS = 1_000_000
+MEMO_PARTS = 350_000
+MEMO_PAIRS = 600_000
 MEMO_CHARS = 48
 #: Places held before the paths are tried for a common boundary.
 TRY_PLACES = 256
+#: Numbers of no piece: before the text, and of a character that is none.
+START, UNKNOWN = (1 << 20) - 1, (1 << 20) - 2
 #: Model types of the file format.
 UNIGRAM, BPE = 1, 2
 
@@ -74,6 +79,28 @@ def _fields(data: bytes):
             at += size
 
 
+class Memo(dict):
+    """Ids of parts, made when they are first asked for. Of two generations the
+    older one goes when the younger is full: memory is bounded and frequent
+    parts stay."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            parts = self.model.split(part)
+            ids = b"".join(map(self.__getitem__, parts)) if len(parts) > 1 else array("I", self.model._ids(self.model.trellis(part))).tobytes()
+        if len(part) <= MEMO_CHARS:
+            if len(self) >= MEMO_PARTS:
+                self.older = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class Model:
     """A model's pieces, and its encoder and decoder."""
 
@@ -101,23 +128,33 @@ class Model:
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.fallback = all(sp.is_byte(i) for i in self.bytes)
         self.longest = max(map(len, self.ids))
-        self.endings = {p[k:] for p in self.ids for k in range(1, len(p))}
+        # of each piece and each ending of one: 2 * id + (1 if longer pieces end so), -1 for an ending only
+        endings = {p[k:] for p in self.ids for k in range(1, len(p))}
+        self.known = dict.fromkeys(endings, -1) | {p: 2 * i + (p in endings) for p, i in self.ids.items()}
         held = set("".join(self.ids))
-        alone = "\n" if "\n" not in held else ""
+        alone = "\n" if "\n" not in held and self.fallback else ""
         words = all(MARK not in p.lstrip(MARK) for p in self.ids)
         other = f"[^{MARK}{alone}]"
         self.cut = re.compile(f"{MARK}*{other}+|{MARK}+" + f"|[{alone}]" * bool(alone)) if words else re.compile(r"(?s).+")
         self.text_of = [bytes([self.bytes.index(i)]) if sp.is_byte(i) else b"" if sp.is_control(i) else " ⁇ ".encode() if sp.is_unknown(i) else sp.id_to_piece(i).replace(MARK, " ").encode() for i in range(size)]
         self.is_byte = np.array([sp.is_byte(i) for i in range(size)])
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.pairs: dict[int, bool] = {}
+        self.memo = Memo(self)
 
     def normalize(self, text: str) -> str:
         if not self.plain:
             return self.library.normalize(text)
         return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
 
+    def split(self, part: str) -> list[str]:
+        """A text cut between characters that no piece has side by side."""
+        if not self.fallback:
+            return [part]
+        inside = self.inside
+        cuts = [k for k in range(1, len(part)) if part[k - 1 : k + 1] not in inside]
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])]
+
     def merge(self, text: str) -> list[str]:
         """The pieces that BPE merges make of a short text: again and again the
         neighbours whose union scores best, the leftmost of equals."""
@@ -134,13 +171,7 @@ class Model:
 
     def stays(self, left: str, right: str) -> bool:
         """Whether two neighbouring pieces stay as they are under merges."""
-        key = left, right
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= MEMO_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merge(left + right) == ([left, right] if left else [right])
-        return known
+        return self.merge(left + right) == ([left, right] if left else [right])
 
     def _ids(self, pieces: list[str]) -> list[int]:
         out: list[int] = []
@@ -156,76 +187,87 @@ class Model:
     def trellis(self, part: str, committed=None) -> list[str]:
         """The best pieces of a text. ``committed`` (for tests) is called with
         each number of places held."""
-        pieces, endings, longest, pairs = self.scores, self.endings, self.longest, self.pairs
-        bpe = self.kind == BPE
+        known, pairs, longest, bpe = self.known, self.pairs, self.longest, self.kind == BPE
         out: list[str] = []
         base = 0  # place of the latest commit
-        last = [""]  # for each place from base on, the last piece of its path
-        score = [0.0]
+        # for each place from base on: the start of its path's last piece, that piece's number, the path's score
+        start, number, score = [0], [START], [0.0]
         for i in range(1, len(part) + 1):
-            found, best, j = part[i - 1], None, i - 1
-            ways = [j]  # starts of the pieces that end here
-            for j in range(i - 2, max(base, i - longest) - 1, -1):
-                p = part[j:i]
-                if p in pieces:
-                    ways.append(j)
-                elif p not in endings:
-                    break
-            for j in reversed(ways):
-                p = part[j:i]
-                if bpe:
-                    if len(ways) == 1:
-                        break
-                    before = last[j - base] or (out[-1] if out else "")
-                    if (stays := pairs.get((before, p))) or stays is None and self.stays(before, p):
-                        found = p
-                        break
-                else:
-                    total = score[j - base] + pieces.get(p, self.unknown_score)
-                    if best is None or total > best:
-                        found, best = p, total
-            last.append(found)
-            score.append(best or 0.0)
-            if len(last) > TRY_PLACES and not len(last) % 64:
+            if not bpe:
+                self._step_unigram(part, i, base, start, number, score)
+            else:  # the one allowed way to place i, trying short pieces first
+                found, which, j, lowest = i - 1, UNKNOWN, i - 1, max(base, i - longest)
+                while j >= lowest:
+                    p = part[j:i]
+                    info = known.get(p)
+                    if info is not None and info >= 0:
+                        key = number[j - base] << 20 | info >> 1
+                        stays = pairs.get(key)
+                        if stays is None:
+                            stays = self._stays_at(part, j, i, base, start, out)
+                            if number[j - base] != UNKNOWN:
+                                if len(pairs) >= MEMO_PAIRS:
+                                    pairs.clear()
+                                pairs[key] = stays
+                        if stays:
+                            found, which = j, info >> 1
+                            break
+                        if not info & 1:
+                            break
+                    elif info is None or j == i - 1 and self._stays_at(part, j, i, base, start, out):
+                        break  # no longer piece ends so, or a character that is no piece
+                    j -= 1
+                start.append(found)
+                number.append(which)
+            if len(start) > TRY_PLACES and not len(start) % 64:
                 # boundaries that all surviving paths share
                 common: set[int] | None = None
-                for end in range(max(i - longest, base), i + 1):
+                for end in range(max(i - self.longest, base), i + 1):
                     path = {end}
                     while end > base:
-                        end -= len(last[end - base])
+                        end = start[end - base]
                         path.add(end)
                     common = path if common is None else common & path
                 boundary = max(common)
                 if boundary > base:
-                    out += self._path(last, base, boundary)
-                    last, score = last[boundary - base :], score[boundary - base :]
-                    last[0], base = "", boundary
+                    out += self._path(part, start, base, boundary)
+                    start, number, score = (x[boundary - base :] for x in (start, number, score))
+                    base = boundary
                 if committed:
-                    committed(len(last))
-        return out + self._path(last, base, len(part))
+                    committed(len(start))
+        return out + self._path(part, start, base, len(part))
+
+    def _stays_at(self, part: str, j: int, i: int, base: int, start: list, out: list) -> bool:
+        before = part[start[j - base] : j] if j > base else out[-1] if out else ""
+        return self.stays(before, part[j:i])
+
+    def _step_unigram(self, part: str, i: int, base: int, start: list, number: list, score: list) -> None:
+        """Find the best-scored way to place i; of equals the longest piece."""
+        known, scores = self.known, self.scores
+        found, best = i - 1, score[i - 1 - base] + scores.get(part[i - 1], self.unknown_score)
+        info, j = known.get(part[i - 1]), i - 2
+        while j >= max(base, i - self.longest) and info is not None and info & 1:
+            p = part[j:i]
+            info = known.get(p)
+            if info is not None and info >= 0 and (total := score[j - base] + scores[p]) >= best:
+                found, best = j, total
+            j -= 1
+        start.append(found)
+        number.append(UNKNOWN)
+        score.append(best)
 
     @staticmethod
-    def _path(last: list[str], base: int, end: int) -> list[str]:
+    def _path(part: str, start: list[int], base: int, end: int) -> list[str]:
         out = []
         while end > base:
-            out.append(last[end - base])
-            end -= len(out[-1])
+            out.append(part[start[end - base] : end])
+            end = start[end - base]
         return out[::-1]
 
     def encode(self, group: list[str]) -> list[bytes]:
         """Ids of some texts, each as little-endian 32-bit numbers."""
-        parted = [self.cut.findall(self.normalize(t)) for t in group]
-        needed = set().union(*parted)
-        if len(self.memo) + len(needed) > MEMO_PARTS:
-            self.memo, self.older = {}, self.memo
-        memo, older = self.memo, self.older
-        for p in needed.difference(memo):
-            memo[p] = older[p] if p in older else array("I", self._ids(self.trellis(p))).tobytes()
-        out = [b"".join(map(memo.__getitem__, parts)) for parts in parted]
-        for p in needed:
-            if len(p) > MEMO_CHARS:
-                del memo[p]
-        return out
+        ids = self.memo.__getitem__
+        return [b"".join(map(ids, self.cut.findall(self.normalize(t)))) for t in group]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.text_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -249,8 +291,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         m = model(model_path)
         for batch in batches:
-            column = batch.column("text")
-            for a, b in by_bytes(column, GROUP_BYTES):
+            for a, b in by_bytes(batch.column("text"), GROUP_BYTES):
                 part = batch.slice(a, b - a)
                 ids = m.encode(part.column("text").to_pylist())
                 out = {c: part.column(c) for c in ("doc_id", *keep)}
