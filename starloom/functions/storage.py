@@ -61,6 +61,14 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def append(df: DataFrame, path: str) -> DataFrame:
+    """Append rows to a stored table by column names and read it back. The rows
+    may have columns that the table lacks (its older rows read NULL) and lack
+    some that it has (they read NULL)."""
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.option("mergeSchema", "true").parquet(path)
+
+
 def remove(spark, path: str) -> None:
     """Delete a staging table of this library (a folder below the checkpoint
     folder) once nothing reads it any more."""

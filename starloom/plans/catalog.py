@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.storage import materialize, write_table
+from starloom.functions.storage import append, materialize, write_table
 from starloom.operators import cdc_apply, dims, fact, quality, scd2
 from starloom.plans import reports as R
 from starloom.plans import views
@@ -106,6 +106,22 @@ def q_fact_order_item(spark, sf):
     return out(_w(spark, sf).fact_order_item)
 
 
+# --------------------------------------------------------------- storage
+def q_table_append(spark, sf):
+    """Products in two appends: the second one brings a new column."""
+    w = _w(spark, sf)
+    path = cdc.scratch_dir(spark, "products")
+    odd = c("product_photos_qty") % 2 == 1
+    append(w.dim_product.filter(odd).drop("product_name_english"), path)
+    return append(w.dim_product.filter(~F.coalesce(odd, F.lit(False))), path).select(*w.dim_product.columns)
+
+
+def q_table_copy(spark, sf):
+    """A copy of a stored table, by way of a temporary view and SQL."""
+    _w(spark, sf).dim_seller.createOrReplaceTempView("seller_copy_source")
+    return write_table(spark.sql("SELECT * FROM seller_copy_source"), cdc.scratch_dir(spark, "seller-copy"))
+
+
 # ------------------------------------------------------------------ SCD2
 def q_scd2_snapshot(spark, sf):
     return _w(spark, sf).snapshot
@@ -416,6 +432,8 @@ QUERIES: dict[str, Query] = {
     "surrogate_keys": q_surrogate_keys,
     "primary_payment": q_primary_payment,
     "fact_order_item": q_fact_order_item,
+    "table_append": q_table_append,
+    "table_copy": q_table_copy,
     "scd2_snapshot": q_scd2_snapshot,
     "scd2_source": q_scd2_source,
     "scd2_apply": q_scd2_apply,

@@ -61,3 +61,13 @@ def test_calendar_goes_on_from_its_first_day(spark):
     first = dims.build_dim_date(make(dt.datetime(2020, 1, 10), dt.datetime(2020, 1, 12)))
     later = dims.build_dim_date(make(dt.datetime(2020, 1, 9), dt.datetime(2020, 1, 13)), first)
     assert sorted((r.date_sk, r.calendar_date.day) for r in later.collect()) == [(0, 9), (1, 10), (2, 11), (3, 12), (4, 13)]
+
+
+def test_appends_by_name(spark, tmp_path):
+    from starloom.functions.storage import append
+
+    path = str(tmp_path / "t")
+    append(spark.createDataFrame([(1, "a")], "k int, x string"), path)
+    append(spark.createDataFrame([("b", 2.5, 2)], "x string, y double, k int"), path)  # a new column, another order
+    out = append(spark.createDataFrame([(3,)], "k int"), path)
+    assert sorted((r.k, r.x, r.y) for r in out.collect()) == [(1, "a", None), (2, "b", 2.5), (3, None, None)]
