@@ -47,6 +47,8 @@ from starloom.llm import anchors
 from starloom.llm.common import by_bytes, map_arrow, materialize
 
 GROUP_BYTES = 8 << 20
+#: Text for each bucket of anchors; its columns take less than that.
+BUCKET_BYTES = 64 << 20
 SAMPLE_TEXTS = 20_000
 HEAVY_SHARE = 2048
 #: Symbols that a kernel gets at once, unless one anchor has more.
@@ -77,16 +79,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
-    head = struct.pack("<B", len(arrays)) + b"".join(struct.pack("<3sQ", a.dtype.str[-2:].encode().ljust(3), len(a)) for a in arrays)
+    """Columns as one compressed block: a short one may hold few rows."""
+    head = struct.pack("<B", len(arrays)) + b"".join(struct.pack("<cI", a.dtype.char.encode(), len(a)) for a in arrays)
     return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(blob)
-    heads = [struct.unpack_from("<3sQ", data, 1 + 11 * i) for i in range(data[0])]
-    at, out = 1 + 11 * data[0], []
+    heads = [struct.unpack_from("<cI", data, 1 + 5 * i) for i in range(data[0])]
+    at, out = 1 + 5 * data[0], []
     for kind, n in heads:
-        dtype = np.dtype("<" + kind.decode().strip())
+        dtype = np.dtype(kind.decode())
         out.append(np.frombuffer(data, dtype, n, at))
         at += n * dtype.itemsize
     return out
@@ -127,9 +130,8 @@ def _union(key: np.ndarray, tie: np.ndarray, start: np.ndarray, length: np.ndarr
     return [key[first], tie[first], start[first], ends[last] - shift[first] - start[first]]
 
 
-def _heavy(docs: DataFrame, unit: Unit, window: int, gram: int) -> np.ndarray:
-    """Sorted hashes of the most frequent anchors of a bounded sample."""
-    n = docs.count()
+def _heavy(docs: DataFrame, n: int, unit: Unit, window: int, gram: int) -> np.ndarray:
+    """Sorted hashes of the most frequent anchors of a bounded sample of n texts."""
 
     def count(batches):
         for batch in batches:
@@ -152,8 +154,10 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
     occurrence of each maximal repeat, the first one too. Equal segments are a
     group of their own, whose first member stands for them in other groups."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy = _heavy(docs, unit, window, gram)
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    # a task holds a bucket's columns, so buckets follow the text, whatever the setting
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    heavy = _heavy(docs, n, unit, window, gram)
 
     def place(s: anchors.Segments, which) -> np.ndarray:
         return s.start[which] << 24 | s.extent[which] << 12 | s.offset[which]

@@ -38,6 +38,8 @@ SHINGLE_WORDS = 3
 RADIUS = 3
 SEED = 42
 BLOCKS = ((0, 21), (21, 42), (42, 64))
+#: Fingerprints for each bucket of variants (131 of 9 bytes each).
+BUCKET_FINGERPRINTS = 50_000
 #: Fingerprints of one variant that are compared pair by pair.
 PAIRWISE = 256
 
@@ -173,7 +175,8 @@ def linked(bits: DataFrame, radius: int = RADIUS) -> DataFrame:
     pairs at ``radius`` bits or fewer would."""
     if not 1 <= radius <= 3:
         raise ValueError("the variants of one flip under a masked block serve a radius of 1 to 3")
-    buckets = int(bits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a task holds a bucket's variants, so buckets follow the fingerprints, whatever the setting
+    buckets = max(int(bits.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-bits.count() // BUCKET_FINGERPRINTS))
 
     def emit(batches):
         for batch in batches:

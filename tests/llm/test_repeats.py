@@ -74,6 +74,14 @@ def test_words_equal_brute_force(docs, seed):
     assert all(hashlib.sha256(b" ".join(r.kept.encode().split())).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_more_buckets_give_the_same(docs, monkeypatch):
+    rows = sample(4)
+    want = sorted(map(str, suffix_array.remove_repeats(docs(rows), window=20, gram=6).collect()))
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 200)
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 500)
+    assert sorted(map(str, suffix_array.remove_repeats(docs(rows), window=20, gram=6).collect())) == want
+
+
 def test_empty_table_and_clashing_columns(spark, docs):
     empty = docs([])
     assert suffix_array.remove_repeats(empty).collect() == [] and suffix_trees.remove_repeats(empty).collect() == []
@@ -176,7 +184,7 @@ def test_segments_do_not_depend_on_blocks(monkeypatch):
 def test_heavy_grams_change_anchors_only(docs, monkeypatch):
     rows = sample(3)
     want = {(r.doc_id, r.kept_sha256) for r in suffix_trees.remove_repeats(docs(rows), window=10, gram=4).collect()}
-    monkeypatch.setattr(repeats, "_heavy", lambda d, unit, window, gram: np.sort(anchors.segments([anchors.word_symbols((t or "").encode()) for _, t in rows], window, gram).anchor)[::3])
+    monkeypatch.setattr(repeats, "_heavy", lambda d, n, unit, window, gram: np.sort(anchors.segments([anchors.word_symbols((t or "").encode()) for _, t in rows], window, gram).anchor)[::3])
     assert {(r.doc_id, r.kept_sha256) for r in suffix_trees.remove_repeats(docs(rows), window=10, gram=4).collect()} == want
 
 
