@@ -33,7 +33,7 @@ BYTES = repeats.Unit(raw=lambda data: np.frombuffer(data, np.uint8), hashes=lamb
 
 def ranks(keys: np.ndarray) -> np.ndarray:
     """Dense ranks from 0."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     out = np.empty(len(keys), np.int64)
     out[order] = np.cumsum(np.append(0, np.diff(keys[order]) != 0))
     return out
@@ -46,19 +46,26 @@ def enhanced_suffix_array(symbols: np.ndarray, firsts: np.ndarray) -> tuple[np.n
     ends = np.append(firsts[1:], n)
     left = np.repeat(ends, ends - firsts) - np.arange(n)  # symbols to the segment's end
     longest = int(left.max(initial=0))
-    levels, step = [], 1
-    # level k: rank of the first 2**k symbols of each suffix, 0 beyond its end
-    rank = ranks(symbols) + 1
-    while True:
+
+    def following(values: np.ndarray, step: int) -> np.ndarray:
+        """What is ``step`` places later in the segment, 0 beyond its end."""
+        out = np.zeros(n, np.int64)
+        out[: n - step] = values[step:]
+        out[left <= step] = 0
+        return out
+
+    # level k: tells the first 2**k symbols of each suffix apart, in their order
+    rank = symbols.astype(np.int64) + 1 if symbols.dtype == np.uint8 else ranks(symbols) + 1
+    levels, step, top = [(1, rank)], 1, int(rank.max(initial=0)) + 1
+    while step < longest:
+        if top > 1 << 31:  # else the numbers can be put together as they are
+            rank = ranks(rank) + 1
+            levels[-1] = (step, rank)
+            top = n + 2
+        rank = rank * top + following(rank, step)
+        step, top = 2 * step, top * top
         levels.append((step, rank))
-        if step >= longest:
-            break
-        second = np.zeros(n, np.int64)
-        second[: n - step] = rank[step:]
-        second[left <= step] = 0
-        rank = ranks(rank * (n + 2) + second) + 1
-        step *= 2
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     common = np.zeros(n, np.int64)
     if n > 1:
         a, b = order[:-1], order[1:]
