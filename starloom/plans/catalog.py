@@ -314,15 +314,32 @@ def q_cdc_payment_upsert(spark, sf):
 
 
 def q_view_sales_after_cdc(spark, sf):
-    """The sales view over what the events made of all its tables; items of
-    deleted orders are gone."""
+    """The sales view refreshed for what the events touched, in all its tables;
+    items of deleted orders are gone."""
     w, pay, customers = _w(spark, sf), dim_payment_cdc(spark, sf), cdc_customer_dim(spark, sf)
-    orders = orders_cdc(spark, sf)
+    orders, products, sellers = orders_cdc(spark, sf), q_cdc_type1_upsert(spark, sf), q_cdc_type1_upsert_seller(spark, sf)
     level = _order_level(w, orders, payments_cdc(spark, sf), customers, pay)
     f = cdc_apply.with_order_keys(fact_cdc(spark, sf).drop("last_event_time"), level)
-    f = f.join(orders.select("order_id"), "order_id", "left_semi")
-    return out(views.sales_view(
-        f, w.dim_date, customers, w.dim_geography, q_cdc_type1_upsert(spark, sf), q_cdc_type1_upsert_seller(spark, sf), pay))
+    f = _once(w, "fact_after", lambda: f.join(orders.select("order_id"), "order_id", "left_semi"))
+
+    def keys(entity):
+        return silver_decoded(spark, sf).filter(c("entity_name") == entity).select("primary_key")
+
+    paired = keys("OrderItem").union(keys("Payment")).select(F.split("primary_key", r"\|")[0].alias("order_id"))
+    touched = paired.union(keys("Order")).distinct()
+
+    def numbers(entity, dims_, key, sk):
+        """Keys of the rows that the entity's events name, before and after."""
+        names = keys(entity).select(c("primary_key").alias(key)).distinct()
+        return dims_[0].select(key, sk).union(dims_[1].select(key, sk)).join(names, key, "left_semi").select(sk).distinct()
+
+    refresh = _once(w, "orders_to_refresh", lambda: views.orders_to_refresh(
+        touched, [w.fact_order_item, f], customers.select("customer_id", "customer_unique_id").union(
+            w.dim_customer.select("customer_id", "customer_unique_id")),
+        keys("Customer").select(c("primary_key").alias("customer_id")).distinct(),
+        numbers("Product", (w.dim_product, products), "product_id", "product_sk"),
+        numbers("Seller", (w.dim_seller, sellers), "seller_id", "seller_sk")))
+    return out(views.refresh_sales_view(w.sales, refresh, f, w.dim_date, customers, w.dim_geography, products, sellers, pay))
 
 
 def _gold(spark, sf):

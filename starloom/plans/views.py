@@ -140,6 +140,38 @@ def sales_view(
     )
 
 
+def orders_to_refresh(
+    touched: DataFrame, facts: list[DataFrame], dim_customer: DataFrame, customers: DataFrame | None = None,
+    products: DataFrame | None = None, sellers: DataFrame | None = None,
+) -> DataFrame:
+    """All orders whose sales rows may change: the touched ones (order_id), those
+    of touched customers (customer_id), with items of touched products (product_sk)
+    or sellers (seller_sk), before or after the change (``facts``), and, as a
+    person's first order day is on each of their rows, all orders of the same
+    persons."""
+    keys = ["order_id", "customer_id", "product_sk", "seller_sk"]
+    rows = facts[0].select(*keys)
+    for f in facts[1:]:
+        rows = rows.unionByName(f.select(*keys))
+    hit = rows.join(touched.select("order_id"), "order_id", "left_semi")
+    for key, changed in (("customer_id", customers), ("product_sk", products), ("seller_sk", sellers)):
+        if changed is not None:
+            hit = hit.unionByName(rows.join(changed.select(key), key, "left_semi").select(*keys))
+    person = dim_customer.select("customer_id", "customer_unique_id").distinct()
+    persons = person.join(hit.select("customer_id").distinct(), "customer_id", "left_semi").select("customer_unique_id").distinct()
+    mates = person.join(persons, "customer_unique_id", "left_semi").select("customer_id").distinct()
+    theirs = rows.join(mates, "customer_id", "left_semi").select("order_id")
+    return touched.select("order_id").unionByName(hit.select("order_id")).unionByName(theirs).distinct()
+
+
+def refresh_sales_view(sales: DataFrame, orders: DataFrame, fact: DataFrame, *dimensions: DataFrame) -> DataFrame:
+    """The sales view after a change of some ``orders`` (closed as by
+    ``orders_to_refresh``): their rows are made anew from the fact and the
+    dimensions (as ``sales_view`` takes them), the others are kept."""
+    new = sales_view(fact.join(orders, "order_id", "left_semi"), *dimensions)
+    return sales.join(orders, "order_id", "left_anti").unionByName(new)
+
+
 def fulfillment_view(
     fact: DataFrame,
     orders: DataFrame,
