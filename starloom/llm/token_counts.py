@@ -3,12 +3,12 @@
 Texts are taken in groups of about ``GROUP_BYTES``, whatever the number of
 rows, and split at safe boundaries: blanks and line feeds. The tokenizer's
 pre-tokenizer drops white space and no token spans it, so the length of a text
-is the sum of the lengths of its parts. Each new part of a group is encoded
-once (``encode_batch`` over batches of about ``BATCH_BYTES``), and a bounded
-memo of part lengths lives in the Python worker. No ids leave the task.
+is the sum of the lengths of its parts. The parts of a group that a bounded memo
+in the Python worker does not have are encoded together, in batches of about
+``BATCH_BYTES``. No ids leave the task.
 
 Only tokenizers that drop white space may be counted by parts; for others
-``token_counts`` takes ``split=None`` and encodes texts whole.
+``token_counts`` takes ``split=False`` and encodes whole texts.
 
 Edge cases: a null or empty text has 0 tokens; null or repeated ids are kept
 row by row; an empty table gives no rows.
@@ -16,6 +16,9 @@ row by row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,45 +30,71 @@ BATCH_BYTES = 256 << 10
 MEMO_PARTS = 400_000
 MEMO_CHARS = 48
 
-_loaded: dict = {}
-
+#: Latin letters with marks (no apostrophe) after them: another safe boundary,
+#: where the pre-tokenizer tells letters from other characters. (In lower case one
+#: letter, U+0130, has a mark of its own, so it is left out.)
+MARKED = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]+)")
 
-def _tokenizer(path: str):
-    """The tokenizer and its memo, once for each Python worker."""
-    if path not in _loaded:
-        from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.no_truncation()
-        t.no_padding()
-        _loaded[path] = t, {}
-    return _loaded[path]
+class Lengths:
+    """Token counts of parts. Of two generations of the memo the older one goes
+    when the younger is full: memory is bounded and frequent parts stay."""
 
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-def _encode_lengths(tokenizer, parts: list[str]) -> list[int]:
-    out: list[int] = []
-    for a, b in by_bytes(pa.array(parts, pa.large_string()), BATCH_BYTES):
-        out.extend(len(e.ids) for e in tokenizer.encode_batch_fast(parts[a:b], add_special_tokens=False))
-    return out
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.memo: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+
+    def whole(self, texts: list[str]) -> list[int]:
+        """Lengths of some texts, encoded in batches of about ``BATCH_BYTES``."""
+        out: list[int] = []
+        for a, b in by_bytes(pa.array(texts, pa.large_string()), BATCH_BYTES):
+            out.extend(len(e.ids) for e in self.tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False))
+        return out
+
+    def of(self, parted: list[list[str]]) -> list[int]:
+        """Lengths of texts given by their parts."""
+        needed = set().union(*parted)
+        if len(self.memo) + len(needed) > MEMO_PARTS:
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        marked, new = {}, set()
+        for p in needed.difference(memo):
+            if p in older:
+                memo[p] = older[p]
+            elif two := MARKED.fullmatch(p):
+                marked[p] = two.groups()
+                new.update(marked[p])
+            else:
+                new.add(p)
+        for p in new & older.keys():
+            memo[p] = older[p]
+        unknown = list(new - memo.keys())
+        memo.update(zip(unknown, self.whole(unknown), strict=True))
+        for p, (letters, marks) in marked.items():
+            memo[p] = memo[letters] + memo[marks]
+        out = [sum(map(memo.__getitem__, parts)) for parts in parted]
+        for p in needed | new:
+            if len(p) > MEMO_CHARS:
+                del memo[p]
+        return out
+
+
+_loaded: dict[str, Lengths] = {}
 
 
 def count_group(path: str, group: list[str], split: bool = True) -> list[int]:
-    """Token counts of some texts."""
-    tokenizer, memo = _tokenizer(path)
+    """Token counts of some texts; the memo lives as long as the Python worker."""
+    if path not in _loaded:
+        _loaded[path] = Lengths(path)
     if not split:
-        return _encode_lengths(tokenizer, group)
-    parted = [t.replace("\n", " ").split(" ") for t in group]
-    new = list(set().union(*parted).difference(memo))
-    if new:
-        if len(memo) + len(new) > MEMO_PARTS:  # a bound on memory; later parts are encoded again
-            memo.clear()
-            new = list(set().union(*parted))
-        memo.update(zip(new, _encode_lengths(tokenizer, new), strict=True))
-    out = [sum(map(memo.__getitem__, parts)) for parts in parted]
-    for part in new:
-        if len(part) > MEMO_CHARS:
-            del memo[part]
-    return out
+        return _loaded[path].whole(group)
+    return _loaded[path].of([t.replace("\n", " ").split(" ") for t in group])
 
 
 def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", split: bool = True) -> DataFrame:
