@@ -94,6 +94,33 @@ def test_run_equals_the_stages(spark, stages):
     assert sorted((r.doc_id, r.ids_crc32) for r in got.collect()) == sorted((r.doc_id, r.ids_crc32) for r in stages[-1][1].collect())
 
 
+def test_stages_take_odd_rows(spark):
+    """Null, empty, very long, repeated and equal-id rows; then no rows at all."""
+    from starloom.llm.cotraining import TARGETS
+
+    long = " ".join(f"w{i % 977} of" for i in range(60_000))
+    rows = [(1, None, None, None, None), (None, "", "en", "s", 0), (None, None, "en", "s", 0), (2, "a few plain words", "en", "s", 17),
+            (2, "a few plain words", "en", "s", 17), (2, "other words for the same id", "de", None, 27), (3, long, "en", "s", len(long)), (4, long + " end", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    by_name = dict(corpus_pipeline.STAGES)
+    assert len(TARGETS) == 2
+    kept = by_name["quality classifier"](spark, docs, SF_SMALL)
+    assert kept.dtypes == docs.dtypes
+    near = by_name["SimHash near-dedup"](spark, docs, SF_SMALL).collect()
+    # the texts without words are one class (id 1), the rows of id 2 with the same text one document, the long ones near copies
+    assert sorted((r.doc_id, r.text) for r in near if r.text) == [(2, "a few plain words"), (2, "other words for the same id"), (3, long)]
+    assert [r.doc_id for r in near if not r.text] == [1]
+    cut = by_name["substring dedup"](spark, docs, SF_SMALL).collect()
+    assert sorted(str(r.doc_id) for r in cut) == ["1", "2", "2", "2", "3", "4", "None", "None"]
+    assert {r.doc_id: r.text for r in cut}[4] == "end" and {r.doc_id: r.n_chars for r in cut}[4] == 3
+    clean = by_name["benchmark decontamination"](spark, docs, SF_SMALL)
+    assert clean.count() == len(rows)
+    pieces = by_name["SentencePiece"](spark, docs, SF_SMALL).collect()
+    assert len(pieces) == len(rows) and all(r.same for r in pieces) and sorted(r.n_tokens for r in pieces)[:3] == [0, 0, 0]
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF_SMALL).collect() == []
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
