@@ -44,6 +44,7 @@ from starloom.llm.common import by_bytes, map_arrow, texts
 
 MARK = "▁"
 GROUP_BYTES = 1 << 20
+LONG_CHARS = 4 << 20
 MEMO_PARTS = 350_000
 MEMO_PAIRS = 600_000
 MEMO_CHARS = 48
@@ -268,7 +269,9 @@ class Model:
     def encode(self, group: list[str]) -> list[bytes]:
         """Ids of some texts, each as little-endian 32-bit numbers."""
         ids = self.memo.__getitem__
-        return [b"".join(map(ids, self.cut.findall(self.normalize(t)))) for t in group]
+        # the parts of a long text are not held all at once
+        parts = lambda t: self.cut.findall(t) if len(t) <= LONG_CHARS else (m[0] for m in self.cut.finditer(t))
+        return [b"".join(map(ids, parts(self.normalize(t)))) for t in group]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.text_of.__getitem__, ids.tolist())).decode("utf-8", "replace")

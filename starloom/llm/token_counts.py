@@ -27,6 +27,7 @@ from starloom.llm.common import by_bytes, map_arrow, texts
 
 GROUP_BYTES = 1 << 20
 BATCH_BYTES = 256 << 10
+LONG_CHARS = 4 << 20
 MEMO_PARTS = 400_000
 MEMO_CHARS = 48
 
@@ -94,7 +95,21 @@ def count_group(path: str, group: list[str], split: bool = True) -> list[int]:
         _loaded[path] = Lengths(path)
     if not split:
         return _loaded[path].whole(group)
-    return _loaded[path].of([t.replace("\n", " ").split(" ") for t in group])
+    count = lambda texts: _loaded[path].of([t.replace("\n", " ").split(" ") for t in texts])
+    if max(map(len, group), default=0) <= LONG_CHARS:
+        return count(group)
+    # a long text's parts are not held all at once
+    return [sum(sum(count([piece])) for piece in pieces(t)) for t in group]
+
+
+def pieces(text: str):
+    """A text in pieces of about ``LONG_CHARS`` that end before a blank."""
+    start = 0
+    while start < len(text):
+        end = text.find(" ", start + LONG_CHARS)
+        end = len(text) if end < 0 else end
+        yield text[start:end]
+        start = end
 
 
 def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", split: bool = True) -> DataFrame:

@@ -42,6 +42,18 @@ def test_counts_survive_a_small_memo(vocabulary, monkeypatch):
     assert token_counts.count_group(path, texts, split=False) == want
 
 
+def test_long_texts_in_pieces(vocabulary, monkeypatch):
+    path = vocabulary("word_bpe_49k.json")
+    text = " ".join(random_texts(300, 4)) + "x" * 50
+    want = token_counts.count_group(path, [text, "a b"])
+    monkeypatch.setattr(token_counts, "LONG_CHARS", 40)
+    assert token_counts.count_group(path, [text, "a b"]) == want == token_counts.count_group(path, [text, "a b"], split=False)
+    model = sentencepiece_stream.Model(vocabulary("piece_bpe_32k.model"))
+    ids = model.encode([text])
+    monkeypatch.setattr(sentencepiece_stream, "LONG_CHARS", 40)
+    assert model.encode([text]) == ids
+
+
 def test_ids_come_back_from_files(docs, vocabulary):
     from tokenizers import Tokenizer
 
