@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import re
 import tempfile
 import uuid
 import zipfile
@@ -19,11 +18,7 @@ from pyspark.sql import functions as F
 from starloom.functions.storage import materialize
 from starloom.session import checkpoint_root
 
-__all__ = ["WORD", "WORD_BYTES", "by_bytes", "carried", "checkpoint_root", "create", "map_arrow", "materialize", "open_shared", "read_table", "shared_folder", "texts", "unpacked"]
-
-#: The word of all contracts: a run of anything but ASCII white space.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
+__all__ = ["by_bytes", "carried", "checkpoint_root", "create", "map_arrow", "materialize", "open_shared", "read_table", "shared_folder", "texts", "unpacked"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
