@@ -99,8 +99,8 @@ class Encoder(dict):
                 feed, letters, marks = simple.groups()
                 if feed:
                     ids = self._marks(feed) + self._letters("", letters)
-                elif not marks or (ids := self.get(letters) or self.older.get(letters)) is None:
-                    ids = self._letters("\u0120", letters)
+                else:
+                    ids = self[letters] if marks else self._letters("\u0120", letters)
                 if marks:
                     ids += self._marks(marks)
             else:
@@ -154,7 +154,7 @@ def from_planes(planes: list[bytes], n: int, kind: str = "byte") -> np.ndarray:
 class Writer:
     """Writes a file of chunks to a stream."""
 
-    def __init__(self, out, kind: str = "byte", block_ids: int = BLOCK_IDS, chunk_ids: int = CHUNK_IDS, level: int = 3):
+    def __init__(self, out, kind: str = "byte", block_ids: int = BLOCK_IDS, chunk_ids: int = CHUNK_IDS, level: int = 1):
         self.out, self.kind, self.block_ids, self.chunk_ids = out, kind, block_ids, chunk_ids
         self.zstd = zstandard.ZstdCompressor(level=level)
         self.place, self.chunks, self.docs, self.parts, self.held, self.n_ids, self.n_docs = len(MAGIC), [], [], [], 0, 0, 0
