@@ -173,6 +173,7 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
                 part = batch.slice(a, b - a)
                 keys, ties = part.column("key").to_numpy(), part.column("tie").to_numpy()
                 order = np.lexsort((ties, keys))  # document numbers follow the ids
+                order = order[_changes(keys[order], ties[order])]  # rows that repeat are one document
                 keys, ties, text = keys[order], ties[order], part.column("text")
                 s = anchors.segments((unit.hashes(unit.raw(text[i].as_py().encode())) for i in order.tolist()), window, gram, heavy)
                 rows = np.lexsort((s.start, s.doc, s.content, s.anchor))

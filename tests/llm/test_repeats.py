@@ -74,6 +74,19 @@ def test_words_equal_brute_force(docs, seed):
     assert all(hashlib.sha256(b" ".join(r.kept.encode().split())).hexdigest() == r.kept_sha256 for r in got)
 
 
+@pytest.mark.parametrize("group_bytes", [8 << 20, 1])
+def test_repeated_rows_keep_their_first_text(docs, monkeypatch, group_bytes):
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)  # all rows in one group, or each in its own
+    rng = random.Random(8)
+    text = lambda: "".join(rng.choice("abcdefgh ") for _ in range(150))
+    twice, nameless = text(), text()
+    rows = [(1, text()), (5, twice), (5, twice), (None, nameless), (None, nameless), (9, "x" + twice + "y"), (10, nameless)]
+    want = brute_bytes(rows, 20)
+    got = suffix_array.remove_repeats(docs(rows).coalesce(1), window=20, gram=6).collect()
+    assert sorted(((r.doc_id is not None, r.doc_id or 0), tuple(r)[1:]) for r in got) == sorted(((i is not None, i or 0), want[(i is not None, i or 0, t)]) for i, t in rows)
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 5: 0, None: 0, 9: 150, 10: 150}
+
+
 def test_more_buckets_give_the_same(docs, monkeypatch):
     rows = sample(4)
     want = sorted(map(str, suffix_array.remove_repeats(docs(rows), window=20, gram=6).collect()))
