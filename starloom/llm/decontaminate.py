@@ -17,9 +17,11 @@ items, searched by block-max WAND with every passage of every document.
   rest) must both overlap with the passage, by shares of their neighbouring
   term pairs (of their terms, if there is one term only).
 
-The index is built and shipped for one shard of items at a time, of at most
-``SHARD_BYTES`` of text, with collection statistics over all items: a larger
-benchmark takes more passes, not more memory. Documents are not shuffled.
+An index is built for one shard of items at a time, of at most ``SHARD_BYTES``
+of text (or one longer item), with collection statistics over all items, and
+written to the shared folder. One map goes over the documents; for each group of
+texts a task reads one shard after the other and holds one at a time: a larger
+benchmark takes more time, not more memory. Documents are not shuffled.
 
 Edge cases: items that are null or without terms match nothing; items that
 repeat are found each by its id; a null text has no passage; rows with null or
@@ -28,7 +30,8 @@ equal ids are rows of their own; an empty benchmark leaves all documents clean.
 
 from __future__ import annotations
 
-import math
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.anchors import word_bounds, word_symbols
-from starloom.llm.common import by_bytes, carried, map_arrow, texts, unpacked
+from starloom.llm.common import by_bytes, carried, create, map_arrow, materialize, open_shared, shared_folder, texts, unpacked
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -50,6 +53,8 @@ BLOCK_ITEMS = 4
 TABLE_CELLS = 16 << 20
 SHARD_BYTES = 512 << 10
 GROUP_BYTES = 4 << 20
+#: So many times larger groups, at most, where a group reads several shards.
+LARGER_GROUPS = 4
 
 #: Bytes between terms: ASCII but letters and digits.
 BETWEEN = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
@@ -107,11 +112,21 @@ class Index:
         self.impacts = [np.array([w for _, w in postings[v]]) for v in self.vocabulary.tolist()]
         self.blocks = [np.maximum.reduceat(w, np.arange(0, len(w), BLOCK_POSTINGS)) for w in self.impacts]
         self.greatest = np.array([w.max() for w in self.impacts])
+        self._set_bounds()
+
+    def _set_bounds(self) -> None:
         size = max(BLOCK_ITEMS, -(-len(self.items) * len(self.lists) // TABLE_CELLS))
         self.bounds = np.zeros((len(self.lists), -(-len(self.items) // size)), np.float32)
         for row, numbers, impacts in zip(self.bounds, self.lists, self.impacts, strict=True):
             np.maximum.at(row, numbers // size, impacts)
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "bounds"}  # made again where it is read
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._set_bounds()
+
     def numbers(self, found: np.ndarray) -> np.ndarray:
         """The vocabulary's number of each term, or -1."""
         if not len(self.vocabulary):
@@ -195,7 +210,21 @@ def leaks(index: Index, group: list[np.ndarray], threshold: float = THRESHOLD, q
     return out
 
 
-def _shards(benchmark: DataFrame, id_col: str, text_col: str):
+def _cut(rows: Iterator) -> Iterator[list]:
+    """Lists of (item_id, text) rows of at most SHARD_BYTES, or of one row."""
+    part, size = [], 0
+    for r in rows:
+        n = len(r.text.encode())
+        if part and size + n > SHARD_BYTES:
+            yield part
+            part, size = [], 0
+        part.append(r)
+        size += n
+    if part:
+        yield part
+
+
+def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
     """An index for each shard of items."""
     items = texts(benchmark, id_col, text_col).select(F.col("doc_id").alias("item_id"), "text").filter("item_id is not null")
 
@@ -206,16 +235,15 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str):
             yield pa.RecordBatch.from_pydict({"n_terms": pa.array([len(x) for x in found], pa.int64()), "terms": pa.array([x.to_pylist() for x in lists], pa.list_(pa.int64()))})
 
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_shards = max(1, math.ceil(total / SHARD_BYTES))
     counted = map_arrow(items.select("text"), count, "n_terms long, terms array<long>").filter("n_terms > 0")
     n_items, mean_terms = counted.agg(F.count(F.lit(1)), F.avg("n_terms")).first()
     frequency = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    for shard in range(n_shards):
-        # a shard is one n_shards-th of the items by a hash of the id: about SHARD_BYTES
-        own = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_shards)) == shard) if n_shards > 1 else items
-        read = [read_item(r.item_id, r.text) for r in own.collect()]
+    if total > SHARD_BYTES:
+        frequency = materialize(frequency, "benchmark-terms")  # read for each shard
+    for rows in _cut(items.toLocalIterator()):
+        read = [read_item(r.item_id, r.text) for r in rows]
         mine = {int(v) for x in read for v in x.terms}
-        if n_shards > 1:
+        if total > SHARD_BYTES:
             wanted = frequency.sparkSession.createDataFrame([(v - (1 << 64) if v >= 1 << 63 else v,) for v in mine], "term long")
             pairs = frequency.join(wanted, "term").collect()
         else:
@@ -224,6 +252,17 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str):
             yield Index(read, n_items, mean_terms, {r.term % (1 << 64): r.n for r in pairs})
 
 
+def _write(shard: object, folder: str) -> str:
+    with create(folder, "shard") as (uri, out):
+        out.write(pickle.dumps(shard))
+    return uri
+
+
+def _read(uri: str) -> Index:
+    with open_shared(uri) as f:
+        return pickle.loads(f.read())
+
+
 def contamination(
     df: DataFrame,
     benchmark: DataFrame,
@@ -240,21 +279,27 @@ def contamination(
     and the columns ``keep``."""
     rows = texts(df, id_col, text_col, keep)
     more, schema = carried(rows)
-    rows = rows.withColumns({"item_ids": F.expr("cast(array() as array<long>)"), "best_score": F.lit(0.0)})
-    spark = df.sparkSession
-    for index in _shards(benchmark, item_id_col, item_text_col):
-        shipped = spark.sparkContext.broadcast(index)  # at most some times SHARD_BYTES
-
-        def search(batches, shipped=shipped):
-            for batch in batches:
-                column, found = batch.column("text"), []
-                for a, b in by_bytes(column, GROUP_BYTES):
-                    found += leaks(shipped.value, [terms(t.as_py()) for t in column.slice(a, b - a)], threshold, question, answer)
-                ids = [sorted({*old, *new}) for old, new in zip(batch.column("item_ids").to_pylist(), found, strict=True)]
-                best = [max([old, *new.values()]) for old, new in zip(batch.column("best_score").to_pylist(), found, strict=True)]
-                carry = {c: batch.column(c) for c in ("doc_id", "text", *more)}
-                yield pa.RecordBatch.from_pydict(carry | {"item_ids": pa.array(ids, pa.list_(pa.int64())), "best_score": pa.array(best, pa.float64())})
-
-        rows = map_arrow(rows, search, f"doc_id long, text string{schema}, item_ids array<long>, best_score double")
+    folder = shared_folder(df.sparkSession, "benchmark")
+    files = [_write(index, folder) for index in _shards(benchmark, item_id_col, item_text_col)]
+
+    def search(batches):
+        index, held = None, None
+        for batch in batches:
+            column, found = batch.column("text"), []
+            for a, b in by_bytes(column, GROUP_BYTES * min(max(len(files), 1), LARGER_GROUPS)):
+                group = [terms(t.as_py()) for t in column.slice(a, b - a)]
+                best: list[dict[int, float]] = [{} for _ in group]
+                for uri in files:
+                    if uri != held:
+                        index = None  # before the next is read
+                        index, held = _read(uri), uri
+                    for mine, more_found in zip(best, leaks(index, group, threshold, question, answer), strict=True):
+                        for item, score in more_found.items():
+                            mine[item] = max(score, mine.get(item, 0.0))
+                found += best
+            carry = {c: batch.column(c) for c in ("doc_id", "text", *more)}
+            yield pa.RecordBatch.from_pydict(carry | {"item_ids": pa.array([sorted(x) for x in found], pa.list_(pa.int64())), "best_score": pa.array([max(x.values(), default=0.0) for x in found], pa.float64())})
+
+    rows = map_arrow(rows, search, f"doc_id long, text string{schema}, item_ids array<long>, best_score double")
     n = F.size("item_ids").cast("long")
     return unpacked(rows.select("doc_id", "text", *more, n.alias("n_items"), "item_ids", "best_score", (n > 0).alias("contaminated")))

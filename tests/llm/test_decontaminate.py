@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import Row
 
 from fixtures import docs  # noqa: F401
 from starloom.llm import decontaminate as D
@@ -83,3 +84,20 @@ def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in D.contamination(docs([(1, "a")]), none).collect()] == [False]
     assert D.contamination(docs([]), spark.createDataFrame(items(3), "item_id long, text string")).collect() == []
+
+
+def test_shards_are_searched_in_one_map(spark, docs, monkeypatch):
+    monkeypatch.setattr(D, "SHARD_BYTES", 1500)
+    rows, bench, truth = corpus()
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    shards = list(D._shards(table, "item_id", "text"))
+    assert len(shards) > 3
+    got = D.contamination(docs(rows), table)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: set(r.item_ids) for r in got.collect() if r.contaminated} == truth
+
+
+def test_shards_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(D, "SHARD_BYTES", 100)
+    rows = [Row(item_id=i, text="x" * n) for i, n in enumerate((40, 60, 1, 300, 50, 51, 49))]
+    assert [[r.item_id for r in part] for part in D._cut(iter(rows))] == [[0, 1], [2], [3], [4], [5, 6]]
