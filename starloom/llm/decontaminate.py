@@ -4,18 +4,22 @@ items, searched by block-max WAND with every passage of every document.
 * Terms are runs of letters and digits, A-Z in lower case; an item's score for
   a passage is its BM25 score for the passage's distinct terms, divided by the
   item's score for itself, so 1 means that all its terms are there.
-* Passages are windows of 2 n terms at every n terms, n the longest item's
-  terms (at least ``MIN_STRIDE``), so each occurrence of an item lies whole in
-  some passage. A text without terms has no passage.
+* Items are in length classes, by powers of two of their terms from
+  ``MIN_STRIDE`` on. Passages are windows of 2 n terms at every n terms, n the
+  class's greatest length, so each occurrence of an item lies whole in some
+  passage. A text without terms has no passage.
 * Items are in blocks of ``BLOCK_ITEMS``. A passage whose terms' greatest impacts
   in a block add up to less than the threshold for every block reaches no item;
   one table row for each term gives these sums. The others run WAND: cursors over postings in item order, the pivot from the
   terms' greatest impacts, then the bounds of the blocks that hold the pivot,
   and only then full scores. All items at or above the threshold are returned.
-* An item found is verified: its question (all but the last quarter of its
-  terms, or what stands before its last question mark) and its answer (the
-  rest) must both overlap with the passage, by shares of their neighbouring
-  term pairs (of their terms, if there is one term only).
+* An item found is verified in spans of the passage, of 2 m terms at every m
+  terms, m the item's own length (at least ``MIN_SPAN``): in one span the score
+  must reach the threshold again, and its question (all but the last quarter of
+  its terms, or what stands before its last question mark) and its answer (the
+  rest) must both overlap with the span, by shares of their neighbouring
+  term pairs (of their terms, if there is one term only). What is found of an
+  item does not depend on the other items' lengths or on shards.
 
 An index is built for one shard of items at a time, of at most ``SHARD_BYTES``
 of text (or one longer item), with collection statistics over all items, and
@@ -47,6 +51,7 @@ THRESHOLD = 0.6
 QUESTION_SHARE = 0.6
 ANSWER_SHARE = 0.5
 MIN_STRIDE = 64
+MIN_SPAN = 16
 BLOCK_POSTINGS = 16
 #: Items in a block of the first bound, and bound on the cells of its table.
 BLOCK_ITEMS = 4
@@ -94,18 +99,25 @@ def overlap(part: np.ndarray, passage: np.ndarray) -> float:
     return float(np.isin(mine, other).mean()) if len(mine) else 1.0
 
 
+def length_class(n: int) -> int:
+    """The least power of two that is n or more, from MIN_STRIDE on."""
+    return max(MIN_STRIDE, 1 << max(n - 1, 0).bit_length())
+
+
 class Index:
     """Inverted index of some items; impacts are shares of the item's own score."""
 
     def __init__(self, items: list[Item], n_items: int, mean_terms: float, frequency: dict[int, int]):
         self.items = [x for x in items if len(x.terms)]
-        self.longest = max((len(x.terms) for x in self.items), default=0)
+        self.stride = length_class(max((len(x.terms) for x in self.items), default=0))
+        self.shares: list[tuple[np.ndarray, np.ndarray]] = []  # each item's terms and their impacts
         postings: dict[int, list[tuple[int, float]]] = {}
         for number, item in enumerate(self.items):
             values, counts = np.unique(item.terms, return_counts=True)
             n = np.array([frequency[int(v)] for v in values], float)
             weight = np.log1p((n_items - n + 0.5) / (n + 0.5)) * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(item.terms) / mean_terms))
-            for v, w in zip(values.tolist(), (weight / weight.sum()).tolist(), strict=True):
+            self.shares.append((values, weight / weight.sum()))
+            for v, w in zip(values.tolist(), self.shares[-1][1].tolist(), strict=True):
                 postings.setdefault(v, []).append((number, w))
         self.vocabulary = np.array(sorted(postings), np.uint64)
         self.lists = [np.array([n for n, _ in postings[v]]) for v in self.vocabulary.tolist()]
@@ -187,10 +199,23 @@ class Index:
                         move(c, item)
 
 
+def verified(index: Index, number: int, passage: np.ndarray, threshold: float, question: float, answer: float) -> float:
+    """The item's best score of a span of the passage that has its question and
+    its answer, or 0."""
+    item, (values, shares) = index.items[number], index.shares[number]
+    own, best = max(MIN_SPAN, len(item.terms)), 0.0
+    for a in range(0, max(1, len(passage) - own), own):
+        span = passage[a : a + 2 * own]
+        score = float(shares[np.isin(values, span)].sum())
+        if score > best and score >= threshold - 1e-9 and overlap(item.terms[: item.answer_at], span) >= question and overlap(item.terms[item.answer_at :], span) >= answer:
+            best = score
+    return best
+
+
 def leaks(index: Index, group: list[np.ndarray], threshold: float = THRESHOLD, question: float = QUESTION_SHARE, answer: float = ANSWER_SHARE) -> list[dict[int, float]]:
     """For each text (its terms), the verified items and their best scores."""
     out: list[dict[int, float]] = [{} for _ in group]
-    stride = max(MIN_STRIDE, index.longest)
+    stride = index.stride
     for text, found in enumerate(group):
         numbers = index.numbers(found)
         weights = np.where(numbers >= 0, index.greatest[numbers], 0.0) if len(index.greatest) else np.zeros(len(found))
@@ -202,11 +227,11 @@ def leaks(index: Index, group: list[np.ndarray], threshold: float = THRESHOLD, q
             query = np.unique(numbers[a:b][numbers[a:b] >= 0])
             if index.bounds[query].sum(axis=0).max() < threshold - 1e-4:
                 continue
-            for number, score in index.search(query, threshold):
-                item = index.items[number]
-                passage = found[a:b]
-                if overlap(item.terms[: item.answer_at], passage) >= question and overlap(item.terms[item.answer_at :], passage) >= answer:
-                    out[text][item.item_id] = max(score, out[text].get(item.item_id, 0.0))
+            for number, _ in index.search(query, threshold):
+                score = verified(index, number, found[a:b], threshold, question, answer)
+                if score:
+                    item = index.items[number].item_id
+                    out[text][item] = max(score, out[text].get(item, 0.0))
     return out
 
 
@@ -224,8 +249,8 @@ def _cut(rows: Iterator) -> Iterator[list]:
         yield part
 
 
-def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
-    """An index for each shard of items."""
+def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[Index]]:
+    """For each shard of items, an index for each of their length classes."""
     items = texts(benchmark, id_col, text_col).select(F.col("doc_id").alias("item_id"), "text").filter("item_id is not null")
 
     def count(batches):
@@ -249,16 +274,21 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]
         else:
             pairs = frequency.collect()
         if mine:
-            yield Index(read, n_items, mean_terms, {r.term % (1 << 64): r.n for r in pairs})
+            counts = {r.term % (1 << 64): r.n for r in pairs}
+            classes: dict[int, list[Item]] = {}
+            for x in read:
+                if len(x.terms):
+                    classes.setdefault(length_class(len(x.terms)), []).append(x)
+            yield [Index(classes[n], n_items, mean_terms, counts) for n in sorted(classes)]
 
 
-def _write(shard: object, folder: str) -> str:
+def _write(shard: list[Index], folder: str) -> str:
     with create(folder, "shard") as (uri, out):
         out.write(pickle.dumps(shard))
     return uri
 
 
-def _read(uri: str) -> Index:
+def _read(uri: str) -> list[Index]:
     with open_shared(uri) as f:
         return pickle.loads(f.read())
 
@@ -280,10 +310,10 @@ def contamination(
     rows = texts(df, id_col, text_col, keep)
     more, schema = carried(rows)
     folder = shared_folder(df.sparkSession, "benchmark")
-    files = [_write(index, folder) for index in _shards(benchmark, item_id_col, item_text_col)]
+    files = [_write(shard, folder) for shard in _shards(benchmark, item_id_col, item_text_col)]
 
     def search(batches):
-        index, held = None, None
+        shard, held = [], None
         for batch in batches:
             column, found = batch.column("text"), []
             for a, b in by_bytes(column, GROUP_BYTES * min(max(len(files), 1), LARGER_GROUPS)):
@@ -291,11 +321,12 @@ def contamination(
                 best: list[dict[int, float]] = [{} for _ in group]
                 for uri in files:
                     if uri != held:
-                        index = None  # before the next is read
-                        index, held = _read(uri), uri
-                    for mine, more_found in zip(best, leaks(index, group, threshold, question, answer), strict=True):
-                        for item, score in more_found.items():
-                            mine[item] = max(score, mine.get(item, 0.0))
+                        shard = index = None  # before the next is read
+                        shard, held = _read(uri), uri
+                    for index in shard:
+                        for mine, more_found in zip(best, leaks(index, group, threshold, question, answer), strict=True):
+                            for item, score in more_found.items():
+                                mine[item] = max(score, mine.get(item, 0.0))
                 found += best
             carry = {c: batch.column(c) for c in ("doc_id", "text", *more)}
             yield pa.RecordBatch.from_pydict(carry | {"item_ids": pa.array([sorted(x) for x in found], pa.list_(pa.int64())), "best_score": pa.array([max(x.values(), default=0.0) for x in found], pa.float64())})

@@ -101,3 +101,21 @@ def test_shards_are_cut_by_bytes(monkeypatch):
     monkeypatch.setattr(D, "SHARD_BYTES", 100)
     rows = [Row(item_id=i, text="x" * n) for i, n in enumerate((40, 60, 1, 300, 50, 51, 49))]
     assert [[r.item_id for r in part] for part in D._cut(iter(rows))] == [[0, 1], [2], [3], [4], [5, 6]]
+
+
+def test_a_long_item_does_not_widen_the_others(spark, docs, monkeypatch):
+    rng = random.Random(4)
+    filler = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+    long = " ".join(f"l{rng.randrange(2000)}" for _ in range(3000))
+    bench = [(1, "alpha beta gamma delta? omega"), (2, long), (3, " ".join(f"m{i}" for i in range(90)) + "? yes"), *items(20, 6)]
+    pieces = ["alpha beta", "beta gamma", "gamma delta", "omega"]
+    scattered = {10: 200, 11: 28}  # the item's pairs, so many terms apart
+    rows = [(i, " ".join(f"{p} {filler(n)}" for p in pieces)) for i, n in scattered.items()]
+    rows += [(12, filler(70) + " Alpha, beta gamma delta? Answer: omega " + filler(300)), (13, filler(500) + " " + long + " " + filler(40)), (14, filler(63) + " " + bench[2][1])]
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    want = {10: set(), 11: set(), 12: {1}, 13: {2}, 14: {3}}
+    got = D.contamination(docs(rows), table).collect()
+    assert {r.doc_id: set(r.item_ids) for r in got} == want
+    monkeypatch.setattr(D, "SHARD_BYTES", 900)
+    again = D.contamination(docs(rows), table).collect()
+    assert sorted((r.doc_id, r.item_ids, r.best_score) for r in again) == sorted((r.doc_id, r.item_ids, r.best_score) for r in got)
