@@ -28,7 +28,8 @@ texts a task reads one shard after the other and holds one at a time: a larger
 benchmark takes more time, not more memory. Documents are not shuffled.
 
 Edge cases: items that are null or without terms match nothing; items that
-repeat are found each by its id; a null text has no passage; rows with null or
+repeat are found each by its id; items with a null id count in ``n_items``, each
+row on its own, and ``item_ids`` lacks them; a null text has no passage; rows with null or
 equal ids are rows of their own; an empty benchmark leaves all documents clean.
 """
 
@@ -72,19 +73,19 @@ def terms(text: str) -> np.ndarray:
 
 @dataclass
 class Item:
-    item_id: int
+    key: int | tuple[int]  # the id; of an item without one, (its number,)
     terms: np.ndarray
     answer_at: int  # number of terms in the question
 
 
-def read_item(item_id: int, text: str) -> Item:
+def read_item(item_id: int | None, text: str, number: int = 0) -> Item:
     data = text.encode()
     found = terms(text)
     mark = data.rfind(b"?")
     at = int((word_bounds(data, BETWEEN)[0] < mark).sum()) if mark >= 0 else 0
     if not 0 < at < len(found):
         at = len(found) - max(1, len(found) // 4)
-    return Item(item_id, found, at)
+    return Item((number,) if item_id is None else item_id, found, at)
 
 
 def _pairs(x: np.ndarray) -> np.ndarray:
@@ -212,9 +213,9 @@ def verified(index: Index, number: int, passage: np.ndarray, threshold: float, q
     return best
 
 
-def leaks(index: Index, group: list[np.ndarray], threshold: float = THRESHOLD, question: float = QUESTION_SHARE, answer: float = ANSWER_SHARE) -> list[dict[int, float]]:
-    """For each text (its terms), the verified items and their best scores."""
-    out: list[dict[int, float]] = [{} for _ in group]
+def leaks(index: Index, group: list[np.ndarray], threshold: float = THRESHOLD, question: float = QUESTION_SHARE, answer: float = ANSWER_SHARE) -> list[dict[int | tuple[int], float]]:
+    """For each text (its terms), the verified items' keys and best scores."""
+    out: list[dict[int | tuple[int], float]] = [{} for _ in group]
     stride = index.stride
     for text, found in enumerate(group):
         numbers = index.numbers(found)
@@ -230,8 +231,8 @@ def leaks(index: Index, group: list[np.ndarray], threshold: float = THRESHOLD, q
             for number, _ in index.search(query, threshold):
                 score = verified(index, number, found[a:b], threshold, question, answer)
                 if score:
-                    item = index.items[number].item_id
-                    out[text][item] = max(score, out[text].get(item, 0.0))
+                    key = index.items[number].key
+                    out[text][key] = max(score, out[text].get(key, 0.0))
     return out
 
 
@@ -251,7 +252,7 @@ def _cut(rows: Iterator) -> Iterator[list]:
 
 def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[Index]]:
     """For each shard of items, an index for each of their length classes."""
-    items = texts(benchmark, id_col, text_col).select(F.col("doc_id").alias("item_id"), "text").filter("item_id is not null")
+    items = texts(benchmark, id_col, text_col).select(F.col("doc_id").alias("item_id"), "text")
 
     def count(batches):
         for batch in batches:
@@ -265,8 +266,10 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[I
     frequency = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     if total > SHARD_BYTES:
         frequency = materialize(frequency, "benchmark-terms")  # read for each shard
+    before = 0
     for rows in _cut(items.toLocalIterator()):
-        read = [read_item(r.item_id, r.text) for r in rows]
+        read = [read_item(r.item_id, r.text, before + i) for i, r in enumerate(rows)]
+        before += len(rows)
         mine = {int(v) for x in read for v in x.terms}
         if total > SHARD_BYTES:
             wanted = frequency.sparkSession.createDataFrame([(v - (1 << 64) if v >= 1 << 63 else v,) for v in mine], "term long")
@@ -318,19 +321,19 @@ def contamination(
             column, found = batch.column("text"), []
             for a, b in by_bytes(column, GROUP_BYTES * min(max(len(files), 1), LARGER_GROUPS)):
                 group = [terms(t.as_py()) for t in column.slice(a, b - a)]
-                best: list[dict[int, float]] = [{} for _ in group]
+                best: list[dict[int | tuple[int], float]] = [{} for _ in group]
                 for uri in files:
                     if uri != held:
                         shard = index = None  # before the next is read
                         shard, held = _read(uri), uri
                     for index in shard:
                         for mine, more_found in zip(best, leaks(index, group, threshold, question, answer), strict=True):
-                            for item, score in more_found.items():
-                                mine[item] = max(score, mine.get(item, 0.0))
+                            for key, score in more_found.items():
+                                mine[key] = max(score, mine.get(key, 0.0))
                 found += best
             carry = {c: batch.column(c) for c in ("doc_id", "text", *more)}
-            yield pa.RecordBatch.from_pydict(carry | {"item_ids": pa.array([sorted(x) for x in found], pa.list_(pa.int64())), "best_score": pa.array([max(x.values(), default=0.0) for x in found], pa.float64())})
+            ids = [sorted(k for k in x if not isinstance(k, tuple)) for x in found]
+            yield pa.RecordBatch.from_pydict(carry | {"n_items": pa.array([len(x) for x in found], pa.int64()), "item_ids": pa.array(ids, pa.list_(pa.int64())), "best_score": pa.array([max(x.values(), default=0.0) for x in found], pa.float64())})
 
-    rows = map_arrow(rows, search, f"doc_id long, text string{schema}, item_ids array<long>, best_score double")
-    n = F.size("item_ids").cast("long")
-    return unpacked(rows.select("doc_id", "text", *more, n.alias("n_items"), "item_ids", "best_score", (n > 0).alias("contaminated")))
+    rows = map_arrow(rows, search, f"doc_id long, text string{schema}, n_items long, item_ids array<long>, best_score double")
+    return unpacked(rows.select("doc_id", "text", *more, "n_items", "item_ids", "best_score", (F.col("n_items") > 0).alias("contaminated")))

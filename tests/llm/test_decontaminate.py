@@ -119,3 +119,13 @@ def test_a_long_item_does_not_widen_the_others(spark, docs, monkeypatch):
     monkeypatch.setattr(D, "SHARD_BYTES", 900)
     again = D.contamination(docs(rows), table).collect()
     assert sorted((r.doc_id, r.item_ids, r.best_score) for r in again) == sorted((r.doc_id, r.item_ids, r.best_score) for r in got)
+
+
+def test_items_without_id_contaminate(spark, docs, monkeypatch):
+    nameless = [(None, "where do the lost items go? nowhere"), (None, "who has no name here? nobody"), (7, "who has no name here? nobody")]
+    table = spark.createDataFrame(items(20, 6) + nameless, "item_id long, text string")
+    rows = [(1, "so: " + nameless[0][1]), (2, nameless[0][1] + " " + nameless[1][1]), (3, "clean")]
+    for size in (D.SHARD_BYTES, 40):
+        monkeypatch.setattr(D, "SHARD_BYTES", size)
+        got = {r.doc_id: (r.n_items, r.item_ids, r.contaminated) for r in D.contamination(docs(rows), table).collect()}
+        assert got == {1: (1, [], True), 2: (3, [7], True), 3: (0, [], False)}
