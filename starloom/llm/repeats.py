@@ -24,6 +24,10 @@ anchors (so at most ``HEAVY_SHARE`` of them, the proven bound on what tasks
 get). They are anchors only of windows that have no other gram, which are
 those inside frequent passages, whose segments are equal and so collapse before
 the shuffle. The sample changes which task does the work, never the result.
+An anchor with more than ``ANCHOR_SYMBOLS`` symbols of different segments is
+split by other grams of its windows before the kernel, so that a kernel's memory
+does not grow with the corpus (not with ``all_occurrences``); the anchor's
+segments themselves still meet in one task.
 
 Rows: documents are known by (id, 32-bit hash of the text), so rows that share
 an id but not the text are documents of their own, and rows that share both
@@ -53,6 +57,8 @@ SAMPLE_TEXTS = 20_000
 HEAVY_SHARE = 2048
 #: Symbols that a kernel gets at once, unless one anchor has more.
 KERNEL_SYMBOLS = 250_000
+#: Symbols of one anchor from which on it is split by other grams.
+ANCHOR_SYMBOLS = 2_000_000
 #: Id of rows without one: below all others.
 NO_ID = -(2**63)
 NAMES = ["key", "tie", "start", "length"]
@@ -145,6 +151,19 @@ def _heavy(docs: DataFrame, n: int, unit: Unit, window: int, gram: int) -> np.nd
     return np.sort(np.array([r.anchor for r in counts.filter(F.col("n") >= least).collect()], np.int64).view(np.uint64))
 
 
+def _split(hashes: list[np.ndarray], window: int, gram: int, heavy: np.ndarray, most: int) -> anchors.Segments:
+    """The segments of one anchor's segments by other grams than ``heavy``, and
+    than those that would again have more than ``most`` symbols. Equal windows still have
+    equal anchors."""
+    while True:
+        s = anchors.segments(iter(hashes), window, gram, heavy)
+        values, number = np.unique(s.anchor, return_inverse=True)
+        more = np.setdiff1d(values[np.bincount(number, weights=s.extent + window) > most], heavy)
+        if not len(more):
+            return s
+        heavy = np.union1d(heavy, more)
+
+
 def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int, later_in_document: bool = True, all_occurrences: bool = False) -> DataFrame:
     """(key, tie, start, length) in symbols: spans of strings that also start
     earlier: in a smaller document or, with ``later_in_document``, also before
@@ -244,6 +263,7 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
         if not parts:
             return
         anchor, key, tie, start, size = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        anchor = anchor.view(np.uint64)
         symbols = np.concatenate([p[5] for p in parts])
         del parts
         firsts = np.cumsum(size) - size
@@ -253,30 +273,58 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
         total, begin = 0, 0
         found: list[tuple] = []
         sums = np.cumsum(size[order])
+
+        def judged(rows, firsts, size, key, tie, start):
+            """Occurrences that the kernel finds in these segments, by group."""
+            local = np.cumsum(size[rows]) - size[rows]
+            within = np.arange(int(size[rows].sum())) - np.repeat(local, size[rows])
+            group, at, length = kernel(symbols[np.repeat(firsts[rows], size[rows]) + within], local, window)
+            segment = np.searchsorted(local, at, "right") - 1
+            k, t, s = key[rows][segment], tie[rows][segment], start[rows][segment] + at - local[segment]
+            o = np.lexsort((s, t, k, group))  # the earliest occurrence of a group first
+            return group[o], k[o], t[o], s[o], length[o]
+
+        def later(group, k, t, s, length):
+            new = _changes(group)
+            which = ~new if later_in_document else k != k[_first_of(new)]
+            found.append((k[which], t[which], s[which], length[which]))
+
+        def split(rows):
+            """One anchor's segments, by other grams."""
+            own = np.union1d(heavy, anchor[rows[:1]])
+            s = _split([unit.hashes(symbols[firsts[r] : firsts[r] + size[r]]) for r in rows.tolist()], window, gram, own, ANCHOR_SYMBOLS)
+            k, t, at = key[rows][s.doc], tie[rows][s.doc], start[rows][s.doc] + s.start
+            o = np.lexsort((at, t, k, s.content, s.anchor))
+            name = np.cumsum(_changes(s.anchor[o], s.content[o]))
+            later(name, k[o], t[o], at[o], s.extent[o] + window)  # equal ones are repeats as a whole
+            new = _changes(name)
+            o = o[new if later_in_document else k[o] == k[o][_first_of(new)]]
+            n = s.extent + window
+            block = np.cumsum(n[o]) // KERNEL_SYMBOLS
+            block = block[_first_of(_changes(s.anchor[o]))]  # whole anchors
+            for part in np.split(o, np.flatnonzero(_changes(block))[1:]):
+                later(*judged(part, firsts[rows][s.doc] + s.start, n, k, t, at))
+
         for i, end in enumerate(group_ends):
             following = group_ends[i + 1] if i + 1 < len(group_ends) else None
             if following is not None and sums[following - 1] - total <= KERNEL_SYMBOLS:
                 continue
             rows = order[begin:end]
+            one = sums[end - 1] - total > ANCHOR_SYMBOLS and anchor[rows[0]] == anchor[rows[-1]]
             begin, total = end, sums[end - 1]
-            local = np.cumsum(size[rows]) - size[rows]
-            within = np.arange(int(size[rows].sum())) - np.repeat(local, size[rows])
-            group, at, length = kernel(symbols[np.repeat(firsts[rows], size[rows]) + within], local, window)
+            if one and not all_occurrences:
+                split(rows)
+                continue
+            group, k, t, s, length = judged(rows, firsts, size, key, tie, start)
             if not len(group):
                 continue
-            # rows are in order of (anchor, key, tie, start); the earliest occurrence of a group:
-            segment = np.searchsorted(local, at, "right") - 1
-            k, t, s = key[rows][segment], tie[rows][segment], start[rows][segment] + at - local[segment]
-            o = np.lexsort((s, t, k, group))
-            group, k, t, s, length = group[o], k[o], t[o], s[o], length[o]
-            new = _changes(group)
             if all_occurrences:
+                new = _changes(group)
                 first = np.flatnonzero(new)
                 name = anchors.mix(k[first].view(np.uint64) ^ anchors.mix(t[first].astype(np.uint64) << np.uint64(40) ^ s[first].astype(np.uint64)) + length[first].astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name.view(np.int64)[np.cumsum(new) - 1], k, t.astype(np.int32), s, length)], ["group", *NAMES])
             else:
-                later = ~new if later_in_document else k != k[_first_of(new)]
-                found.append((k[later], t[later], s[later], length[later]))
+                later(group, k, t, s, length)
         if found:
             k, t, s, length = _union(*(np.concatenate(x) for x in zip(*found, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(t.astype(np.int32)), pa.array(s), pa.array(length)], NAMES)

@@ -212,3 +212,37 @@ def test_words_are_the_contracts(data):
     starts, ends = anchors.word_bounds(data)
     assert [data[a:b] for a, b in zip(starts, ends, strict=True)] == data.split()
     assert len(anchors.word_symbols(data)) == len(starts)
+
+
+def test_an_anchor_of_many_segments_is_split(docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(repeats, "_heavy", lambda *_: np.empty(0, np.uint64))
+    monkeypatch.setattr(repeats, "KERNEL_SYMBOLS", 200)
+    monkeypatch.setattr(repeats, "ANCHOR_SYMBOLS", 400, raising=False)
+
+    def kernel(symbols, firsts, window):
+        (tmp_path / f"{len(symbols)}-{id(symbols)}").touch()
+        return suffix_array.maximal_repeats(symbols, firsts, window)
+
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    copies = [text(9) + "the phrase" + text(9) for _ in range(6)]
+    bodies = [text(25) + "the phrase" + text(25) for _ in range(60)] + [text(9) + rng.choice(copies) + text(9) for _ in range(40)]
+    rows = list(enumerate(bodies))
+    keyed = repeats.keyed(docs(rows).select("doc_id", "text"))
+    found = repeats.repeats(keyed, suffix_array.BYTES, kernel, 20, 6).collect()
+    gone = {i: np.zeros(len(t), bool) for i, t in rows}
+    for r in found:
+        gone[r.key][r.start : r.start + r.length] = True
+    want = brute_bytes(rows, 20)
+    assert {i: int(g.sum()) for i, g in gone.items()} == {i: want[(True, i, t)][1] for i, t in rows}
+    assert max(int(p.name.split("-")[0]) for p in tmp_path.iterdir()) <= 800
+
+
+def test_split_anchors_give_the_same_words(docs, monkeypatch):
+    monkeypatch.setattr(repeats, "KERNEL_SYMBOLS", 20)
+    monkeypatch.setattr(repeats, "ANCHOR_SYMBOLS", 30)
+    rows = sample(5)
+    want = brute_words(rows, 10)
+    got = suffix_trees.remove_repeats(docs(rows), window=10, gram=4).collect()
+    left = sorted(((r.doc_id is not None, r.doc_id or 0), tuple(r)[1:4]) for r in got)
+    assert left == sorted(((i is not None, i or 0), want[(i is not None, i or 0, t or "")]) for i, t in rows)
