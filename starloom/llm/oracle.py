@@ -76,4 +76,34 @@ WARC = """
     FROM p LEFT JOIN k USING (digest)
 """
 
-ORACLE = {"op5_quality_rules": QUALITY_RULES, "op6_substring_dedup": SUBSTRING_DEDUP, "op10_warc": WARC}
+MIXING = rf"""
+    WITH d AS (
+      SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
+             CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+      FROM documents
+    ), s AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source
+    ), w AS (
+      SELECT *, 2 * source_size AS cap, [5, 2, 1][(place - 1) % 3 + 1] AS weight, 1.5::DOUBLE * sum(source_size) OVER () AS budget FROM s
+    ), filling AS (  -- sources in the order in which they come to their caps
+      SELECT *, (budget - coalesce(sum(cap) OVER before, 0)::DOUBLE) / (sum(weight) OVER rest)::DOUBLE AS share, row_number() OVER (ORDER BY cap / weight, place) AS step
+      FROM w WINDOW before AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    rest AS (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    ), final AS (
+      SELECT arg_min(share, step) AS share FROM filling WHERE share * weight <= cap
+    ), t AS (
+      SELECT source, source_size, least(final.share * weight, cap::DOUBLE) AS target FROM w, final
+    ), full_copies AS (
+      SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2) ELSE 0 END AS full_n FROM t
+    ), placed AS (
+      SELECT d.*, f.source_size, f.target, f.full_n, f.target - f.full_n * f.source_size AS rest,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, size, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN full_copies f ON d.source IS NOT DISTINCT FROM f.source
+    )
+    SELECT doc_id, source, size, source_size, target,
+           CAST(CASE WHEN size > 0 THEN least(full_n + CASE WHEN (2 * before + size)::DOUBLE <= 2 * rest THEN 1 ELSE 0 END, 2) ELSE 0 END AS BIGINT) AS copies,
+           CAST(copies * size AS BIGINT) AS taken
+    FROM placed
+"""
+
+ORACLE = {"op5_quality_rules": QUALITY_RULES, "op6_substring_dedup": SUBSTRING_DEDUP, "op10_warc": WARC, "op11_mixing": MIXING}

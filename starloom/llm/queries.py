@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bitplane_store, cotraining, decontaminate, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc
+from starloom.llm import bitplane_store, cotraining, decontaminate, mixing, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc
 from starloom.llm.common import read_table
 from starloom.llm.oracle import ORACLE
 
@@ -63,6 +63,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_token_counts": op2_token_counts,
@@ -74,4 +78,5 @@ QUERIES = {
     "op8_simhash_ball": op8_simhash_ball,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op11_mixing": op11_mixing,
 }
