@@ -106,4 +106,75 @@ MIXING = rf"""
     FROM placed
 """
 
-ORACLE = {"op5_quality_rules": QUALITY_RULES, "op6_substring_dedup": SUBSTRING_DEDUP, "op10_warc": WARC, "op11_mixing": MIXING}
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+                 lambda a, b: list_reduce(list_concat([xor(a, b)], list_transform(range(8), lambda i: i)),
+                                          lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+CONVERSATION_REPAIR = rf"""
+    WITH RECURSIVE keyed AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+      FROM conversations
+    ), sums AS (
+      SELECT *, xor({_CRC}, 4294967295) % 20 AS f FROM keyed
+    ), damaged AS (
+      SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN f = 0 THEN 0 WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+      FROM sums
+    ), ordered AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+      FROM damaged
+    ), judged AS (
+      SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+             lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS last_role
+      FROM ordered
+    ), counted AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (last_role IS NOT NULL AND left(last_role, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM judged GROUP BY conv_id
+    ), moves AS (  -- from state to state (0 nothing yet, 1 after s, 2 after u, 3 after a) by Keep, Rerole, Delete
+      SELECT * FROM (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (3, 2, 'u'), (2, 3, 'a')) t(a, b, initial)
+    ), edits AS (
+      SELECT conv_id, i, a, b, CASE WHEN left(role, 1) = initial THEN 'K' ELSE 'R' END AS edit,
+             CASE WHEN left(role, 1) = initial THEN 0 ELSE 1 END + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS price,
+             [CASE WHEN left(role, 1) = initial THEN role WHEN b = 2 THEN 'user' ELSE 'assistant' END || ':' || text] AS kept
+      FROM judged, moves WHERE fault NOT IN ('blank', 'duplicate') AND (left(role, 1) = initial OR initial <> 's')
+      UNION ALL
+      SELECT conv_id, i, s, s, 'D', 2, CAST([] AS VARCHAR[]) FROM judged, range(4) r(s)
+    ), inserts AS (  -- up to two user or assistant rows before a row, or at the end
+      SELECT * FROM (VALUES (0, 0, '', 0, CAST([] AS VARCHAR[])), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []),
+        (0, 2, 'I', 5, ['user:']), (1, 2, 'I', 5, ['user:']), (3, 2, 'I', 5, ['user:']), (2, 3, 'I', 5, ['assistant:']),
+        (0, 3, 'II', 10, ['user:', 'assistant:']), (1, 3, 'II', 10, ['user:', 'assistant:'])) t(a, b, edit, price, kept)
+    ), best AS (
+      SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS kept FROM counted
+      UNION ALL
+      SELECT conv_id, i, state, x.cost, x.audit, x.kept FROM (
+        SELECT p.conv_id, e.i, e.b AS state,
+               min(struct_pack(cost := p.cost + n.price + e.price, audit := p.audit || n.edit || e.edit, kept := list_concat(p.kept, n.kept, e.kept))) AS x
+        FROM best p JOIN inserts n ON n.a = p.state JOIN edits e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.i = p.i + 1 AND e.a = n.b
+        GROUP BY p.conv_id, e.i, e.b)
+    ), ends AS (
+      SELECT p.conv_id, min(struct_pack(cost := p.cost + n.price, audit := p.audit || n.edit, kept := list_concat(p.kept, n.kept))) AS x
+      FROM best p JOIN inserts n ON n.a = p.state AND n.b IN (0, 3)
+      JOIN (SELECT conv_id, max(i) AS i FROM judged GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM p.conv_id AND l.i = p.i
+      GROUP BY p.conv_id
+    )
+    SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(x.cost, 0) AS cost, coalesce(x.audit, '') AS audit,
+           sha256(coalesce(array_to_string(x.kept, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+ORACLE = {
+    "op5_quality_rules": QUALITY_RULES,
+    "op6_substring_dedup": SUBSTRING_DEDUP,
+    "op10_warc": WARC,
+    "op11_mixing": MIXING,
+    "op13_conversation_repair": CONVERSATION_REPAIR,
+}

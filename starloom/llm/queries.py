@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bitplane_store, cotraining, decontaminate, mixing, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc
+from starloom.llm import bitplane_store, conversations, cotraining, decontaminate, mixing, rules, sentencepiece_stream, simhash, suffix_array, suffix_trees, token_counts, warc, whitening
 from starloom.llm.common import read_table
 from starloom.llm.oracle import ORACLE
 
@@ -67,6 +67,14 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audits(conversations.damaged(conversations.rows_of(read_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_token_counts": op2_token_counts,
@@ -79,4 +87,6 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
     "op11_mixing": op11_mixing,
+    "op12_whitening": op12_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
 }
