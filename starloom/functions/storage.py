@@ -13,6 +13,7 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starloom.session import checkpoint_root
 
@@ -61,6 +62,15 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 500_000
+
+
+def if_small(written: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of keys with a broadcast hint if it has at most ``rows`` rows
+    (counted from the files' footers); a larger one is joined as Spark sees fit."""
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def append(df: DataFrame, path: str) -> DataFrame:
     """Append rows to a stored table by column names and read it back. The rows
     may have columns that the table lacks (its older rows read NULL) and lack

@@ -24,18 +24,26 @@ combine (``max`` over (ordering, value) structs) before any shuffle by key;
 the same max merges a stored fold with a new batch, so folds are summaries
 that can be kept and updated incrementally;
 per-key windows only run after the events are folded to one row per key
-and day. Target rows of untouched keys pass through an anti join (the
-change set is broadcast once AQE has measured it small), so the big target
-is never shuffled to apply a small batch.
+and day. Change sets are folded and written once. Target rows of untouched keys
+pass through an anti join with the written keys (broadcast if their count is
+small, else as Spark sees fit), and only touched rows are joined to anything
+else, so the big target is never shuffled to apply a small batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.keys import assign_surrogate_keys
-from starloom.functions.storage import materialize, overwrite_partitions, remove, table_path, write_table
+from starloom.functions.publish import Parts, Table, repeated
+from starloom.functions.scan import running
+from starloom.functions.storage import if_small, materialize
 from starloom.operators import scd2
 from starloom.operators.dims import OPEN_END, geography_lookup, zip_key
 
@@ -124,43 +132,40 @@ def merge_customer_days(*folds: DataFrame) -> DataFrame:
     return u.groupBy(KEY, "day").agg(*[F.max(x).alias(x) for x in DAY_STATE])
 
 
-def versions_from_days(days: DataFrame) -> DataFrame:
+def versions_from_days(days: DataFrame, hot_days: int = scd2.HOT_DAYS) -> DataFrame:
     """Carry each attribute forward over the days of a key, drop days equal to
     the previous (null-safe, delete state included), close each version the
     day before the next; a delete closes the open version and starts none.
     Nothing is carried across a delete but the person's id, which belongs to
-    the key. The windows see one row per key and day."""
-    fill = Window.partitionBy(KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.max("del_s").over(fill)
-
-    def carried(col: str) -> Column:
-        latest = F.max(col).over(fill)  # the greatest ordering so far
-        return F.when(last.isNull() | (latest["ord"] > last), latest["v"])
-
-    state = days.select(
-        KEY,
+    the key. A key with more than ``hot_days`` days is scanned in segments
+    (``functions.scan``), which are spread over tasks."""
+    rows, within = scd2.spread(days, [KEY], "day", hot_days)
+    rows = rows.withColumn("op_now", c("op_s")["v"])
+    sofar = running(rows, within, "day", {x: x for x in DAY_STATE if x != "op_s"})
+    last = c("del_s")
+
+    def carried(col: str) -> Column:  # the greatest ordering so far, if no delete came after it
+        return F.when(last.isNull() | (c(col)["ord"] > last), c(col)["v"])
+
+    state = sofar.select(
+        *within,
         "day",
-        (c("op_s")["v"] == "delete").alias("deleted"),
-        F.max("uid_s").over(fill)["v"].alias("customer_unique_id"),
+        (c("op_now") == "delete").alias("deleted"),
+        c("uid_s")["v"].alias("customer_unique_id"),
         carried("geo_s").alias("geography_sk"),
         carried("city_s").alias("customer_city"),
         carried("state_s").alias("customer_state"),
     )
-    w = Window.partitionBy(KEY).orderBy("day")
-    same = F.lag("deleted").over(w).eqNullSafe(c("deleted"))
-    for a in TRIG:
-        same = same & F.lag(a).over(w).eqNullSafe(c(a))
-    kept = state.withColumn("_keep", F.lag("day").over(w).isNull() | ~same).filter("_keep")
-    nxt = F.lead("day").over(w)
-    return kept.select(
+    kept = scd2.changes_only(state, within, "day", ["deleted", *TRIG])
+    return scd2.closed(kept, within, "day").select(
         KEY,
         "customer_unique_id",
         "geography_sk",
         "customer_city",
         "customer_state",
         c("day").alias("effective_date"),
-        F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_END)).alias("expiry_date"),
-        nxt.isNull().alias("current_flag"),
+        "expiry_date",
+        "current_flag",
         "deleted",
     ).filter(~c("deleted")).drop("deleted")
 
@@ -169,12 +174,13 @@ def customer_scd2_from_events(
     dim: DataFrame, log: DataFrame, changes: DataFrame, dim_geography: DataFrame, next_sk: int | None = None
 ) -> DataFrame:
     """``changes`` = ``entity_changes(events, 'Customer', [...])``;
-    ``log`` = full-row observations (``scd2.observations``). Touched keys
-    are rebuilt from their observations and events; others pass."""
-    ev = customer_event_rows(changes, dim_geography)
-    touched = ev.select(KEY).distinct()
-    rows = observation_rows(log.join(touched, KEY, "left_semi")).unionByName(ev)
-    return scd2.replace_keys(dim, versions_from_days(fold_customer_days(rows)), touched, next_sk)
+    ``log`` = full-row observations (``scd2.observations``). The events are folded
+    and written once; touched keys are rebuilt from their observations and the
+    fold, others pass."""
+    fold = materialize(fold_customer_days(customer_event_rows(changes, dim_geography)), "cdc-customer-fold")
+    touched = materialize(fold.select(KEY).distinct(), "cdc-customer-keys")
+    seen = fold_customer_days(observation_rows(log.join(if_small(touched), KEY, "left_semi")))
+    return scd2.replace_keys(dim, versions_from_days(merge_customer_days(seen, fold)), if_small(touched), next_sk)
 
 
 # ---------------------------------------------------------------- U7/U8
@@ -258,12 +264,14 @@ def type1_upsert(
     sk_col: str | None = None,
     folded: DataFrame | None = None,
     start: int | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Type-1 overwrite of a state table (a plain table has no state yet): each
     attribute takes its latest present value, a delete marks the row, an
     unknown key is inserted (surrogate key from ``start`` on, by default after
     the largest one). The change set is folded and written once (``folded``: a
-    written fold); rows of other keys pass through. Returns the state table."""
+    written fold); rows of other keys pass through. ``finish`` is applied to the
+    touched rows alone. Returns the state table."""
     keys = [keys] if isinstance(keys, str) else keys
     if folded is None:
         if keys == [keys[0]] and keys[0] not in changes.columns:
@@ -271,7 +279,8 @@ def type1_upsert(
         folded = materialize(_fold(changes, keys, attributes), "cdc-fold")
     target = with_state(target, attributes, folded)
     cond = [c(f"t.{k}").eqNullSafe(c(f"k.{k}")) for k in keys]
-    touch = lambda how: target.alias("t").join(folded.select(*keys).alias("k"), cond, how)
+    named = if_small(folded.select(*keys))
+    touch = lambda how: target.alias("t").join(named.alias("k"), cond, how)
     touched = _upsert(touch("left_semi"), folded, keys, attributes)
     if sk_col:
         touched = materialize(touched, "cdc-touched")
@@ -280,6 +289,8 @@ def type1_upsert(
         new = c(sk_col).isNull() & live()
         keyed = assign_surrogate_keys(touched.filter(new).drop(sk_col), keys, sk_col, start=start)
         touched = touched.filter(~new).unionByName(keyed)
+    if finish:
+        touched = finish(touched)
     return touch("left_anti").unionByName(touched.select(*target.columns))
 
 
@@ -321,10 +332,10 @@ ORDER_KEYS = ["customer_id", "customer_sk", "geography_sk", "date_sk", "payment_
 
 
 def with_order_keys(fact: DataFrame, orders: DataFrame, only_new: bool = False) -> DataFrame:
-    """The fact with what each item's order gives it now (rows of
+    """Fact rows with what each item's order gives it now (rows of
     ``fact.order_level``): keys of items first seen in events, and payment keys
     after payment changes. ``only_new``: leave rows that have a customer as
-    they are."""
+    they are. For rows that were touched; others need not be joined."""
     own = orders.select(c("order_id").alias("_o"), *[c(x).alias(f"_o_{x}") for x in ORDER_KEYS])
     new = c("customer_id").isNull()
     out = {x: F.when(new, c(f"_o_{x}")).otherwise(c(x)) for x in ORDER_KEYS if x != "payment_sk"}
@@ -333,6 +344,15 @@ def with_order_keys(fact: DataFrame, orders: DataFrame, only_new: bool = False)
     return joined.select(*[out[x].alias(x) if x in out else c(x) for x in fact.columns])
 
 
+def move_order_keys(fact: DataFrame, touched: DataFrame, level: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The fact after changes to the orders ``touched`` (a written table with
+    order_id): ``level(touched)`` gives their order level; the items of other
+    orders pass through."""
+    named = if_small(touched.select("order_id"))
+    return fact.join(named, "order_id", "left_anti").unionByName(
+        with_order_keys(fact.join(named, "order_id", "left_semi"), level(named)))
+
+
 def fact_upsert(
     fact: DataFrame,
     changes: DataFrame | None,
@@ -340,18 +360,22 @@ def fact_upsert(
     folded: DataFrame | None = None,
     dim_product: DataFrame | None = None,
     dim_seller: DataFrame | None = None,
-    orders: DataFrame | None = None,
+    orders: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """MERGE of OrderItem events (or their ``fold_items`` summary) into the
-    fact's state table on (order_id, order_item_id). ``orders`` (rows of
-    ``fact.order_level``) gives inserted grains the keys of their order. The
-    grain check (no duplicate grain) runs on the touched grains."""
+    fact's state table on (order_id, order_item_id). ``orders`` makes the order
+    level (``fact.order_level``) of the given orders, which gives inserted grains
+    their keys. The grain check (no duplicate grain) runs on the touched grains."""
     if folded is None:
         folded = materialize(fold_items(changes, dim_product, dim_seller), "cdc-item-fold")
-    out = type1_upsert(fact, None, FACT_KEYS, ITEM_ATTRS, folded=folded)
+    finish = None
+    if orders is not None:
+        named = if_small(materialize(folded.select("order_id").distinct(), "cdc-item-orders"))
+        finish = lambda touched: with_order_keys(touched, orders(named), only_new=True)
+    out = type1_upsert(fact, None, FACT_KEYS, ITEM_ATTRS, folded=folded, finish=finish)
     if check_grain:
-        scd2.assert_unique(out.join(folded.select(*FACT_KEYS), FACT_KEYS, "left_semi"), FACT_KEYS, "fact upsert")
-    return with_order_keys(out, orders, only_new=True) if orders is not None else out
+        scd2.assert_unique(out.select(*FACT_KEYS).join(if_small(folded.select(*FACT_KEYS)), FACT_KEYS, "left_semi"), FACT_KEYS, "fact upsert")
+    return out
 
 
 def payment_upsert(payments: DataFrame, changes: DataFrame) -> DataFrame:
@@ -360,40 +384,91 @@ def payment_upsert(payments: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------- partition-wise publish
-FACT_PARTITION = "order_month"
-
-
-def publish_fact(fact: DataFrame, dim_date: DataFrame, path: str) -> DataFrame:
-    """Write the fact's state table partitioned by order month (yyyymm of the
-    order day; NULL: no order day)."""
-    month = dim_date.select(c("date_sk").alias("_dsk"), (c("year") * 100 + c("month")).alias(FACT_PARTITION))
-    no_changes = fact.sparkSession.createDataFrame([], "primary_key string, event_time timestamp_ntz, event_id long, "
-                                                   "arrival_seq long, operation string, has_price boolean, price string, "
-                                                   "has_freight_value boolean, freight_value string")
-    out = with_state(fact, ITEM_ATTRS, fold_items(no_changes)).join(month, c("date_sk") == c("_dsk"), "left").drop("_dsk")
-    overwrite_partitions(out, path, [FACT_PARTITION], spread=FACT_KEYS)
-    return fact.sparkSession.read.parquet(path)
-
-
-def upsert_fact_partitions(path: str, changes: DataFrame | None, folded: DataFrame | None = None) -> DataFrame:
-    """CDC MERGE into a month-partitioned fact that rewrites only the months
-    holding a touched grain, plus the NULL-month partition that holds grains
-    first seen in the events. Rows carry their state, so a late or replayed
-    batch changes nothing it should not, and a deleted grain stays as a marker:
-    a month never loses its last row, so every touched month is replaced. Which
-    months hold the touched grains is read from the table's key columns. The
-    new content goes to a staging table first, so the table is never read and
-    overwritten by the same job. Returns the fact as it is (``current``)."""
-    folded = materialize(folded if folded is not None else fold_items(changes), "cdc-item-fold")
-    spark = folded.sparkSession
-    fact = spark.read.parquet(path)
-    cols = fact.columns
-    keys = folded.select(*FACT_KEYS)
-    months = [r[0] for r in fact.join(keys, FACT_KEYS, "left_semi").select(FACT_PARTITION).distinct().collect()]
-    part = fact.filter(c(FACT_PARTITION).isin([m for m in months if m is not None]) | c(FACT_PARTITION).isNull())
-    merged = type1_upsert(part, None, FACT_KEYS, ITEM_ATTRS, folded=folded).select(*cols)
-    staging = table_path(merged, "fact-upsert-staging")
-    staged = write_table(merged, staging, partition_by=[FACT_PARTITION], spread=FACT_KEYS)
-    overwrite_partitions(staged, path, [FACT_PARTITION], spread=FACT_KEYS)
-    remove(spark, staging)
-    return current(spark.read.parquet(path))
+NO_MONTH = 0  # of items whose order has no day (yet)
+LOOKUP_ROWS = 4_000_000  # orders in a bucket of the lookup
+
+
+class MonthlyFact:
+    """The fact's state table by month of the order day (``Parts`` below ``path``),
+    and beside it, by bucket of the order, which month an order's items are in. An
+    upsert reads the buckets of its orders, opens the months found there, and
+    publishes months and lookup together.
+
+    ``orders`` (optional): makes the order level of given orders, so an inserted
+    item gets its order's keys and month at once; an item whose order is not known
+    waits in the part without a month, which every upsert opens too."""
+
+    def __init__(self, spark: SparkSession, path: str, dim_date: DataFrame):
+        self.parts, self.spark = Parts(spark, path), spark
+        self.dim_date = dim_date.select(c("date_sk").alias("_dsk"), (c("year") * 100 + c("month")).cast("int").alias("order_month"))
+        self.path = path
+        if self.parts.number:
+            stored = spark.read.parquet(f"{path}/_settings").first()
+            self._declare(T.StructType.fromJson(json.loads(stored.fact)), stored.buckets)
+
+    def _declare(self, fact: T.StructType, buckets: int) -> None:
+        self.buckets = buckets
+        unique = {"repeated_key": partial(repeated, FACT_KEYS)}
+        self.parts.tables["fact"] = Table(T.StructType([f for f in fact.fields if f.name != "order_month"]), FACT_KEYS, c("order_month"), checks=unique)
+        lookup = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("order_month", T.IntegerType())])
+        self.parts.tables["order_months"] = Table(lookup, ["order_id"], self._bucket(), 1, {"repeated_key": partial(repeated, ["order_id"])})
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("order_id"), F.lit(self.buckets)).cast("int")
+
+    def _dated(self, fact: DataFrame) -> DataFrame:
+        months = fact.join(self.dim_date, c("date_sk") == c("_dsk"), "left").drop("_dsk")
+        return months.withColumn("order_month", F.coalesce("order_month", F.lit(NO_MONTH)))
+
+    def create(self, fact: DataFrame) -> "MonthlyFact":
+        """The first content: a plain fact."""
+        no_changes = self.spark.createDataFrame([], "primary_key string, event_time timestamp_ntz, event_id long, "
+                                                "arrival_seq long, operation string, has_price boolean, price string, "
+                                                "has_freight_value boolean, freight_value string")
+        state = self._dated(with_state(fact, ITEM_ATTRS, fold_items(no_changes)))
+        buckets = max(16, -(-fact.count() // LOOKUP_ROWS))
+        self.spark.createDataFrame([(json.dumps(state.schema.jsonValue()), buckets)], "fact string, buckets int").write.mode("overwrite").parquet(f"{self.path}/_settings")
+        self._declare(state.schema, buckets)
+        self.parts.stage("fact", state)
+        self.parts.stage("order_months", self._lookup(self.parts.read("fact")))
+        self.parts.publish()
+        return self
+
+    def _lookup(self, items: DataFrame) -> DataFrame:
+        """(order_id, order_month) of the orders of items that have a day."""
+        dated = self._dated(items.select("order_id", "date_sk")).filter(c("order_month") != NO_MONTH)
+        return dated.filter("order_id is not null").groupBy("order_id").agg(F.max("order_month").alias("order_month"))
+
+    def upsert(self, changes: DataFrame | None, folded: DataFrame | None = None, orders: Callable[[DataFrame], DataFrame] | None = None) -> list[int]:
+        """Merge OrderItem events (or their fold); returns the months opened. State
+        rows make a late or replayed batch harmless, a deleted grain stays as a
+        marker, and a batch that fails leaves the table as it was."""
+        folded = materialize(folded if folded is not None else fold_items(changes), "cdc-item-fold")
+        named = if_small(materialize(folded.select("order_id").distinct(), "cdc-item-orders"))
+        buckets = sorted(r[0] for r in named.select(self._bucket().alias("b")).distinct().collect())
+        known_months = self.parts.read("order_months", buckets)
+        months = {r[0] for r in known_months.join(named, "order_id", "left_semi").select("order_month").distinct().collect()}
+        new_level = None
+        if orders is not None:  # an inserted item may be the first one of its month
+            new_level = materialize(orders(named), "cdc-item-order-level")
+            months |= {r[0] for r in self._dated(new_level.select("order_id", "date_sk")).select("order_month").distinct().collect()}
+        months |= {NO_MONTH}
+        finish = (lambda touched: with_order_keys(touched, new_level, only_new=True)) if orders is not None else None
+        try:
+            merged = type1_upsert(self.parts.read("fact", sorted(months)), None, FACT_KEYS, ITEM_ATTRS, folded=folded, finish=finish)
+            self.parts.stage("fact", self._dated(merged), sorted(months))
+            fresh = self._lookup(self.parts.read("fact", sorted(months)).join(named, "order_id", "left_semi"))
+            both = known_months.unionByName(fresh).groupBy("order_id").agg(F.max("order_month").alias("order_month"))
+            self.parts.stage("order_months", both, buckets)
+        except Exception:
+            self.parts.discard()
+            raise
+        self.parts.publish()
+        return sorted(months)
+
+    def state(self, months: list[int] | None = None) -> DataFrame:
+        return self.parts.read("fact", months)
+
+    def read(self, months: list[int] | None = None) -> DataFrame:
+        """The fact as it is, or some of its months."""
+        return current(self.state(months))

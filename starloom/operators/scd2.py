@@ -21,10 +21,11 @@ import datetime as dt
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import assign_surrogate_keys
+from starloom.functions.scan import RANGE, running, segmented
 from starloom.functions.storage import materialize
 from starloom.operators.dims import OPEN_END, stage_customers
 
@@ -169,33 +170,51 @@ def observations(staged: DataFrame, obs_date: dt.date | Column, rank: int | Colu
     return staged.select(KEY, *ATTRS, d.cast("date").alias("obs_date"), r.cast("bigint").alias("obs_rank"))
 
 
-def timeline(obs: DataFrame) -> DataFrame:
+#: Days of one key that one task takes in order; beyond it, all keys are scanned in
+#: segments. Either way gives the same rows.
+HOT_DAYS = 100_000
+
+
+def spread(rows: DataFrame, keys: list[str], order: str, hot: int = HOT_DAYS) -> tuple[DataFrame, list[str]]:
+    """``rows`` (one a key and ``order``), written, and the columns a window over
+    them goes by: the keys, or, if a key has more than ``hot`` rows, segments of
+    them (``functions.scan``)."""
+    rows = materialize(rows, "timeline-days")
+    most = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return (rows, keys) if most <= hot else (segmented(rows, keys, order), [RANGE, *keys])
+
+
+def changes_only(rows: DataFrame, within: list[str], order: str, attrs: list[str]) -> DataFrame:
+    """Rows that differ (null-safe) from the key's row before them."""
+    before = running(rows, within, order, {"_before": F.struct(c(order), *[c(a) for a in attrs])}, inclusive=False)
+    same = reduce(and_, [c("_before")[a].eqNullSafe(c(a)) for a in attrs])
+    return before.filter(c("_before").isNull() | ~same).drop("_before")
+
+
+def closed(rows: DataFrame, within: list[str], order: str) -> DataFrame:
+    """Versions that begin on ``order``: each one ends the day before the next."""
+    after = running(rows, within, order, {"_next": order}, inclusive=False, following=True)
+    return after.withColumns({
+        "expiry_date": F.coalesce(F.date_sub("_next", 1), F.lit(OPEN_END)), "current_flag": c("_next").isNull(),
+    }).drop("_next")
+
+
+def timeline(obs: DataFrame, hot_days: int = HOT_DAYS) -> DataFrame:
     """Versions from observations: the last observation of each (key, day)
     wins, a day equal to the previous one (null-safe) adds no version, and a
     version ends the day before the next begins.
 
     The per-day pick is a grouped max over a struct (partial aggregation, so
-    a key with many events on one day is combined map-side). The lag/lead
-    window then sees at most one row per key and day."""
+    a key with many events on one day is combined map-side). What follows sees
+    at most one row per key and day, and spreads a key with very many days."""
     last = obs.groupBy(KEY, "obs_date").agg(
         F.max(F.struct(c("obs_rank"), *[c(a) for a in ATTRS])).alias("o")
     )
     day = last.select(KEY, c("obs_date").alias("effective_date"), *[c(f"o.{a}").alias(a) for a in ATTRS])
-    w = Window.partitionBy(KEY).orderBy("effective_date")
-    same = None
-    for a in TRIGGERS:
-        t = F.lag(a).over(w).eqNullSafe(c(a))
-        same = t if same is None else same & t
-    flagged = day.withColumn("_keep", F.lag("effective_date").over(w).isNull() | ~same)
-    kept = flagged.filter(c("_keep")).drop("_keep")
-    nxt = F.lead("effective_date").over(w)
-    return kept.select(
-        F.lit(None).cast("bigint").alias("customer_sk"),
-        KEY,
-        *ATTRS,
-        "effective_date",
-        F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_END)).alias("expiry_date"),
-        nxt.isNull().alias("current_flag"),
+    days, within = spread(day, [KEY], "effective_date", hot_days)
+    versions = closed(changes_only(days, within, "effective_date", TRIGGERS), within, "effective_date")
+    return versions.select(
+        F.lit(None).cast("bigint").alias("customer_sk"), KEY, *ATTRS, "effective_date", "expiry_date", "current_flag",
     )
 
 

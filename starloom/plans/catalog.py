@@ -17,7 +17,7 @@ from starloom.functions.storage import append, materialize, write_table
 from starloom.operators import cdc_apply, dims, fact, quality, scd2
 from starloom.plans import reports as R
 from starloom.plans import views
-from starloom.plans.warehouse import next_customers, warehouse
+from starloom.plans.warehouse import load, next_customers, run_day, warehouse
 from starloom.session import app_key
 from starloom.sources import adapter
 from starloom.sources.cdc_events import ENTITY_ATTRIBUTES, change_events
@@ -152,6 +152,17 @@ def q_scd2_three_days(spark, sf):
     return dim
 
 
+def q_warehouse_rerun(spark, sf):
+    """The first day a second time, then a later one: the customers of the whole
+    stored warehouse then."""
+    w = _w(spark, sf)
+    day, customers = adapter.customers_next_days(load_tables(spark, sf))[0]
+    if load(spark, w.extra["root"]).extra["day"] != day:  # not yet in this application
+        run_day(w.sources, adapter.SNAPSHOT_DATE, w.extra["root"])
+        run_day(w.sources, day, w.extra["root"], customers)
+    return load(spark, w.extra["root"]).dim_customer
+
+
 def q_scd2_history(spark, sf):
     return scd2.version_history(_w(spark, sf).dim_customer)
 
@@ -207,12 +218,8 @@ def q_cdc_silver(spark, sf):
 
 def cdc_customer_dim(spark, sf):
     w = _w(spark, sf)
-    if "dim_customer_cdc" not in w.extra:
-        ch = cdc.entity_changes(silver_decoded(spark, sf), "Customer", ENTITY_ATTRIBUTES["Customer"])
-        w.extra["dim_customer_cdc"] = cdc_apply.customer_scd2_from_events(
-            w.dim_customer, customer_log(w), ch, w.dim_geography
-        )
-    return w.extra["dim_customer_cdc"]
+    ch = lambda: cdc.entity_changes(silver_decoded(spark, sf), "Customer", ENTITY_ATTRIBUTES["Customer"])
+    return _once(w, "dim_customer_cdc", lambda: cdc_apply.customer_scd2_from_events(w.dim_customer, customer_log(w), ch(), w.dim_geography))
 
 
 def q_cdc_customer_scd2(spark, sf):
@@ -272,11 +279,30 @@ def _order_level(w, orders=None, payments=None, dim_customer=None, dim_payment=N
     )
 
 
+def _level_of(w, orders=None, payments=None, **more):
+    """The order level of some orders alone."""
+
+    def level(named):
+        own = lambda df: df.join(named, "order_id", "left_semi")
+        return _order_level(w, own(w.sources["orders"] if orders is None else orders), own(w.sources["payments"] if payments is None else payments), **more)
+
+    return level
+
+
 def fact_cdc(spark, sf):
     w = _w(spark, sf)
     return _once(w, "fact_cdc", lambda: cdc_apply.current(cdc_apply.fact_upsert(
         w.fact_order_item, _changes(spark, sf, "OrderItem"), dim_product=w.dim_product, dim_seller=w.dim_seller,
-        orders=_order_level(w))))
+        orders=_level_of(w))))
+
+
+def q_cdc_fact_partition_upsert(spark, sf):
+    """The fact by month: events open only the months that the lookup beside it names."""
+    w = _w(spark, sf)
+    monthly = cdc_apply.MonthlyFact(spark, cdc.scratch_dir(spark, "fact-by-month"), w.dim_date).create(w.fact_order_item)
+    changes = cdc_apply.item_changes(_changes(spark, sf, "OrderItem"), w.dim_product, w.dim_seller)
+    monthly.upsert(None, cdc_apply._fold(changes, cdc_apply.FACT_KEYS, cdc_apply.ITEM_ATTRS), orders=_level_of(w))
+    return out(monthly.read())
 
 
 def q_cdc_fact_upsert(spark, sf):
@@ -307,26 +333,27 @@ def q_cdc_order_upsert(spark, sf):
 def q_cdc_payment_upsert(spark, sf):
     """The fact's payment keys after payment events."""
     w, pay = _w(spark, sf), dim_payment_cdc(spark, sf)
-    orders = _order_level(w, payments=payments_cdc(spark, sf), dim_payment=pay)
-    moved = cdc_apply.with_order_keys(w.fact_order_item, orders)
+    paid = cdc_apply.split_key(_changes(spark, sf, "Payment"), "payment_sequential").select("order_id").distinct()
+    moved = cdc_apply.move_order_keys(
+        w.fact_order_item, materialize(paid, "orders-paid"), _level_of(w, payments=payments_cdc(spark, sf), dim_payment=pay))
     return moved.join(pay, "payment_sk", "left").select(
         "order_id", "order_item_id", "payment_sk", "payment_type", "payment_installments")
 
 
-def q_view_sales_after_cdc(spark, sf):
-    """The sales view refreshed for what the events touched, in all its tables;
-    items of deleted orders are gone."""
+def _after_events(spark, sf):
+    """Every table after the events, and the closed set of orders that they can
+    change in a view; items of deleted orders are gone."""
     w, pay, customers = _w(spark, sf), dim_payment_cdc(spark, sf), cdc_customer_dim(spark, sf)
     orders, products, sellers = orders_cdc(spark, sf), q_cdc_type1_upsert(spark, sf), q_cdc_type1_upsert_seller(spark, sf)
-    level = _order_level(w, orders, payments_cdc(spark, sf), customers, pay)
-    f = cdc_apply.with_order_keys(fact_cdc(spark, sf).drop("last_event_time"), level)
-    f = _once(w, "fact_after", lambda: f.join(orders.select("order_id"), "order_id", "left_semi"))
 
     def keys(entity):
         return silver_decoded(spark, sf).filter(c("entity_name") == entity).select("primary_key")
 
     paired = keys("OrderItem").union(keys("Payment")).select(F.split("primary_key", r"\|")[0].alias("order_id"))
-    touched = paired.union(keys("Order")).distinct()
+    touched = _once(w, "orders_touched", lambda: paired.union(keys("Order")).distinct())
+    level = _level_of(w, orders, payments_cdc(spark, sf), dim_customer=customers, dim_payment=pay)
+    moved = lambda: cdc_apply.move_order_keys(fact_cdc(spark, sf).drop("last_event_time"), touched, level)
+    f = _once(w, "fact_after", lambda: moved().join(orders.select("order_id"), "order_id", "left_semi"))
 
     def numbers(entity, dims_, key, sk):
         """Keys of the rows that the entity's events name, before and after."""
@@ -339,19 +366,33 @@ def q_view_sales_after_cdc(spark, sf):
         keys("Customer").select(c("primary_key").alias("customer_id")).distinct(),
         numbers("Product", (w.dim_product, products), "product_id", "product_sk"),
         numbers("Seller", (w.dim_seller, sellers), "seller_id", "seller_sk")))
+    return w, refresh, f, orders, customers, products, sellers, pay
+
+
+def q_view_sales_after_cdc(spark, sf):
+    """The sales view refreshed for what the events touched, in all its tables."""
+    w, refresh, f, _, customers, products, sellers, pay = _after_events(spark, sf)
     return out(views.refresh_sales_view(w.sales, refresh, f, w.dim_date, customers, w.dim_geography, products, sellers, pay))
 
 
+def q_view_fulfillment_after_cdc(spark, sf):
+    """The fulfilment view refreshed for the same orders."""
+    w, refresh, f, orders, customers, products, sellers, _ = _after_events(spark, sf)
+    return out(views.refresh_fulfillment_view(w.fulfillment, refresh, f, orders, w.dim_date, products, sellers, customers))
+
+
 def _gold(spark, sf):
     """The foreachBatch applier, run over three micro-batches of the events."""
     w = _w(spark, sf)
     if "gold" not in w.extra:
         root = cdc.scratch_dir(spark, "gold-run")
-        cdc.land_events(change_events(load_tables(spark, sf)["events"]), f"{root}/landing", files=3)
+        files = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))  # as many as the cluster is set up for
+        cdc.land_events(change_events(load_tables(spark, sf)["events"]), f"{root}/landing", files=files)
         tables = {"dim_product": w.dim_product, "dim_seller": w.dim_seller, "fact": w.fact_order_item,
-                  "orders": w.sources["orders"], "payments": w.sources["payments"]}
-        app = CdcGoldApplier(f"{root}/gold", w.dim_customer, customer_log(w), w.dim_geography, tables)
-        cdc.run_cdc_batches(spark, f"{root}/landing", f"{root}/_checkpoint", app, max_files_per_trigger=1)
+                  "orders": w.sources["orders"], "payments": w.sources["payments"], "order_keys": _order_level(w),
+                  "view_sales": w.sales, "view_fulfillment": w.fulfillment}
+        app = CdcGoldApplier(f"{root}/gold", w.dim_customer, customer_log(w), w.dim_geography, tables, dim_date=w.dim_date)
+        cdc.run_cdc_batches(spark, f"{root}/landing", f"{root}/_checkpoint", app, max_files_per_trigger=-(-files // 3))
         w.extra["gold"] = app
     return w.extra["gold"]
 
@@ -365,14 +406,21 @@ def q_cdc_gold_product(spark, sf):
 
 
 def q_cdc_gold_fact(spark, sf):
-    w = _w(spark, sf)
-    return out(cdc_apply.with_order_keys(_gold(spark, sf).table("fact"), _order_level(w), only_new=True))
+    return out(_gold(spark, sf).table("fact"))
 
 
 def q_cdc_gold_payments(spark, sf):
     return out(_gold(spark, sf).table("payments"))
 
 
+def q_cdc_gold_view_sales(spark, sf):
+    return out(_gold(spark, sf).table("view_sales"))
+
+
+def q_cdc_gold_view_fulfillment(spark, sf):
+    return out(_gold(spark, sf).table("view_fulfillment"))
+
+
 # --------------------------------------------------------------- quality
 def q_dq_duplicate_keys(spark, sf):
     w = _w(spark, sf)
@@ -456,6 +504,7 @@ QUERIES: dict[str, Query] = {
     "scd2_apply": q_scd2_apply,
     "scd2_apply_twice": q_scd2_apply_twice,
     "scd2_three_days": q_scd2_three_days,
+    "warehouse_rerun": q_warehouse_rerun,
     "scd2_history": q_scd2_history,
     "scd2_late_arrival": q_scd2_late_arrival,
     "cdc_bronze": q_cdc_bronze,
@@ -468,11 +517,15 @@ QUERIES: dict[str, Query] = {
     "cdc_fact_upsert": q_cdc_fact_upsert,
     "cdc_order_upsert": q_cdc_order_upsert,
     "cdc_payment_upsert": q_cdc_payment_upsert,
+    "cdc_fact_partition_upsert": q_cdc_fact_partition_upsert,
     "cdc_gold_customer": q_cdc_gold_customer,
     "cdc_gold_product": q_cdc_gold_product,
     "cdc_gold_fact": q_cdc_gold_fact,
     "cdc_gold_payments": q_cdc_gold_payments,
+    "cdc_gold_view_sales": q_cdc_gold_view_sales,
+    "cdc_gold_view_fulfillment": q_cdc_gold_view_fulfillment,
     "view_sales_after_cdc": q_view_sales_after_cdc,
+    "view_fulfillment_after_cdc": q_view_fulfillment_after_cdc,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_one_current": q_dq_one_current,
     "dq_fact_grain": q_dq_fact_grain,

@@ -233,3 +233,12 @@ def fulfillment_view(
         "customer_city_asof",
         "customer_state_asof",
     )
+
+
+def refresh_fulfillment_view(fulfillment: DataFrame, orders_touched: DataFrame, fact: DataFrame, orders: DataFrame, *dimensions: DataFrame) -> DataFrame:
+    """The fulfilment view after a change of some orders (closed as by
+    ``orders_to_refresh``): their rows are made anew from the fact, the orders and
+    the dimensions (as ``fulfillment_view`` takes them), the others are kept."""
+    mine = lambda df: df.join(orders_touched, "order_id", "left_semi")
+    new = fulfillment_view(mine(fact), mine(orders), *dimensions)
+    return fulfillment.join(orders_touched, "order_id", "left_anti").unionByName(new)

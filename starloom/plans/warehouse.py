@@ -4,10 +4,13 @@ Build order fixes two hazards of a top-to-bottom script: geography is built
 before the dimensions that look it up, and the customer dimension gets its
 initial load once and then only snapshot merges, so history is kept.
 
-A daily run is ``build(tables, day, previous=load(spark, root), root=root)``: the
-customer dimension goes on from the previous build's versions, every dimension
-keeps its keys, and the new build is stored beside the old one under its day.
-``load`` reads the latest complete build back, also in another session.
+A daily run is ``run_day(sources, day, root)``: the customer dimension goes on from
+the versions of the last build of an earlier day, and every dimension keeps its
+keys. Every attempt has a folder of its own; the last step publishes it as the build
+that ``load`` sees, also in another session. So a day can be run again, with the same
+or with corrected tables, and a build that fails changes nothing. Customer versions
+and the fact's grain are checked once they are written, and a violation ends the
+build before it is published. ``prune`` deletes attempts that are no longer needed.
 Without a root the tables go to the session's checkpoint folder. Every table is
 written once; reports read it instead of re-expanding the plans.
 """
@@ -16,17 +19,17 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from starloom.functions import publish
 from starloom.functions.storage import materialize, write_table
-from starloom.operators import dims, fact, scd2
+from starloom.operators import dims, fact, quality, scd2
 from starloom.plans import views
-from starloom.session import app_key
+from starloom.session import app_key, checkpoint_root
 from starloom.sources import adapter
 from starloom.sources.tables import load_tables
 
@@ -56,12 +59,23 @@ TABLES = [
 Land = Callable[[DataFrame, str], DataFrame]
 
 
+#: What must not be in a table of a build, looked for in its written key columns
+#: (grouped counts with map-side combine; the wide rows are not shuffled again).
+CHECKS = {
+    "dim_customer": lambda df: quality.one_current_violations(df.filter(f"{scd2.KEY} is not null"), allow_zero=True),
+    "fact_order_item": lambda df: quality.fact_grain(df, "order_id", "order_item_id", "fact_order_item"),
+}
+
+
 def _lander(root: str | None, build: str, seconds: dict[str, float]) -> Land:
-    """Writes a table of a build, below the root if there is one, and notes the seconds."""
+    """Writes a table of a build, below the root if there is one, ends the build if
+    the table holds what it must not, and notes the seconds."""
 
     def land(df: DataFrame, name: str) -> DataFrame:
         began = time.time()
         out = write_table(df, f"{root}/{build}/{name}") if root else materialize(df, name)
+        if name in CHECKS and (bad := CHECKS[name](out).count()):
+            raise publish.AuditError(name, {"violations": bad})
         seconds[name] = round(time.time() - began, 3)
         return out
 
@@ -98,25 +112,22 @@ def next_customers(dim_customer: DataFrame, customers: DataFrame, dim_geography:
 
 
 def build(
-    tables,
-    snapshot_date: dt.date = adapter.SNAPSHOT_DATE,
+    src: dict[str, DataFrame],
+    day: dt.date,
     previous: "Warehouse | None" = None,
     root: str | None = None,
     customers: DataFrame | None = None,
 ) -> Warehouse:
-    """One day's warehouse. ``customers``: the day's customer table (default:
-    the test data's snapshot)."""
+    """One day's warehouse from source tables (``sources.schemas``). ``customers``:
+    the day's customer table (default: ``customers_snapshot`` among the sources, or
+    ``customers``, which the first build loads)."""
     seconds: dict[str, float] = {}
-    name = f"build-{snapshot_date}"
+    name = f"build-{day}-{uuid.uuid4().hex[:8]}"
     land = _lander(root, name, seconds)
-    began = time.time()
-    src = adapter.retail_sources(tables)
-    seconds["order_lines"] = round(time.time() - began, 3)
     d = build_dimensions(src, previous, land)
     before = previous.dim_customer if previous is not None else d["dim_customer_initial"]
-    staged, after = next_customers(
-        before, customers if customers is not None else src["customers_snapshot"], d["dim_geography"], snapshot_date
-    )
+    today = customers if customers is not None else src.get("customers_snapshot", src["customers"])
+    staged, after = next_customers(before, today, d["dim_geography"], day)
     dim_customer = land(after, "dim_customer")
     f = fact.build_fact_order_item(
         src["order_items"],
@@ -152,24 +163,43 @@ def build(
         **d,
     )
     if root:
-        finish(w.dim_date.sparkSession, root, name)
+        w.extra["build"] = name
+        publish.note_build(w.dim_date.sparkSession, root, day, name)
     return w
 
 
-def finish(spark: SparkSession, root: str, name: str) -> None:
-    """Note a build as complete; ``load`` sees only builds noted here."""
-    done = spark.createDataFrame([(name,)], "build string").withColumn("written", F.current_timestamp())
-    done.coalesce(1).write.mode("append").parquet(f"{root}/_builds")
+def run_day(src: dict[str, DataFrame], day: dt.date, root: str, customers: DataFrame | None = None) -> Warehouse:
+    """Build a day below ``root`` on what the last earlier day left. A day that was
+    built before is built anew from there, so the new attempt replaces the old one
+    and no version begins and ends on the same day."""
+    spark = src["customers"].sparkSession
+    later = [b for b in publish.builds(spark, root) if b.day > day]
+    if later:
+        raise ValueError(f"{day} can't be built any more: {later[-1].day} stands on it")
+    return build(src, day, load(spark, root, before=day), root, customers)
 
 
-def load(spark: SparkSession, root: str, sources: dict[str, DataFrame] | None = None) -> "Warehouse | None":
-    """The latest complete build below ``root``, None if there is none."""
-    try:
-        last = spark.read.parquet(f"{root}/_builds").orderBy(F.col("written").desc()).first()
-    except AnalysisException:
+def load(spark: SparkSession, root: str, sources: dict[str, DataFrame] | None = None, before: dt.date | None = None) -> "Warehouse | None":
+    """The build below ``root`` published last (of a day before ``before``), None if
+    there is none."""
+    known = [b for b in publish.builds(spark, root) if before is None or b.day < before]
+    if not known:
         return None
+    last = known[-1]
     tables = {t: spark.read.parquet(f"{root}/{last.build}/{t}") for t in TABLES}
-    return Warehouse(sources=sources or {}, extra={"build": last.build}, **tables)
+    return Warehouse(sources=sources or {}, extra={"build": last.build, "day": last.day}, **tables)
+
+
+def prune(spark: SparkSession, root: str, days: int = 2) -> list[str]:
+    """Delete the folders of attempts that were never published, that a later one of
+    their day replaced, or whose day is not among the last ``days``; not while a
+    build runs. Returns their names."""
+    newest = {b.day: b.build for b in publish.builds(spark, root)}
+    keep = {newest[d] for d in sorted(newest)[-days:]}
+    gone = [f for f in publish.subfolders(spark, root) if f.startswith("build-") and f not in keep]
+    for f in gone:
+        publish.drop_folder(spark, f"{root}/{f}")
+    return gone
 
 
 VIEW_NAMES = {
@@ -192,8 +222,9 @@ def register_views(w: Warehouse, prefix: str = "") -> list[str]:
     for attr, name in VIEW_NAMES.items():
         getattr(w, attr).createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
-    w.sources["orders"].createOrReplaceTempView(prefix + "orders")
-    names.append(prefix + "orders")
+    if "orders" in w.sources:
+        w.sources["orders"].createOrReplaceTempView(prefix + "orders")
+        names.append(prefix + "orders")
     return names
 
 
@@ -204,5 +235,11 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of one data folder, built once per Spark application."""
     key = (app_key(spark), sf_dir.rstrip("/"))
     if key not in _BUILT:
-        _BUILT[key] = build(load_tables(spark, sf_dir))
+        began = time.time()
+        src = adapter.retail_sources(load_tables(spark, sf_dir))
+        lines = round(time.time() - began, 3)
+        root = f"{checkpoint_root(spark)}/starloom-builds/{uuid.uuid4().hex}"
+        w = build(src, adapter.SNAPSHOT_DATE, root=root)
+        w.extra |= {"root": root, "seconds": {"order_lines": lines, **w.extra["seconds"]}}
+        _BUILT[key] = w
     return _BUILT[key]

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +48,9 @@ def customer(spark, ev_rows):
 
 
 def gold_tables(w):
-    return {"dim_product": w.dim_product, "dim_seller": w.dim_seller, "fact": w.fact_order_item,
+    from starloom.plans import catalog
+
+    return {"order_keys": catalog._order_level(w), "dim_product": w.dim_product, "dim_seller": w.dim_seller, "fact": w.fact_order_item,
             "orders": w.sources["orders"], "payments": w.sources["payments"]}
 
 
@@ -204,7 +207,7 @@ def test_foreach_batch_gold_equals_one_shot_apply(spark, tmp_path):
         catalog.q_cdc_type1_upsert(spark, sf), {"product_sk"})
     assert strip(app.table("dim_seller"), {"seller_sk"}) == strip(
         catalog.q_cdc_type1_upsert_seller(spark, sf), {"seller_sk"})
-    inc = catalog.out(cdc_apply.with_order_keys(app.table("fact"), catalog._order_level(w), only_new=True))
+    inc = catalog.out(app.table("fact"))  # inserted items have the keys of their orders
     assert strip(inc, set()) == strip(catalog.q_cdc_fact_upsert(spark, sf), set())
     # surrogate keys stay unique; existing products keep theirs
     for name, sk in (("dim_customer", "customer_sk"), ("dim_product", "product_sk"), ("dim_seller", "seller_sk")):
@@ -215,40 +218,104 @@ def test_foreach_batch_gold_equals_one_shot_apply(spark, tmp_path):
     assert kept.filter("product_sk <> o").count() == 0
 
 
-def test_partition_wise_fact_upsert_rewrites_only_touched_months(spark, tmp_path):
-    import os
-
+def test_monthly_upsert_opens_only_touched_months(spark, tmp_path):
     from starloom.plans import catalog
     from starloom.plans.warehouse import warehouse
 
     sf = "/root/testdata/sf0.001"
     w = warehouse(spark, sf)
-    path = str(tmp_path / "fact")
-    cdc_apply.publish_fact(w.fact_order_item, w.dim_date, path)
-
-    def listing():
-        out = {}
-        for d in os.listdir(path):
-            if d.startswith("order_month="):
-                out[d] = sorted((f, os.stat(os.path.join(path, d, f)).st_mtime_ns)
-                                for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
-        return out
-
-    before = listing()
+    monthly = cdc_apply.MonthlyFact(spark, str(tmp_path / "fact"), w.dim_date).create(w.fact_order_item)
+    before = {p: a for p, a in monthly.parts.at["fact"].items()}
     ch = cdc.entity_changes(catalog.silver_decoded(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
-    after_df = cdc_apply.upsert_fact_partitions(path, ch)
-    after = listing()
+    fold = cdc_apply.fold_items(ch)
+    orders = [r.order_id for r in fold.join(w.fact_order_item.select("order_id").distinct(), "order_id", "left_semi").select("order_id").distinct().orderBy("order_id").limit(3).collect()]
+    fold = fold.filter(F.col("order_id").isin(orders + ["none"]))
+    lookups = monthly.parts.tables["order_months"]
+    opened = monthly.upsert(None, fold, orders=catalog._level_of(w))
+
+    want = cdc_apply.current(cdc_apply.fact_upsert(w.fact_order_item, None, folded=fold, orders=catalog._level_of(w)))
+    key = lambda t: tuple(map(str, t))
+    got = sorted(map(tuple, monthly.read().select(*want.columns).collect()), key=key)
+    assert got == sorted(map(tuple, want.collect()), key=key)
+    dated = w.fact_order_item.join(w.dim_date.select("date_sk", (F.col("year") * 100 + F.col("month")).alias("m")), "date_sk")
+    assert opened == [0] + sorted(r.m for r in dated.filter(F.col("order_id").isin(orders)).select("m").distinct().collect())
+    after = monthly.parts.at["fact"]
+    assert {p for p in after if before.get(p) != after[p]} == {*opened} and len(opened) < len(after)
+    again = cdc_apply.MonthlyFact(spark, str(tmp_path / "fact"), w.dim_date)  # another session
+    assert again.buckets == monthly.buckets and lookups.keys == ["order_id"]
+    assert sorted(map(tuple, again.read().select(*want.columns).collect()), key=key) == got
+    # what an upsert reads: the opened months' files of the fact, no others
+    files = again.state(opened).inputFiles()
+    assert files and {int(f.split("part=")[1].split("/")[0]) for f in files} <= {*opened}
+    assert again.upsert(None, fold, orders=catalog._level_of(w)) == opened  # a replay
+    assert sorted(map(tuple, again.read().select(*want.columns).collect()), key=key) == got
+
+
+def test_small_batches_leave_the_fact_unshuffled(spark):
+    """The item and payment upserts join the big fact to broadcast keys only."""
+    from starloom.plans import catalog
+    from starloom.plans.warehouse import warehouse
 
-    want = cdc_apply.current(cdc_apply.fact_upsert(w.fact_order_item, ch))
-    cols = want.columns
-    got = sorted(map(tuple, after_df.select(*cols).collect()), key=lambda t: tuple(map(str, t)))
-    assert got == sorted(map(tuple, want.select(*cols).collect()), key=lambda t: tuple(map(str, t)))
+    sf = "/root/testdata/sf0.001"
+    w = warehouse(spark, sf)
+    ch = cdc.entity_changes(catalog.silver_decoded(spark, sf), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
+    touched = cdc_apply.materialize(spark.createDataFrame([("1",)], "order_id string"), "touched")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (cdc_apply.fact_upsert(w.fact_order_item, ch, orders=catalog._level_of(w)),
+                    cdc_apply.move_order_keys(w.fact_order_item, touched, catalog._level_of(w))):
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            scans = [line for line in plan.splitlines() if "Join" in line and ("LeftAnti" in line or "LeftSemi" in line)]
+            assert scans and all("broadcast" in line for line in scans), plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_bad_batch_changes_nothing(spark, tmp_path, monkeypatch):
+    """A batch whose result has two current versions, a repeated grain, or that fails
+    in its last table leaves every table, its files and the pointer as they were."""
+    import hashlib
+
+    from starloom.functions.publish import AuditError
+    from starloom.plans import catalog, views
+    from starloom.plans.warehouse import warehouse
+    from starloom.sources.cdc_events import change_events
+    from starloom.streaming import gold
 
-    changed = {p for p in after if before.get(p) != after[p]}
-    touched_months = {f"order_month={r[0]}" for r in after_df.filter("last_event_time IS NOT NULL")
-                      .select("order_month").distinct().collect() if r[0] is not None}
-    assert changed - {"order_month=__HIVE_DEFAULT_PARTITION__"} == touched_months
-    assert len(changed) < len(after)          # most months were not rewritten
+    sf = "/root/testdata/sf0.001"
+    w = warehouse(spark, sf)
+    tables = {**gold_tables(w), "view_sales": w.sales, "view_fulfillment": w.fulfillment}
+    ev = change_events(spark.read.parquet(f"{sf}/events.parquet")).withColumn("event_date", F.to_date("event_time"))
+    first, second = ev.filter("arrival_seq % 2 = 0"), ev.filter("arrival_seq % 2 = 1")
+    app = gold.CdcGoldApplier(str(tmp_path / "g"), w.dim_customer, catalog.customer_log(w), w.dim_geography, tables, buckets=4, dim_date=w.dim_date)
+    app(first, 0)
+
+    def state():
+        files = {}
+        for folder, _, names in os.walk(tmp_path / "g" / "gold"):
+            for name in names:
+                files[os.path.join(folder, name)] = hashlib.sha256(open(os.path.join(folder, name), "rb").read()).hexdigest()
+        return files, app.parts.at, {n: sorted(map(str, app.table(n).collect())) for n in app.parts.tables}
+
+    before = state()
+    twice = lambda rows: rows.unionByName(rows.limit(1))
+    broken = [
+        (cdc_apply.scd2, "replace_keys", lambda make: lambda *a: (lambda d: d.unionByName(d.filter("current_flag").limit(1).withColumn("effective_date", F.lit(D(2030, 1, 1)))))(make(*a)), AuditError, "second_current"),
+        (cdc_apply, "type1_upsert", lambda make: lambda t, ch, keys, *a, **k: twice(make(t, ch, keys, *a, **k)) if "order_item_id" in keys else make(t, ch, keys, *a, **k), AuditError, "repeated_key"),
+        (views, "fulfillment_view", lambda make: lambda *a: 1 / 0, ZeroDivisionError, None),
+    ]
+    for module, name, wrap, error, says in broken:
+        with monkeypatch.context() as m:
+            m.setattr(module, name, wrap(getattr(module, name)))
+            with pytest.raises(error, match=says):
+                app(second, 1)
+        assert state() == before, name
+    app(second, 1)
+    assert sorted(map(str, catalog.out(app.table("fact")).select("order_id", "order_item_id", "price", "customer_id", "date_sk").collect())) == sorted(
+        map(str, catalog.q_cdc_fact_upsert(spark, sf).select("order_id", "order_item_id", "price", "customer_id", "date_sk").collect()))
+    n = app.parts.prune()
+    assert n > 0 and app.table("dim_customer").count() == catalog.q_cdc_customer_scd2(spark, sf).count()
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
@@ -306,7 +373,7 @@ def test_applier_resumes_after_driver_restart(spark, tmp_path):
         catalog.q_cdc_customer_scd2(spark, sf), {"customer_sk"})
     assert strip(second.table("dim_product"), {"product_sk"}) == strip(
         catalog.q_cdc_type1_upsert(spark, sf), {"product_sk"})
-    inc = catalog.out(cdc_apply.with_order_keys(second.table("fact"), catalog._order_level(w), only_new=True))
+    inc = catalog.out(second.table("fact"))
     assert strip(inc, set()) == strip(catalog.q_cdc_fact_upsert(spark, sf), set())
     t = second.table("dim_customer")
     assert t.select("customer_sk").distinct().count() == t.count()
@@ -375,13 +442,13 @@ def test_deletes_that_empty_partitions(spark, tmp_path):
     fact = spark.createDataFrame([("o1", 1, 1, 10.0), ("o2", 1, 40, 20.0)], "order_id string, order_item_id int, date_sk long, price double")
     fact = fact.withColumns({"price": F.col("price").cast("decimal(18,2)"), "freight_value": F.lit(1).cast("decimal(18,2)")})
     day = spark.createDataFrame([(1, 2024, 1), (40, 2024, 2)], "date_sk long, year int, month int")
-    path = str(tmp_path / "fact")
-    cdc_apply.publish_fact(fact, day, path)
+    monthly = cdc_apply.MonthlyFact(spark, str(tmp_path / "fact"), day).create(fact)
     steps = [("insert", "o9|1", '{"price":"5.00"}'), ("delete", "o2|1", "{}"), ("delete", "o9|1", "{}"), ("delete", "o1|1", "{}"), ("insert", "o1|1", '{"price":"7.00"}')]
     left = []
     for i, (op, key, payload) in enumerate(steps):
         ch = cdc.entity_changes(events(spark, [("OrderItem", TS(2024, 3, i + 1), op, key, payload, i)]), "OrderItem", ENTITY_ATTRIBUTES["OrderItem"])
-        left.append(sorted((r.order_id, float(r.price)) for r in cdc_apply.upsert_fact_partitions(path, ch).collect()))
+        monthly.upsert(ch)
+        left.append(sorted((r.order_id, float(r.price)) for r in monthly.read().collect()))
     assert left == [[("o1", 10.0), ("o2", 20.0), ("o9", 5.0)], [("o1", 10.0), ("o9", 5.0)], [("o1", 10.0)], [], [("o1", 7.0)]]
 
     w = warehouse(spark, "/root/testdata/sf0.001")

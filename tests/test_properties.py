@@ -81,11 +81,13 @@ def test_fact_and_view_row_counts(spark):
 
 def test_rebuild_twice_equals_once(spark):
     from starloom.plans.warehouse import build
+    from starloom.sources import adapter
     from starloom.sources.tables import load_tables
 
-    a = build(load_tables(spark, SF_SMALL))
-    b = build(load_tables(spark, SF_SMALL))
-    c = build(load_tables(spark, SF_SMALL), previous=a)   # keys carried from the previous build
+    src = lambda: adapter.retail_sources(load_tables(spark, SF_SMALL))
+    a = build(src(), adapter.SNAPSHOT_DATE)
+    b = build(src(), adapter.SNAPSHOT_DATE)
+    c = build(src(), adapter.SNAPSHOT_DATE, previous=a)   # keys carried from the previous build
     for name in ("dim_geography", "dim_customer", "dim_product", "dim_payment", "dim_seller", "dim_date",
                  "fact_order_item", "sales", "fulfillment"):
         x, y, z = getattr(a, name), getattr(b, name), getattr(c, name)

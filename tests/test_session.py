@@ -57,9 +57,10 @@ def test_reports_unchanged_under_cluster_conf(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         from starloom.plans.warehouse import build
+        from starloom.sources import adapter
         from starloom.sources.tables import load_tables
 
-        w = build(load_tables(spark, SF_SMALL))
+        w = build(adapter.retail_sources(load_tables(spark, SF_SMALL)), adapter.SNAPSHOT_DATE)
         from starloom.plans import reports as R
 
         assert rows(R.q_spend_by_version(w.sales)) == base
