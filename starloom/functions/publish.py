@@ -20,7 +20,6 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +78,11 @@ def _folder(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _folder(spark, path)
+    return system.exists(target)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     target, system = _folder(spark, path)
     if not system.exists(target):
@@ -91,14 +95,17 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to the end (once at least)."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def _newest(spark: SparkSession, path: str, number: str = "number") -> list:
     """Rows of the largest number in a small table, none if there is no table."""
-    try:
-        rows = spark.read.parquet(path)
-        top = rows.agg(F.max(number)).first()[0]
-        return rows.filter(c(number) == top).collect() if top is not None else []
-    except AnalysisException:
+    if not written(spark, path):
         return []
+    rows = spark.read.parquet(path)
+    return rows.filter(c(number) == rows.agg(F.max(number)).first()[0]).collect()
 
 
 def _note(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
@@ -111,10 +118,8 @@ BUILDS = "number long, day date, build string"
 
 def builds(spark: SparkSession, root: str) -> list:
     """(number, day, build) of the published builds, in order; a row a build."""
-    try:
-        return spark.read.parquet(f"{root}/_builds").orderBy("number").collect()
-    except AnalysisException:
-        return []
+    path = f"{root}/_builds"
+    return spark.read.parquet(path).orderBy("number").collect() if written(spark, path) else []
 
 
 def note_build(spark: SparkSession, root: str, day, build: str) -> None:

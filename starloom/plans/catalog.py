@@ -7,20 +7,22 @@ returns money as DOUBLE so results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions import publish
 from starloom.functions.storage import append, materialize, write_table
 from starloom.operators import cdc_apply, dims, fact, quality, scd2
 from starloom.plans import reports as R
 from starloom.plans import views
-from starloom.plans.warehouse import load, next_customers, run_day, warehouse
+from starloom.plans.warehouse import create_views, load, next_customers, run_day, warehouse
 from starloom.session import app_key
 from starloom.sources import adapter
 from starloom.sources.cdc_events import ENTITY_ATTRIBUTES, change_events
+from starloom.sources.schemas import land_sources, reject_report
 from starloom.streaming import cdc
 from starloom.streaming.gold import CdcGoldApplier
 from starloom.sources.tables import load_tables
@@ -122,7 +124,40 @@ def q_table_copy(spark, sf):
     return write_table(spark.sql("SELECT * FROM seller_copy_source"), cdc.scratch_dir(spark, "seller-copy"))
 
 
+def q_source_rejects(spark, sf):
+    """Source tables exported as CSV files with broken records, taken in again: how
+    many rows and rejects each has."""
+    folder = cdc.scratch_dir(spark, "csv")
+    adapter.export_csv(_w(spark, sf).sources, folder)
+    return reject_report(*land_sources(spark, folder, header="false", **adapter.CSV_OPTIONS))
+
+
+def q_view_by_sql(spark, sf):
+    """New customers a month, asked in SQL by another session through the catalog."""
+    w = _w(spark, sf)
+    database = "starloom_" + w.extra["build"].rsplit("-", 1)[-1]
+    if "views" not in w.extra:
+        w.extra["views"] = create_views(spark, w.extra["root"], database)
+    return spark.newSession().sql(f"""
+        SELECT order_year, order_month, count(*) AS new_customers
+        FROM (SELECT DISTINCT order_year, order_month, customer_unique_id FROM {database}.sales_items
+              WHERE new_customer_flag AND customer_unique_id IS NOT NULL)
+        GROUP BY order_year, order_month""")
+
+
 # ------------------------------------------------------------------ SCD2
+def q_scd2_snapshot_today(spark, sf):
+    """A snapshot without a given date is today's: its rows and their age in days."""
+    w = _w(spark, sf)
+    staged = scd2.stage_snapshot(w.sources["customers_snapshot"], w.dim_geography)
+    return staged.select("customer_id", "geography_sk", F.datediff(F.current_date(), "snapshot_date").alias("days_old"))
+
+
+def q_scd2_sample(spark, sf):
+    """Five customers to look at: the first ones by id, whatever the layout."""
+    return _w(spark, sf).dim_customer.filter("current_flag").orderBy("customer_id").limit(5).select("customer_id", "customer_city", "customer_state")
+
+
 def q_scd2_snapshot(spark, sf):
     return _w(spark, sf).snapshot
 
@@ -381,6 +416,60 @@ def q_view_fulfillment_after_cdc(spark, sf):
     return out(views.refresh_fulfillment_view(w.fulfillment, refresh, f, orders, w.dim_date, products, sellers, customers))
 
 
+def q_cdc_publish_gate(spark, sf):
+    """What the gate lets through: customers and fact after the events, then versions
+    added without closing the old ones, then items appended without a merge. One row
+    an attempt: its rows, its violations, and the rows readers see after it."""
+    w = _w(spark, sf)
+    customers, items = cdc_customer_dim(spark, sf), fact_cdc(spark, sf).drop("last_event_time")
+    parts = publish.Parts(spark, cdc.scratch_dir(spark, "gate"))
+    slice_of = lambda key: F.pmod(F.xxhash64(key), F.lit(16))
+    parts.tables = {
+        "dim_customer": publish.Table(customers.schema, [scd2.KEY], slice_of(scd2.KEY), checks={"violations": partial(publish.second_current, scd2.KEY)}),
+        "fact": publish.Table(items.schema, cdc_apply.FACT_KEYS, slice_of("order_id"), checks={"violations": partial(publish.repeated, cdc_apply.FACT_KEYS)}),
+    }
+    attempts = [
+        ("dim_customer", customers), ("fact", items),
+        ("dim_customer", w.dim_customer.unionByName(customers.filter("current_flag"))), ("fact", w.fact_order_item.unionByName(items)),
+    ]
+    seen = []
+    for n, (name, rows) in enumerate(attempts):
+        try:
+            counts = parts.stage(name, rows)
+            parts.publish()
+        except publish.AuditError as e:
+            counts = e.counts
+            parts.discard()
+        seen.append((n + 1, name, counts["rows"], counts.get("violations", 0), "violations" not in counts or not counts["violations"], parts.read(name).count()))
+    return spark.createDataFrame(seen, "attempt int, table_name string, n_rows long, violations long, published boolean, n_visible long")
+
+
+def q_cdc_stream_dedup(spark, sf):
+    """Bronze of a feed that delivers events again, within a run and in a later run
+    of the stream, which goes on from its checkpoint: each event once."""
+    root = cdc.scratch_dir(spark, "dedup")
+    feed = change_events(load_tables(spark, sf)["events"])
+    late = cdc.lateness(feed)
+    first, again = feed.filter("arrival_seq % 3 < 2"), feed.filter("arrival_seq % 3 > 0")
+    for delivery in (first, first, again, feed):
+        cdc.land_events(delivery, f"{root}/landing")
+        cdc.run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", dedup_watermark=late)
+    return cdc.read_bronze(spark, f"{root}/bronze")
+
+
+def q_cdc_bronze_compacted(spark, sf):
+    """Bronze of many small micro-batches, packed, with more arriving after it."""
+    root = cdc.scratch_dir(spark, "packed")
+    feed = change_events(load_tables(spark, sf)["events"])
+    packed = cdc.CompactedBronze(spark, f"{root}/bronze", f"{root}/packed")
+    for k in range(2):
+        cdc.land_events(feed.filter(c("arrival_seq") % 2 == k), f"{root}/landing", files=4)
+        cdc.run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=1)
+        if k == 0:
+            packed.compact()
+    return packed.read()
+
+
 def _gold(spark, sf):
     """The foreachBatch applier, run over three micro-batches of the events."""
     w = _w(spark, sf)
@@ -499,7 +588,11 @@ QUERIES: dict[str, Query] = {
     "fact_order_item": q_fact_order_item,
     "table_append": q_table_append,
     "table_copy": q_table_copy,
+    "source_rejects": q_source_rejects,
+    "view_by_sql": q_view_by_sql,
     "scd2_snapshot": q_scd2_snapshot,
+    "scd2_snapshot_today": q_scd2_snapshot_today,
+    "scd2_sample": q_scd2_sample,
     "scd2_source": q_scd2_source,
     "scd2_apply": q_scd2_apply,
     "scd2_apply_twice": q_scd2_apply_twice,
@@ -518,6 +611,9 @@ QUERIES: dict[str, Query] = {
     "cdc_order_upsert": q_cdc_order_upsert,
     "cdc_payment_upsert": q_cdc_payment_upsert,
     "cdc_fact_partition_upsert": q_cdc_fact_partition_upsert,
+    "cdc_publish_gate": q_cdc_publish_gate,
+    "cdc_stream_dedup": q_cdc_stream_dedup,
+    "cdc_bronze_compacted": q_cdc_bronze_compacted,
     "cdc_gold_customer": q_cdc_gold_customer,
     "cdc_gold_product": q_cdc_gold_product,
     "cdc_gold_fact": q_cdc_gold_fact,

@@ -228,6 +228,20 @@ def register_views(w: Warehouse, prefix: str = "") -> list[str]:
     return names
 
 
+def create_views(spark: SparkSession, root: str, database: str) -> list[str]:
+    """Views in the session catalog over the stored tables of the build published
+    last below ``root``: every session of the catalog sees them (with a metastore,
+    also later ones). Run it after a build has been published; a view never shows
+    half a build. Returns their full names."""
+    last = publish.builds(spark, root)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    for table, view in VIEW_NAMES.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT * FROM parquet.`{root}/{last.build}/{table}`")
+        names.append(f"{database}.{view}")
+    return names
+
+
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 

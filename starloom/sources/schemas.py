@@ -7,7 +7,10 @@ them to dates where it needs a day).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
@@ -92,6 +95,46 @@ def read_source(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Project a DataFrame onto a source schema (names, order, types)."""
-    from pyspark.sql import functions as F
-
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCE_SCHEMAS[name].fields])
+
+
+RECORD = "_record"
+REJECTS = "table_name string, source_file string, record string"
+
+
+def land_source(spark: SparkSession, name: str, path: str, fmt: str = "csv", **options: str) -> tuple[DataFrame, DataFrame]:
+    """Take in one raw source table (csv or json files): (rows, rejects).
+
+    The files are parsed once, with the declared types, and written as they come
+    out of it; a record that does not fit (a number that is none, columns too many
+    or too few, broken JSON) has its raw text in a column of its own. Both results
+    read that copy, so what is a reject does not depend on the columns a query
+    reads. Parquet files carry their types and have no rejects."""
+    from starloom.functions.storage import materialize
+
+    if fmt == "parquet":
+        rows = read_source(spark, name, path)
+        return rows, spark.createDataFrame([], REJECTS)
+    schema = T.StructType([*SOURCE_SCHEMAS[name].fields, T.StructField(RECORD, T.StringType(), True)])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD)
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("enforceSchema", "false")
+    raw = reader.options(**options).format(fmt).load(path).withColumn("_file", F.col("_metadata.file_name"))
+    raw = materialize(raw, f"landed-{name}")
+    rejects = raw.filter(F.col(RECORD).isNotNull()).select(F.lit(name).alias("table_name"), F.col("_file").alias("source_file"), F.col(RECORD).alias("record"))
+    return raw.filter(F.col(RECORD).isNull()).select(*SOURCE_SCHEMAS[name].fieldNames()), rejects
+
+
+def land_sources(spark: SparkSession, folder: str, fmt: str = "csv", names: list[str] | None = None, **options: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All source tables from ``folder/<name>``, as ``plans.warehouse.build`` takes
+    them, and the rejects of all."""
+    landed = {n: land_source(spark, n, f"{folder}/{n}", fmt, **options) for n in (names or SOURCE_SCHEMAS)}
+    rejects = [r for _, r in landed.values()]
+    return {n: rows for n, (rows, _) in landed.items()}, reduce(DataFrame.unionByName, rejects)
+
+
+def reject_report(sources: dict[str, DataFrame], rejects: DataFrame) -> DataFrame:
+    """(table_name, n_rows, n_rejects) of landed tables."""
+    taken = reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(n)) for n, df in sources.items()])
+    bad = rejects.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rejects"))
+    return taken.join(bad, "table_name", "left").select("table_name", "n_rows", F.coalesce("n_rejects", F.lit(0)).alias("n_rejects"))

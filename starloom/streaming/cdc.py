@@ -16,12 +16,15 @@ one row per event and attribute) --> gold appliers (operators.cdc_apply).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.publish import written
+from starloom.functions.storage import if_small, materialize
 from starloom.sources.cdc_events import CDC_SCHEMA, ENTITY_ATTRIBUTES
 from starloom.session import checkpoint_root
 
@@ -69,6 +72,12 @@ def to_bronze(stream: DataFrame, dedup_watermark: str | None = None) -> DataFram
     return out
 
 
+def lateness(events: DataFrame) -> str:
+    """A watermark delay that no event of a feed exceeds: its span in days."""
+    low, high = events.agg(F.min("event_time"), F.max("event_time")).first()
+    return f"{(high - low).days + 1 if low is not None else 1} days"
+
+
 def _whole_event() -> Column:
     """Tells events without an id apart: their whole content."""
     return F.when(c("event_id").isNull(), F.to_json(F.struct(*[f.name for f in CDC_SCHEMA.fields])))
@@ -99,6 +108,71 @@ def run_bronze(
     q.awaitTermination()
 
 
+class CompactedBronze:
+    """Bronze with the small files of many micro-batches packed into larger ones.
+
+    A streaming sink's files must stay as they are, so packed copies are kept beside
+    it. ``compact`` takes the files that no packed one holds yet, packs those of one
+    (entity, date) into bins of at most ``target_bytes`` (one larger file is a bin of
+    its own), and writes each bin as one file; a small table, written last, lists the
+    files that are held. ``read`` reads the packed files and those of bronze that
+    are not listed, so every event is read once whatever was cut short."""
+
+    def __init__(self, spark: SparkSession, bronze_dir: str, packed_dir: str, target_bytes: int = 128 << 20):
+        self.spark, self.bronze, self.packed, self.target = spark, bronze_dir, packed_dir.rstrip("/"), target_bytes
+
+    def _source(self) -> DataFrame:
+        return self.spark.read.parquet(self.bronze).select("*", c("_metadata.file_path").alias("_path"), c("_metadata.file_size").alias("_size"))
+
+    def _lists(self) -> DataFrame | None:
+        path = f"{self.packed}/_files"
+        return self.spark.read.parquet(path) if written(self.spark, path) else None
+
+    def _number(self) -> int:
+        lists = self._lists()
+        return lists.agg(F.max("number")).first()[0] if lists is not None else 0
+
+    def held(self) -> DataFrame:
+        """(file, attempt) of the newest list."""
+        lists = self._lists()
+        if lists is None:
+            return self.spark.createDataFrame([], "file string, attempt string")
+        return lists.filter(c("number") == self._number()).select("file", "attempt")
+
+    def bins(self) -> DataFrame:
+        """(entity_name, event_date, _path, _bin) of the files to be packed: what is
+        not held, if it is small. Sizes are added up in the order of the names;
+        where the sum passes a multiple of the target the next bin begins."""
+        files = self._source().select("entity_name", "event_date", "_path", "_size").distinct()
+        files = files.join(self.held(), c("_path") == c("file"), "left_anti").filter(c("_size") < self.target)
+        w = Window.partitionBy("entity_name", "event_date").orderBy("_path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        half = max(1, self.target // 2)  # a bin of files under half the target that begin in one half fits the target
+        begin = F.sum("_size").over(w) - c("_size")
+        small = files.filter(c("_size") <= half).withColumn("_bin", F.floor(begin / half))
+        return small.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("entity_name", "event_date", "_bin"))).filter("_n > 1").drop("_n", "_size")
+
+    def compact(self) -> int:
+        """Pack what there is to pack; returns the number of files packed."""
+        bins = materialize(self.bins(), "bronze-bins")
+        n = bins.count()
+        if n:
+            attempt = uuid.uuid4().hex[:12]
+            rows = self._source().join(if_small(bins.select("_path", "_bin")), "_path").drop("_path", "_size")
+            rows = rows.repartition("entity_name", "event_date", "_bin").sortWithinPartitions("entity_name", "event_date", "_bin")
+            rows.write.partitionBy("entity_name", "event_date", "_bin").parquet(f"{self.packed}/attempt={attempt}")
+            held = self.held().unionByName(bins.select(c("_path").alias("file"), F.lit(attempt).alias("attempt")))
+            held.withColumn("number", F.lit(self._number() + 1).cast("long")).coalesce(1).write.mode("append").parquet(f"{self.packed}/_files")
+        return n
+
+    def read(self) -> DataFrame:
+        rest = self._source().join(if_small(materialize(self.held().select("file"), "bronze-held")), c("_path") == c("file"), "left_anti")
+        columns = [*[c(f.name).cast(f.dataType) for f in CDC_SCHEMA.fields], c("event_date").cast("date").alias("event_date")]
+        out = rest.select(*columns)
+        for a in sorted(r.attempt for r in self.held().select("attempt").distinct().collect()):  # one a run
+            out = out.unionByName(self.spark.read.parquet(f"{self.packed}/attempt={a}").select(*columns))
+        return out
+
+
 BRONZE_COLUMNS = [f.name for f in CDC_SCHEMA.fields] + ["event_date"]
 
 
@@ -173,8 +247,6 @@ def silver(events: DataFrame) -> DataFrame:
 def build_silver(bronze: DataFrame) -> DataFrame:
     """The silver table: replay-free, payload parsed; written once per run so
     every entity applier reads it instead of re-decoding bronze."""
-    from starloom.functions.storage import materialize
-
     return materialize(decoded(bronze), "cdc-silver-decoded", partition_by=["entity_name"], spread=["arrival_seq"])
 
 
@@ -190,8 +262,6 @@ def entity_changes(events: DataFrame, entity: str, attributes: list[str]) -> Dat
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    import uuid
-
     return f"{checkpoint_root(spark)}/starloom-cdc/{uuid.uuid4().hex}/{name}"
 
 
