@@ -227,7 +227,9 @@ def write_ids(df: DataFrame, tokenizer_path: str, folder: str | None = None, kin
         if writer.n_docs:
             yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [uri], "n_docs": [writer.n_docs], "n_ids": [writer.n_ids], "n_bytes": [writer.place]})
 
-    ordered = texts(df, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # equal (or null) ids are told apart by a hash, so they are spread over tasks too
+    ordered = texts(df, id_col, text_col).withColumn("_tie", F.xxhash64("text"))
+    ordered = ordered.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text").drop("_tie")
     return materialize(map_arrow(ordered, write, MANIFEST), "token-id-manifest")
 
 

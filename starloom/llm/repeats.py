@@ -29,7 +29,7 @@ split by other grams of its windows before the kernel, so that a kernel's memory
 does not grow with the corpus (not with ``all_occurrences``); the anchor's
 segments themselves still meet in one task.
 
-Rows: documents are known by (id, 32-bit hash of the text), so rows that share
+Rows: documents are known by (id, 64-bit hash of the text), so rows that share
 an id but not the text are documents of their own, and rows that share both
 count as one document, each with its result. A null id counts as the smallest.
 """
@@ -81,7 +81,7 @@ Kernel = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, n
 
 def keyed(docs: DataFrame) -> DataFrame:
     """(key, tie) and the columns of ``texts`` rows."""
-    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.hash("text").alias("tie"), *docs.columns)
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("tie"), *docs.columns)
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
@@ -334,12 +334,12 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
         docs = docs.dropDuplicates(["key", "tie"])
     cut_blocks = map_arrow(docs.select("key", "tie", "text"), cut, block).repartitionById(buckets, "bucket")
     group = "group long, " if all_occurrences else ""
-    places = materialize(map_arrow(cut_blocks, compare, "key long, tie int, place long, anchor long" + ", group long" * all_occurrences), "repeat-places")
+    places = materialize(map_arrow(cut_blocks, compare, "key long, tie long, place long, anchor long" + ", group long" * all_occurrences), "repeat-places")
     asked = places.filter("anchor is not null").groupBy("key", "tie").agg(F.collect_list(F.struct("place", "anchor")).alias("asked"))
     held = docs.select("key", "tie", "text").join(asked, ["key", "tie"])
     fetched = map_arrow(held, fetch, block).repartitionById(buckets, "bucket")
     whole = places.filter("anchor is null").withColumns({"start": F.shiftright("place", 24), "length": F.shiftright("place", 12).bitwiseAND(0xFFF) + window})
-    refined = map_arrow(fetched, refine, group + "key long, tie int, start long, length long")
+    refined = map_arrow(fetched, refine, group + "key long, tie long, start long, length long")
     return whole.select(*refined.columns).unionByName(refined)
 
 

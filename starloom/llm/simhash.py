@@ -228,9 +228,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each class the document
-    with the smallest id, once if its row repeats."""
+    with the smallest id (of rows with that id the one whose text has the least
+    hash). Rows equal in id and text are one; if their other columns differ, the
+    least of them by these columns stays. All columns of ``df`` are kept, whatever
+    their names."""
     docs = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    chosen = _classes(docs, radius).select(F.col("chosen.doc_id").alias("_chosen_id"), F.col("chosen.content").alias("_chosen_content")).distinct()
+    chosen = _classes(docs, radius).select(F.col("chosen.doc_id").alias("i"), F.col("chosen.content").alias("h")).distinct()
     content = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    found = df.withColumn("_content", content).join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_chosen_id")) & (F.col("_content") == F.col("_chosen_content")), "left_semi")
-    return found.dropDuplicates([id_col, "_content"]).drop("_content")
+    rows = df.select(F.struct(*[F.col(f"`{x}`") for x in df.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), content.alias("content"))
+    found = rows.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col("content") == F.col("h")), "left_semi")
+    return found.groupBy("id", "content").agg(F.min("row").alias("row")).select("row.*")
