@@ -87,18 +87,3 @@ def remove(spark, path: str) -> None:
         raise ValueError(f"{path} is not a staging table below {root}")
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: list[str], spread: list[str] | None = None
-) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition
-    overwrite); every other partition of the table at ``path`` is left as is.
-    Rows are laid out first (see ``layout``) so the write makes few files."""
-    (
-        layout(df, partition_by, spread)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )

@@ -45,7 +45,7 @@ from starloom.functions.publish import Parts, Table, repeated
 from starloom.functions.scan import running
 from starloom.functions.storage import if_small, materialize
 from starloom.operators import scd2
-from starloom.operators.dims import OPEN_END, geography_lookup, zip_key
+from starloom.operators.dims import geography_lookup, zip_key
 
 c = F.col
 KEY = scd2.KEY

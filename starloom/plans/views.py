@@ -4,14 +4,18 @@ Customer attributes are resolved *as of the order date*: equi-join on
 customer_id plus ``order_date BETWEEN effective_date AND expiry_date``.
 Spark plans it as a hash/sort-merge join on the key with the date range as a
 residual; a key has few versions, so the residual is cheap, and AQE splits a
-hot customer's partition (skew join).
+hot customer's partition (skew join). A customer with very many versions would make
+that a product of items and versions: such customers' time is cut into spans, a
+second join key (``many_versions``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.storage import if_small, materialize
+
 c = F.col
 
 
@@ -42,14 +46,43 @@ def customer_versions(dim_customer: DataFrame) -> DataFrame:
     )
 
 
-def as_of(df: DataFrame, versions: DataFrame, day_col: str) -> DataFrame:
+MANY_VERSIONS = 64
+
+
+def many_versions(dim_customer: DataFrame, many: int = MANY_VERSIONS) -> DataFrame | None:
+    """Customers with more than ``many`` versions, and how their time is cut: spans
+    of ``_days`` days from ``_low`` to ``_high``, about as many as there are versions;
+    what is earlier or later belongs to the first or last span. None if there is no
+    such customer (the rule)."""
+    dates = dim_customer.groupBy(c("customer_id").alias("_hid")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("expiry_date").alias("_low"), F.max("effective_date").alias("_high"))
+    cut = dates.filter((c("_n") > many) & c("_hid").isNotNull()).select(
+        "_hid", "_low", "_high", F.greatest(F.lit(1), F.ceil(F.datediff("_high", "_low") / c("_n"))).cast("int").alias("_days"))
+    found = materialize(cut, "customers-with-many-versions")
+    return None if found.isEmpty() else if_small(found)
+
+
+def _span(day: str) -> Column:
+    inside = F.least(F.greatest(c(day), c("_low")), c("_high"))
+    return F.floor(F.datediff(inside, c("_low")) / c("_days")).cast("int")
+
+
+def as_of(df: DataFrame, versions: DataFrame, day_col: str, many: DataFrame | None = None) -> DataFrame:
     """Attach the customer version valid on ``day_col`` (inner join).
-    ``versions``: ``customer_versions(dim)``, possibly with more attributes."""
+    ``versions``: ``customer_versions(dim)``, possibly with more attributes.
+    ``many``: ``many_versions(dim)``; a day lies in one span and a version is put
+    into every span that it reaches, so each pair meets once."""
     cond = (c("customer_id") == c("_cid")) & c(day_col).between(c("effective_date"), c("expiry_date"))
-    return df.join(versions, cond).drop("_cid", "effective_date", "expiry_date")
+    if many is None:
+        return df.join(versions, cond).drop("_cid", "effective_date", "expiry_date")
+    cut = ["_hid", "_low", "_high", "_days"]
+    spans = F.when(c("_hid").isNotNull(), F.sequence(_span("effective_date"), F.greatest(_span("effective_date"), _span("expiry_date")))).otherwise(F.array(F.lit(0)))
+    reach = versions.join(many, c("_cid") == c("_hid"), "left").withColumn("_reach", F.explode(spans)).drop(*cut)
+    days = df.join(many, c("customer_id") == c("_hid"), "left").withColumn("_at", F.when(c("_hid").isNotNull(), _span(day_col)).otherwise(0)).drop(*cut)
+    return days.join(reach, cond & (c("_at") == c("_reach"))).drop("_cid", "effective_date", "expiry_date", "_at", "_reach")
 
 
-def first_order(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def first_order(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame, many: DataFrame | None = None) -> DataFrame:
     """First order day per person (customer_unique_id), through the as-of
     join (orders without a valid version do not count).
 
@@ -58,7 +91,7 @@ def first_order(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame) -
     instead of one per item; the final min per person is a grouped
     aggregate whose partial step absorbs a hot person."""
     days = _base(fact, dim_date).select("customer_id", "order_date").distinct()
-    asof = as_of(days, customer_versions(dim_customer), "order_date")
+    asof = as_of(days, customer_versions(dim_customer), "order_date", many)
     return asof.groupBy("customer_unique_id").agg(F.min("order_date").alias("first_order_date"))
 
 
@@ -83,14 +116,15 @@ def sales_view(
         c("latitude").alias("customer_lat_asof"),
         c("longitude").alias("customer_lng_asof"),
     )
-    fco = first_order(fact, dim_date, dim_customer).withColumnRenamed("customer_unique_id", "_fuid")
+    many = many_versions(dim_customer)
+    fco = first_order(fact, dim_date, dim_customer, many).withColumnRenamed("customer_unique_id", "_fuid")
     versions = (
         customer_versions(dim_customer)
         .join(geo, c("_cust_geo") == c("_gsk"), "left")
         .join(fco, c("customer_unique_id") == c("_fuid"), "left")
         .drop("_gsk", "_fuid", "_cust_geo")
     )
-    asof = as_of(_base(fact, dim_date), versions, "order_date")
+    asof = as_of(_base(fact, dim_date), versions, "order_date", many)
     prod = dim_product.select(
         c("product_sk").alias("_psk"),
         "product_id",
@@ -205,7 +239,7 @@ def fulfillment_view(
         .join(prod, c("product_sk") == c("_psk"))
         .join(sell, c("seller_sk") == c("_ssk"))
     )
-    f = as_of(f, customer_versions(dim_customer).drop("_cust_geo"), "order_date")
+    f = as_of(f, customer_versions(dim_customer).drop("_cust_geo"), "order_date", many_versions(dim_customer))
     return f.select(
         "order_id",
         "order_item_id",

@@ -46,7 +46,7 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, shuffle_byt
       compressed file sizes (a dimension can be many times larger in
       memory), so it is off; AQE broadcasts a side after measuring it.
       Explicit ``broadcast()`` hints in the library are only on
-      bounded tables (calendar, per-partition offsets).
+      bounded tables: one row a partition, or keys whose count was checked.
     * Shuffle partitions: one per ``shuffle_bytes`` of input (shuffled data
       is a pruned fraction of it), at least 200. There is no upper bound: at
       100 TB this is about 100,000 partitions; a cluster that prefers fewer,
@@ -65,6 +65,9 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, shuffle_byt
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        # the intake's dedup state lives on local disk, its changes in the checkpoint
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 

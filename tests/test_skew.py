@@ -4,6 +4,7 @@ the same as without it."""
 
 import contextlib
 import io
+import random
 
 from pyspark.sql import functions as F
 
@@ -93,3 +94,30 @@ def test_hot_order_is_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert got == sorted(map(str, build().collect()))
+
+
+def test_as_of_customer_with_many_versions(spark):
+    """1,000 versions of one customer who has half of the items: spans of days are a
+    second join key, and the result is that of the plain join."""
+    import datetime as dt
+
+    first = dt.date(2015, 1, 1)
+    day = lambda n: first + dt.timedelta(days=n)
+    rows, begin = [], [0, *sorted(random.Random(1).sample(range(3, 4000), 999))]
+    for i, b in enumerate(begin):
+        start = dt.date(1900, 1, 1) if i == 0 else day(b)
+        end = day(begin[i + 1] - 1) if i < 999 else dt.date(9999, 12, 31)
+        rows.append(("hot", f"c{i}", start, end))
+    rows += [(f"k{i}", "c", dt.date(1900, 1, 1), dt.date(9999, 12, 31)) for i in range(300)] + [(None, "n", first, day(9)), ("hot", "empty", day(50), day(49))]
+    dim = spark.createDataFrame(rows, "customer_id string, customer_city string, effective_date date, expiry_date date").selectExpr(
+        "*", "customer_id as customer_unique_id", "cast(1 as long) as geography_sk", "'S' as customer_state", "expiry_date >= '9999-01-01' as current_flag")
+    rng = random.Random(2)
+    items = spark.createDataFrame([(n, "hot" if n % 2 else rng.choice([f"k{n % 400}", None]), day(rng.randint(-500, 5000))) for n in range(6000)], "n int, customer_id string, order_date date")
+    many = views.many_versions(dim)
+    assert [r._hid for r in many.collect()] == ["hot"] and views.many_versions(dim, 2000) is None
+    spread = items.join(many, items.customer_id == many._hid).select(views._span("order_date").alias("s")).groupBy("s").count().collect()
+    assert len(spread) > 500  # one customer's items are in many groups
+    versions = views.customer_versions(dim)
+    plain = views.as_of(items, versions, "order_date")
+    cut = views.as_of(items, versions, "order_date", many)
+    assert sorted(map(str, cut.select(*plain.columns).collect())) == sorted(map(str, plain.collect())) and plain.count() > 4000
