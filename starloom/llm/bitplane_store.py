@@ -123,13 +123,36 @@ class Encoder(dict):
         return np.frombuffer(self._encode(first) + b"".join(map(self.__getitem__, rest)), "<u4")
 
 
-_encoders: dict[str, Encoder] = {}
+class Whole:
+    """Encodes whole texts: for tokenizers of which nothing is known."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+
+def splits_before_blanks(path: str) -> bool:
+    """Whether a tokenizer is byte-level with the usual pattern and no normalizer, by
+    its JSON file: what ``Encoder``'s boundaries and memo rest on."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    own = file.get("pre_tokenizer") or {}
+    return file.get("normalizer") is None and own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space", False)
+
+
+_encoders: dict[str, Encoder | Whole] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str) -> Encoder | Whole:
     """The encoder, made once for each Python worker."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path) if splits_before_blanks(path) else Whole(path)
     return _encoders[path]
 
 

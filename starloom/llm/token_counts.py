@@ -7,15 +7,18 @@ is the sum of the lengths of its parts. The parts of a group that a bounded memo
 in the Python worker does not have are encoded together, in batches of about
 ``BATCH_BYTES``. No ids leave the task.
 
-Only tokenizers that drop white space may be counted by parts; for others
-``token_counts`` takes ``split=False`` and encodes whole texts.
+Only tokenizers that drop white space may be counted by parts (their file says so,
+``drops_white_space``); for others ``token_counts`` takes ``split=False`` and encodes
+whole texts, and refuses ``split=True``.
 
 Edge cases: a null or empty text has 0 tokens; null or repeated ids are kept
-row by row; an empty table gives no rows.
+row by row; an empty table gives no rows; other columns are pruned, so their names
+cannot clash.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -112,8 +115,24 @@ def pieces(text: str):
         start = end
 
 
+def drops_white_space(path: str) -> bool:
+    """Whether a tokenizer's first pre-tokenizer removes white space, so no token holds
+    or spans it, by its JSON file."""
+    with open(path, encoding="utf-8") as f:
+        first = json.load(f).get("pre_tokenizer") or {}
+    while first.get("type") == "Sequence" and first["pretokenizers"]:
+        first = first["pretokenizers"][0]
+    if first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"):
+        return True
+    pattern = first.get("pattern", {}).get("Regex", "")
+    # only what the pattern matches stays, and none of its characters or classes is white space
+    return first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert", False) and not re.search(r" |\\s(?![^\[]*\])|\[\^(?![^\]]*\\s)", pattern)
+
+
 def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", split: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for each row of ``df``."""
+    if split and not drops_white_space(tokenizer_path):
+        raise ValueError(f"{tokenizer_path} keeps white space, so its texts cannot be counted by parts: use split=False")
 
     def count(batches):
         for batch in batches:

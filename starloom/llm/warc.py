@@ -90,11 +90,17 @@ def _fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in pairs if k}
 
 
-def _verify(what: str, data: bytes, named: str | None) -> str:
-    digest = hashlib.sha1(data).hexdigest()
-    if named and named != _base32(digest):
+def _verify(what: str, data: bytes, named: str | None) -> None:
+    """Compare with a labelled digest (``sha256:...``), in hex or base32; an algorithm
+    that is not known here is no damage."""
+    label, _, value = (named or "").partition(":")
+    algorithm = label.strip().lower().replace("-", "")
+    if algorithm not in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+        return
+    digest = hashlib.new(algorithm, data).digest()
+    value = value.strip()
+    if value.lower() != digest.hex() and value.upper().rstrip("=") != base64.b32encode(digest).decode().rstrip("="):
         raise ValueError(f"{what} digest differs: {named}")
-    return digest
 
 
 def parse(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:

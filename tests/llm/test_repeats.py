@@ -246,3 +246,14 @@ def test_split_anchors_give_the_same_words(docs, monkeypatch):
     got = suffix_trees.remove_repeats(docs(rows), window=10, gram=4).collect()
     left = sorted(((r.doc_id is not None, r.doc_id or 0), tuple(r)[1:4]) for r in got)
     assert left == sorted(((i is not None, i or 0), want[(i is not None, i or 0, t or "")]) for i, t in rows)
+
+
+def test_rows_without_ids_are_told_apart_by_text(docs):
+    """Many rows share the null id; each text is judged on its own."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{rng.random()}" for _ in range(60))
+    rows = [(None, f"own {i} " + " ".join(str(rng.random()) for _ in range(30))) for i in range(300)] + [(None, passage), (7, passage)]
+    keyed = repeats.keyed(docs(rows).select("doc_id", "text"))
+    assert dict(keyed.dtypes)["tie"] == "bigint" and keyed.select("key", "tie").distinct().count() == len(rows)
+    got = {(r.doc_id, r.n_words): r.n_removed for r in suffix_trees.remove_repeats(docs(rows)).collect() if r.n_removed}
+    assert got == {(7, 60): 60}

@@ -8,6 +8,7 @@ import pytest
 import xxhash
 
 from fixtures import docs  # noqa: F401
+from pyspark.sql import functions as F
 from starloom.llm import simhash
 from starloom.llm.components import components, local_stars
 
@@ -116,3 +117,12 @@ def test_components_of_long_chains(spark):
     assert got == want
     u, v = local_stars(np.array([a for a, _ in links]), np.array([b for _, b in links]))
     assert dict(zip(u.tolist(), v.tolist(), strict=True)) == want
+
+
+def test_representatives_keep_columns_and_choose_fixed_rows(spark):
+    rows = [(1, "a b c d e", "z"), (1, "a b c d e", "y"), (2, "a b c d e", "x"), (3, "something else is here", "w"), (None, None, "v"), (None, "", "u")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _content string").withColumn("bits", F.lit(1)).withColumn("i.j", F.lit(2))
+    for frame in (table, table.repartition(5, "_content")):
+        got = simhash.representatives(frame)
+        assert got.columns == table.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "a b c d e", "y", 1, 2), (3, "something else is here", "w", 1, 2), (None, None, "v", 1, 2)], key=str)

@@ -161,3 +161,36 @@ def test_unigram_scores_are_the_librarys(vocabulary, tmp_path):
         mine, theirs = np.frombuffer(model.encode([t])[0], "<u4").tolist(), library.encode(t)
         # ties may be broken in another way: equal scores and equal texts
         assert abs(score(mine) - score(theirs)) < 1e-2 and library.decode(mine) == library.decode(theirs)
+
+
+def test_other_tokenizers_are_refused_or_encoded_whole(docs, vocabulary, tmp_path):
+    """Counting by parts needs a tokenizer that drops white space; the encoder of ids
+    takes whole texts where it knows nothing about a tokenizer."""
+    from tokenizers import Tokenizer
+
+    rows = [(1, "a  b\nc"), (2, ""), (3, "Some text, with  blanks")]
+    keeps, drops = vocabulary("byte_bpe_50k.json"), vocabulary("word_bpe_49k.json")
+    with pytest.raises(ValueError, match="split=False"):
+        token_counts.token_counts(docs(rows), keeps)
+    tokenizer = Tokenizer.from_file(keeps)
+    want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs(rows), keeps, split=False).collect()} == want
+    assert token_counts.drops_white_space(drops) and not bitplane_store.splits_before_blanks(drops)
+    tokenizer = Tokenizer.from_file(drops)
+    for _, text in rows:
+        assert bitplane_store.encoder(drops).encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_rows_without_ids_are_spread(spark, docs, vocabulary):
+    from pyspark.sql import functions as F
+
+    table = docs([(None, f"text {i}") for i in range(3000)] + [(5, f"other {i}") for i in range(20)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a small table as a large one is laid out
+    try:
+        manifest = bitplane_store.write_ids(table, vocabulary("byte_bpe_50k.json"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert manifest.count() > 1 and manifest.agg(F.max("n_docs")).first()[0] < 3000
+    got = bitplane_store.read_ids(manifest).orderBy("start").collect()
+    assert len(got) == 3020 and [r.doc_id for r in got] == [None] * 3000 + [5] * 20
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:], strict=False))

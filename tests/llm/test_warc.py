@@ -72,3 +72,16 @@ def test_damage_is_found():
 def test_clashing_columns(spark):
     odd = spark.createDataFrame([(1, "u", "h", "s", 5)], "page_id long, url string, html string, sha1 string, refers_to int")
     assert warc.read_archives(warc.write_archives(warc.mark_revisits(odd))).first().payload_bytes == 1
+
+
+def test_foreign_digests_are_read_by_their_label():
+    import base64
+    import hashlib
+
+    data = b"some payload"
+    sha256 = hashlib.sha256(data)
+    for good in (f"sha256:{sha256.hexdigest()}", f"SHA-256:{base64.b32encode(sha256.digest()).decode()}", f"sha1:{hashlib.sha1(data).hexdigest().upper()}", "blake9:whatever", None, ""):
+        warc._verify("payload", data, good)
+    for bad in (f"sha256:{'0' * 64}", "sha1:AAAA", f"md5:{sha256.hexdigest()}"):
+        with pytest.raises(ValueError, match="differs"):
+            warc._verify("payload", data, bad)
