@@ -130,6 +130,8 @@ def note_build(spark: SparkSession, root: str, day, build: str) -> None:
 
 # ------------------------------------------------------------------ parts
 PART, ATTEMPT, SLICE = "part", "attempt", "_slice"
+NO_ROWS = ""  # the attempt of a part without rows, which has no folder
+FEW_PARTS = 32
 
 
 @dataclass(frozen=True)
@@ -170,12 +172,16 @@ class Parts:
         at = {**self.at.get(name, {}), **self.staged.get(name, {})}
         by: dict[str, list[int]] = {}
         for p in at if parts is None else [p for p in parts if p in at]:
-            by.setdefault(at[p], []).append(p)
+            if at[p] != NO_ROWS:
+                by.setdefault(at[p], []).append(p)
         if not by:
             return self.spark.createDataFrame([], table.schema)
         base = f"{self.root}/{name}"
+        paths = []
+        for a, ps in by.items():  # a few parts' folders, or the attempt's and a filter on its folders' names
+            paths += [f"{base}/{ATTEMPT}={a}/{PART}={p}" for p in ps] if len(ps) <= FEW_PARTS else [f"{base}/{ATTEMPT}={a}"]
         schema = T.StructType([*table.schema.fields, T.StructField(ATTEMPT, T.StringType()), T.StructField(PART, T.IntegerType())])
-        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{ATTEMPT}={a}" for a in by])
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         mine = reduce(or_, [(c(ATTEMPT) == a) & c(PART).isin(ps) for a, ps in by.items()])
         return rows.filter(mine).drop(ATTEMPT, PART)
 
@@ -193,9 +199,9 @@ class Parts:
         if parts is not None:  # such a row would be in no reader's sight
             checks["in_another_part"] = ~c(PART).isin(parts)
         got = write_checked(rows, path, checks, table.tops, (PART,), name, drop=(SLICE,))
-        if parts is None:
-            parts = [int(f.removeprefix(f"{PART}=")) for f in subfolders(self.spark, path)]
-        self.staged.setdefault(name, {}).update({p: attempt for p in parts})
+        has_rows = {int(f.removeprefix(f"{PART}=")) for f in subfolders(self.spark, path)}
+        content = {p: attempt if p in has_rows else NO_ROWS for p in (has_rows if parts is None else parts)}
+        self.staged.setdefault(name, {}).update(content)
         return got
 
     def publish(self) -> None:
