@@ -322,12 +322,12 @@ def repeats(docs: DataFrame, unit: Unit, kernel: Kernel, window: int, gram: int,
                 new = _changes(group)
                 first = np.flatnonzero(new)
                 name = anchors.mix(k[first].view(np.uint64) ^ anchors.mix(t[first].astype(np.uint64) << np.uint64(40) ^ s[first].astype(np.uint64)) + length[first].astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name.view(np.int64)[np.cumsum(new) - 1], k, t.astype(np.int32), s, length)], ["group", *NAMES])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name.view(np.int64)[np.cumsum(new) - 1], k, t, s, length)], ["group", *NAMES])
             else:
                 later(group, k, t, s, length)
         if found:
             k, t, s, length = _union(*(np.concatenate(x) for x in zip(*found, strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(t.astype(np.int32)), pa.array(s), pa.array(length)], NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(t), pa.array(s), pa.array(length)], NAMES)
 
     block = "bucket int, block binary"
     if all_occurrences:
