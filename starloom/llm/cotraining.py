@@ -284,33 +284,37 @@ def _sampled(found: DataFrame, labels: DataFrame, most: int) -> pa.Table:
 
 def _finder(found: DataFrame, sampled: set, most: int) -> Callable:
     """What ``co_train`` asks in a round: a pass over the features of all documents
-    outside the sample; each task brings its surest ones, and the surest of these
-    are chosen."""
+    outside the sample; each task brings the ids it is surest of, and the features
+    of the surest of all are fetched."""
 
     def find(judge: Judge, used: set) -> list[tuple]:
         out_of = sampled | used
 
         def run(batches):
-            best: list[tuple] = []
+            best: dict[tuple, float] = {}
             for batch in batches:
                 ids, sets = batch.column("doc_id").to_pylist(), _sets(batch)
                 left = [i for i, x in enumerate(ids) if x is not None and x not in out_of]
                 if not left:
                     continue
-                mine = [sets[i] for i in left]
                 order = np.array([ids[i] for i in left], np.int64)
-                best += [(v, label, sure, int(order[i]), mine[i][0].tobytes(), mine[i][1].tobytes()) for v, label, sure, i in surest(judge, mine, order, most)]
-                best = [x for v in (0, 1) for y in (0, 1) for x in sorted((b for b in best if b[:2] == (v, y)), key=lambda b: (-b[2], b[3]))[:most]]
+                for v, label, sure, i in surest(judge, [sets[i] for i in left], order, most):
+                    key = (v, label, int(order[i]))
+                    best[key] = max(sure, best.get(key, 0.0))
+                best = {k: s for part in ((v, y) for v in (0, 1) for y in (0, 1)) for k, s in sorted(((k, s) for k, s in best.items() if k[:2] == part), key=lambda x: (-x[1], x[0][2]))[:most]}
             if best:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*best, strict=True), (pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["view", "label", "sure", "doc_id", *VIEWS])
-
-        tasks = materialize(map_arrow(found, run, "view int, label int, sure double, doc_id long, content binary, metadata binary"), "surest-documents")
-        out = []
-        for v in (0, 1):
-            for label in (1, 0):
-                top = tasks.filter((F.col("view") == v) & (F.col("label") == label)).orderBy(F.desc("sure"), "doc_id").limit(most).toArrow()
-                out += [(v, label, i, sets) for i, sets in zip(top.column("doc_id").to_pylist(), _sets(top), strict=True)]
-        return out
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in best], pa.int32()), pa.array([k[1] for k in best], pa.int32()), pa.array([k[2] for k in best], pa.int64()), pa.array([*best.values()], pa.float64())], ["view", "label", "doc_id", "sure"])
+
+        tasks = map_arrow(found, run, "view int, label int, doc_id long, sure double").groupBy("view", "label", "doc_id").agg(F.max("sure").alias("sure"))
+        tasks = materialize(tasks, "surest-documents")
+        chosen = [(v, label, r.doc_id) for v in (0, 1) for label in (1, 0)
+                  for r in tasks.filter((F.col("view") == v) & (F.col("label") == label)).orderBy(F.desc("sure"), "doc_id").limit(most).collect()]
+        if not chosen:
+            return []
+        ids = found.sparkSession.createDataFrame([(i,) for i in sorted({i for *_, i in chosen})], "_id long")  # 4 * ``most`` at most
+        top = found.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min(F.struct(*VIEWS)).alias("v")).select("doc_id", "v.*").toArrow()
+        sets = dict(zip(top.column("doc_id").to_pylist(), _sets(top), strict=True))
+        return [(v, label, i, sets[i]) for v, label, i in chosen]
 
     return find
 
