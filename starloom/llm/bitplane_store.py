@@ -58,6 +58,8 @@ OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 #: A part that is letters with at most a line feed before and marks (no apostrophe) after
 #: them: these are one pre-token each. All characters of the Latin ranges are letters.
 SIMPLE = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+LETTERS = [c for c in map(chr, range(0x250)) if SIMPLE.fullmatch(c)]
+MARKS = "".join(c for c in map(chr, range(0x80)) if SIMPLE.fullmatch("a" + c) and c not in LETTERS)
 
 
 class Encoder(dict):
@@ -74,15 +76,17 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenize = self.tokenizer.model.tokenize
         self.older: dict[str, bytes] = {}
         self.literal: dict[str, bytes] = {}
+        # how the pre-tokenizer spells the letters that are not ASCII
+        self.spelled = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in LETTERS if not c.isascii()})
 
     def _encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _letters(self, blank: str, letters: str) -> bytes:
-        piece = letters if letters.isascii() else self.tokenizer.pre_tokenizer.pre_tokenize_str(letters)[0][0]
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(blank + piece)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(blank + (letters if letters.isascii() else letters.translate(self.spelled)))]).tobytes()
 
     def _marks(self, text: str) -> bytes:
         if (ids := self.literal.get(text)) is None:
@@ -95,7 +99,9 @@ class Encoder(dict):
         """The ids of a part that had a blank before it or starts with a line feed."""
         ids = self.older.get(part)
         if ids is None:
-            if simple := SIMPLE.fullmatch(part):
+            if part.isascii() and (letters := part.rstrip(MARKS)).isalpha():  # most parts, without the pattern
+                ids = self._letters("\u0120", letters) if letters == part else self[letters] + self._marks(part[len(letters) :])
+            elif simple := SIMPLE.fullmatch(part):
                 feed, letters, marks = simple.groups()
                 if feed:
                     ids = self._marks(feed) + self._letters("", letters)

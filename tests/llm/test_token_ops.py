@@ -194,3 +194,17 @@ def test_rows_without_ids_are_spread(spark, docs, vocabulary):
     got = bitplane_store.read_ids(manifest).orderBy("start").collect()
     assert len(got) == 3020 and [r.doc_id for r in got] == [None] * 3000 + [5] * 20
     assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:], strict=False))
+
+
+def test_plain_words_are_encoded_without_the_pattern(vocabulary, monkeypatch):
+    from types import SimpleNamespace
+
+    text = "An plain, made-up word... (Wörter) andêre; x<|endoftext|> y! \n it's 12 ok?!"
+    path = vocabulary("byte_bpe_50k.json")
+    e = bitplane_store.Encoder(path)
+    want = e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert e.encode(text).tolist() == want
+    plain = " ".join(w for w in text.split() if w.isascii() and w.rstrip(bitplane_store.MARKS).isalpha())
+    e = bitplane_store.Encoder(path)
+    monkeypatch.setattr(bitplane_store, "SIMPLE", SimpleNamespace(fullmatch=None))
+    assert e.encode(plain).tolist() == e.tokenizer.encode(plain, add_special_tokens=False).ids
