@@ -102,3 +102,39 @@ def test_kept_rows_may_come_in_groups(spark, tmp_path):
     assert sorted(r.id for r in p.read("t").collect()) == [*range(11), 20]
     with pytest.raises(publish.AuditError):
         p.stage("t", rows(21), [0, 1], [p.read("t", [0]), p.read("t", [0])])
+
+
+def test_rows_laid_over_stand_for_those_of_their_keys(spark, monkeypatch, tmp_path):
+    p = publish.Parts(spark, str(tmp_path / "t"))
+    rows = lambda *pairs: spark.createDataFrame([*pairs], "id long, v string")
+    table = publish.Table(rows((1, "")).schema, ["id"], F.pmod(F.coalesce("id", F.lit(0)), F.lit(4)), 1, {"repeated_key": lambda within: publish.repeated(["id"], within)})
+    p.tables["t"] = table
+    p.stage("t", rows(*[(i, "base") for i in range(8)], (None, "no key")))
+    p.publish()
+    content = lambda q, parts=None: sorted((-1 if r.id is None else r.id, r.v) for r in q.read("t", parts).collect())
+    want = {-1: "no key"} | {i: "base" for i in range(8)}
+    first = p.read("t", [0, 1, 2, 3]).inputFiles()
+    for n, ids in enumerate([(0, 1, 9), (1, 5), (1, 12)]):
+        assert p.may_lie_over("t", len(ids), [0, 1, 2, 3])
+        p.stage_over("t", rows(*[(i, f"over {n}") for i in ids]), [0, 1])
+        want |= {i: f"over {n}" for i in ids}
+        assert content(p) == sorted(want.items())
+        p.publish()
+        assert set(first) <= set(p.read("t").inputFiles())  # what was there has not been written again
+    assert content(p, [1]) == [(1, "over 2"), (5, "over 1"), (9, "over 0")]
+    again = publish.Parts(spark, str(tmp_path / "t"))
+    again.tables["t"] = table
+    assert content(again) == sorted(want.items()) and not again.may_lie_over("t", 1, [0])  # rows that it has not counted
+    with pytest.raises(publish.AuditError):
+        p.stage_over("t", rows((1, "a"), (1, "b")), [1])
+    p.discard()
+    assert p.prune() == 0 and content(p) == sorted(want.items())
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 8)
+    assert p.may_lie_over("t", 1, [0]) and not p.may_lie_over("t", 2, [0])
+    p.stage("t", rows((1, "anew")), [1], p.read("t", [1]).filter("id != 1"))
+    p.publish()
+    p.publish()
+    want[1] = "anew"
+    assert content(p) == sorted(want.items())
+    monkeypatch.setattr(publish, "MOST_LAYERS", 2)
+    assert not p.may_lie_over("t", 1, [0]) and p.may_lie_over("t", 1, [1])
